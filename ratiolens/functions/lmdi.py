@@ -1,43 +1,55 @@
-"""Logarithmic mean Divisia index: split a change of a product over its factors."""
+"""Logarithmic mean Divisia index: split a change of a product over its factors.
+
+Written as three column steps, so that products and means are computed once per
+chain instead of once per factor. Factor ``x`` is read from columns ``a_x``
+(actual) and ``p_x`` (predicted).
+"""
 
 from __future__ import annotations
 
 from ratiolens.functions.scalar import log_ratio, ratio
 
 
-def lmdi(chain: list[tuple[str, str]], skip_first_on_zero: bool) -> list[str]:
-    """Contribution of every (actual, predicted) factor to prod(actual) - prod(predicted).
+def chain_products(chains: list[list[str]]) -> dict[str, str]:
+    """Step 1: actual and predicted product of every chain."""
+    return {
+        f"{tag}_product_{i}": " * ".join(f"{tag}_{x}" for x in chain)
+        for i, chain in enumerate(chains)
+        for tag in ("a", "p")
+    }
+
+
+def chain_means(chains: list[list[str]]) -> dict[str, str]:
+    """Step 2: change of every chain and the logarithmic mean of its two products.
 
-    A factor gets ln(actual / predicted) times the logarithmic mean of the two
-    products; the mean of two equal products is their common value. With a zero
-    product no logarithm exists: every factor then gets the whole change, and
-    with ``skip_first_on_zero`` the first (the shared base) gets none.
+    The mean of two equal products is their common value. With a zero product
+    there is no logarithm, and the mean is NULL.
     """
-    after = "(" + " * ".join(a for a, _ in chain) + ")"
-    before = "(" + " * ".join(p for _, p in chain) + ")"
-    change = f"({after} - {before})"
-    mean = (
-        f"CASE WHEN {after} = {before} THEN {after} "
-        f"ELSE {ratio(change, log_ratio(after, before))} END"
-    )
-    parts = []
-    for i, (a, p) in enumerate(chain):
-        on_zero = "0D" if i == 0 and skip_first_on_zero else change
-        parts.append(
-            f"CASE WHEN {after} = 0 OR {before} = 0 THEN {on_zero} "
-            f"ELSE ({log_ratio(a, p)}) * ({mean}) END"
+    out = {}
+    for i, _ in enumerate(chains):
+        after, before = f"a_product_{i}", f"p_product_{i}"
+        out[f"change_{i}"] = f"{after} - {before}"
+        out[f"mean_{i}"] = (
+            f"CASE WHEN {after} = 0 OR {before} = 0 THEN NULL WHEN {after} = {before} THEN {after} "
+            f"ELSE {ratio(f'({after} - {before})', f'({log_ratio(after, before)})')} END"
         )
-    return parts
+        out[f"zero_{i}"] = f"{after} = 0 OR {before} = 0"
+    return out
 
 
-def lmdi_sum(
-    chains: list[list[str]],
-    pairs: dict[str, tuple[str, str]],
-    skip_first_on_zero: bool,
-) -> dict[str, str]:
-    """LMDI over several chains; a factor shared by chains gets the sum of its parts."""
+def factor_parts(chains: list[list[str]], skip_first_on_zero: bool) -> dict[str, str]:
+    """Step 3: every factor's contribution to prod(actual) - prod(predicted).
+
+    It is ln(actual / predicted) times the mean; a factor shared by chains gets
+    the sum of its parts. On a zero product every factor gets the whole change,
+    and with ``skip_first_on_zero`` the chain's first (the shared base) none.
+    """
     parts: dict[str, list[str]] = {}
-    for chain in chains:
-        for name, part in zip(chain, lmdi([pairs[n] for n in chain], skip_first_on_zero)):
-            parts.setdefault(name, []).append(f"({part})")
-    return {name: " + ".join(found) for name, found in parts.items()}
+    for i, chain in enumerate(chains):
+        for position, x in enumerate(chain):
+            on_zero = "0D" if position == 0 and skip_first_on_zero else f"change_{i}"
+            parts.setdefault(x, []).append(
+                f"CASE WHEN zero_{i} THEN {on_zero} "
+                f"ELSE ({log_ratio(f'a_{x}', f'p_{x}')}) * mean_{i} END"
+            )
+    return {x: " + ".join(found) for x, found in parts.items()}

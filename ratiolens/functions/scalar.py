@@ -38,6 +38,15 @@ def cap(value: str, limit: float) -> str:
     return f"CASE WHEN {value} IS NOT NULL THEN least({value}, {limit!r}D) END"
 
 
+def settled(value: str) -> str:
+    """Rounded to 10 decimals: sums of doubles differ by run in their last bits."""
+    return f"round({value}, 10)"
+
+
+def positive(value: str) -> str:
+    return f"{settled(value)} > 0"
+
+
 def percent_text(value: str) -> str:
     """Share as text with two decimals and a percent sign; NULL reads 'nan%'.
 
@@ -45,6 +54,6 @@ def percent_text(value: str) -> str:
     """
     return (
         f"CASE WHEN {value} IS NULL THEN 'nan%' ELSE concat("
-        f"CASE WHEN {value} < 0 THEN '-' ELSE '' END, "
+        f"CASE WHEN {settled(value)} < 0 THEN '-' ELSE '' END, "
         f"format_string('%.2f%%', bround(abs({value}), 4) * 100)) END"
     )

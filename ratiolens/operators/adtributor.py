@@ -11,7 +11,8 @@ from ratiolens.functions.attribution import (
     explanatory_power_ratio,
     surprise,
 )
-from ratiolens.functions.scalar import ratio
+from ratiolens.functions.scalar import ratio, settled
+from ratiolens.operators.ranking import largest_first
 
 DIMS = ("platform", "paycategory", "new_post_flag")
 LEAF = [("bu", *DIMS)]
@@ -102,6 +103,10 @@ def explain_ratio(leaves: DataFrame) -> DataFrame:
     )
 
 
+def reaches(value: str, threshold: float) -> str:
+    return f"{settled(value)} >= {threshold!r}D"
+
+
 def top_elements(
     explained: DataFrame, threshold: float | None = EP_THRESHOLD, top_k: int = TOP_K
 ) -> DataFrame:
@@ -110,8 +115,8 @@ def top_elements(
     ``threshold=None`` ranks all elements, as the rate metric does. The filter
     runs before the ranking, and Spark keeps only the top rows per partition.
     """
-    ranked = W.partitionBy(*PARENT).orderBy(F.desc_nulls_last("ep"), "dim_idx", "element")
-    kept = explained if threshold is None else explained.where(f"ep >= {threshold!r}D")
+    ranked = W.partitionBy(*PARENT).orderBy(largest_first("ep"), "dim_idx", "element")
+    kept = explained if threshold is None else explained.where(reaches("ep", threshold))
     return kept.withColumn("rank", F.row_number().over(ranked)).where(f"rank <= {top_k}")
 
 

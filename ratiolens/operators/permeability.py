@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ratiolens.codes import Codes
-from ratiolens.functions.lmdi import lmdi_sum
+from ratiolens.functions.lmdi import chain_means, chain_products, factor_parts
 from ratiolens.functions.scalar import cap, or_zero, positive_pow, quoted, ratio
 from ratiolens.operators.business import PERMEABILITY, STRUCTURE
 
@@ -32,7 +32,7 @@ def counter_split(split: DataFrame) -> DataFrame:
     Only the predicted rates are calibrated; missing values count as 0.
     """
     scaled = split.selectExpr(
-        *split.columns,
+        "*",
         *[
             f"{' + '.join(or_zero(f'{tag}_{c}_{name}') for c in COUNTERS)} AS {tag}_sum_{name}"
             for tag in ("a", "p")
@@ -47,16 +47,23 @@ def counter_split(split: DataFrame) -> DataFrame:
             share = ratio(f"{tag}_{c}_amt", f"{tag}_sum_amt")
             factors[f"{tag}_{c}_share"] = or_zero(share)
             factors[f"{tag}_{c}_rate"] = or_zero(rate if tag == "a" else f"{rate} * {zoom}")
-    with_factors = scaled.selectExpr(
-        *split.columns, *[f"{sql} AS {name}" for name, sql in factors.items()]
-    )
-    names = [f"{c}_{x}" for c in COUNTERS for x in ("share", "rate")]
-    gaps = lmdi_sum(
-        [[f"{c}_share", f"{c}_rate"] for c in COUNTERS],
-        {n: (f"a_{n}", f"p_{n}") for n in names},
-        skip_first_on_zero=True,
+    with_factors = scaled.selectExpr("*", *[f"{sql} AS {name}" for name, sql in factors.items()])
+    chains = [[f"{c}_share", f"{c}_rate"] for c in COUNTERS]
+    return lmdi_split(with_factors, chains, skip_first_on_zero=True)
+
+
+def lmdi_split(df: DataFrame, chains: list[list[str]], skip_first_on_zero: bool) -> DataFrame:
+    """Add a ``g_`` column with the LMDI contribution of every factor of the chains."""
+
+    def named(columns: dict[str, str]) -> list[str]:
+        return [f"{sql} AS {name}" for name, sql in columns.items()]
+
+    parts = factor_parts(chains, skip_first_on_zero)
+    return (
+        df.selectExpr("*", *named(chain_products(chains)))
+        .selectExpr("*", *named(chain_means(chains)))
+        .selectExpr("*", *[f"{sql} AS g_{x}" for x, sql in parts.items()])
     )
-    return with_factors.selectExpr("*", *[f"{sql} AS g_{name}" for name, sql in gaps.items()])
 
 
 def counter_rows(counters: DataFrame, codes: Codes) -> DataFrame:
@@ -103,6 +110,14 @@ class FactorModel:
     limit: float | None = None
     skip_first_on_zero: bool = True
 
+    def measures(self) -> set[str]:
+        """Names of the fact measures that the factors are made of."""
+        found: set[str] = set()
+        for formula in self.factors.values():
+            for part in formula if isinstance(formula, tuple) else (formula,):
+                found.update(m.removeprefix("1/").removeprefix("-") for m in part.split(" + "))
+        return found
+
 
 def second_model(counter: str) -> FactorModel:
     """Own-payment rate of a counter: orders x 1/amount x (group factors), and refunds."""
@@ -222,49 +237,47 @@ def factor_split(parents: DataFrame, model: FactorModel, mode: str = "chain") ->
         value = f"raw_{name} * ({positive_pow('zoom', model.exponents[name])})"
         return or_zero(value if model.limit is None else cap(f"({value})", model.limit))
 
-    predicted = zoomed.selectExpr(
-        *parents.columns,
-        *[f"a_{n}" for n in names],
-        *[f"{calibrated(n)} AS p_{n}" for n in names],
-    )
+    predicted = zoomed.selectExpr("*", *[f"{calibrated(n)} AS p_{n}" for n in names])
+    if mode == "chain":
+        return lmdi_split(predicted, model.chains, model.skip_first_on_zero)
     if mode == "delta":
-        gaps = {n: f"a_{n} - p_{n}" for n in names}
-    elif mode == "chain":
-        pairs = {n: (f"a_{n}", f"p_{n}") for n in names}
-        gaps = lmdi_sum(model.chains, pairs, model.skip_first_on_zero)
-    else:
-        raise ValueError("mode must be 'chain' or 'delta'")
-    return predicted.selectExpr("*", *[f"{sql} AS g_{n}" for n, sql in gaps.items()])
-
-
-def _as_parent(df: DataFrame, name: str) -> DataFrame:
-    """Put factor ``name`` of a split into the PARENT columns for the next level."""
-    part = ratio(f"g_{name}", "parent_cta")
-    rest = [c for c in df.columns if c not in PARENT]
+        return predicted.selectExpr("*", *[f"a_{n} - p_{n} AS g_{n}" for n in names])
+    raise ValueError("mode must be 'chain' or 'delta'")
+
+
+def _below(df: DataFrame, name: str, models: list[FactorModel]) -> DataFrame:
+    """Factor ``name`` of a split as the parent of the next level.
+
+    Only what the given models read is carried on.
+    """
+    measures = sorted({m for model in models for m in model.measures()})
     return df.selectExpr(
-        *rest,
+        *KEYS,
+        "total_gap",
         f"p_{name} AS parent_pred",
         f"a_{name} - p_{name} AS parent_cta",
-        f"{part} * parent_ctb AS parent_ctb",
+        f"{ratio(f'g_{name}', 'parent_cta')} * parent_ctb AS parent_ctb",
+        *[f"{tag}_{m}" for tag in ("a", "p") for m in measures],
     )
 
 
 def second_level(counters: DataFrame, counter: str) -> DataFrame:
-    """Factor columns of one counter's own-payment rate (F19-F21)."""
-    parents = counters.selectExpr(
-        "*", "p_rate AS parent_pred", "a_rate - p_rate AS parent_cta", "g_rate AS parent_ctb"
-    )
-    return factor_split(_as_parent(parents, f"{counter}_rate"), second_model(counter))
+    """Factor columns of one counter's own-payment rate."""
+    model = second_model(counter)
+    deeper = [third_models()[code] for code, at in THIRD_COUNTER.items() if at == counter]
+    parents = counters.selectExpr("*", "a_rate - p_rate AS parent_cta", "g_rate AS parent_ctb")
+    return factor_split(_below(parents, f"{counter}_rate", [model, *deeper]), model)
 
 
 def third_level(second: DataFrame, code: str, quick_new_mode: str = "delta") -> DataFrame:
-    """Factor columns of one second-level rate (F22-F24).
+    """Factor columns of one splittable second-level rate.
 
     The quick-new pair is split by plain differences unless
     ``quick_new_mode='chain'`` asks for the two-factor LMDI.
     """
+    model = third_models()[code]
     mode = quick_new_mode if code == "quick_new_self_rt" else "chain"
-    return factor_split(_as_parent(second, code), third_models()[code], mode)
+    return factor_split(_below(second, code, [model]), model, mode)
 
 
 def factor_rows(

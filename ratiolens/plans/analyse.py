@@ -9,15 +9,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ratiolens.codes import Codes
-from ratiolens.functions.scalar import percent_text, quoted, quoted_list, ratio
+from ratiolens.functions.scalar import percent_text, positive, quoted, quoted_list, ratio
 from ratiolens.operators import adtributor, business, permeability, special
 from ratiolens.operators.baseline import TOTAL_LEVEL, level_baseline, lookbacks
-from ratiolens.operators.daily import (
-    aggregates,
-    funnel_measures,
-    kpi_measures,
-    special_measures,
-)
+from ratiolens.operators.daily import funnel_measures, kpi_measures, special_measures
+from ratiolens.operators.ranking import largest_first
 from ratiolens.plans import labels as L
 from ratiolens.plans.report import conclusion_rows, report_rows
 from ratiolens.sources.fact import DIMENSIONS, compact, paired_windows
@@ -102,8 +98,9 @@ def drill_down(
     def at(levels, measures):
         return level_baseline(base, day, codes, levels, measures, periods)
 
+    # One row per business line: the eight branches of the tree start from these files.
     lines = stage(at(business.LEVELS, funnel_measures(codes)), "lines")
-    split = business.bu_split(lines)
+    split = stage(business.bu_split(lines), "split")
     tree = permeability_tree(split, codes, bu_text)
     scenes = special.special_scenes(at(special.LEVELS, special_measures()), codes)
     leaves = at(adtributor.LEAF, kpi_measures(codes))
@@ -137,7 +134,7 @@ def total_detail(lines: DataFrame) -> DataFrame:
 
 
 def special_detail(scenes: DataFrame) -> DataFrame:
-    by_share = W.partitionBy("period", "usersource").orderBy(F.desc_nulls_last("ratio"), "idx")
+    by_share = W.partitionBy("period", "usersource").orderBy(largest_first("ratio"), "idx")
     return (
         scenes.where(f"element <> '{special.ALL}'")
         .withColumn("rank", F.row_number().over(by_share))
@@ -253,7 +250,7 @@ def choose_branches(nodes: DataFrame) -> DataFrame:
         F.expr(f"CASE WHEN layer IN ({below}) THEN counter END"),
         "code",
     ]
-    order = [F.desc_nulls_last("ratio"), "idx", "element"]
+    order = [largest_first("ratio"), "idx", "element"]
     ranked = nodes.repartition("period", "usersource").withColumn(
         "rank", F.row_number().over(W.partitionBy(*siblings).orderBy(*order))
     )
@@ -261,7 +258,7 @@ def choose_branches(nodes: DataFrame) -> DataFrame:
     splittable = quoted_list(list(permeability.third_models()))
     chosen = {
         "bu_rank": (
-            f"CASE WHEN layer = {quoted(L.LAYER_BU)} AND {permeable} AND ratio > 0 THEN rank END",
+            f"CASE WHEN layer = {quoted(L.LAYER_BU)} AND {permeable} AND {positive('ratio')} THEN rank END",
             "period, usersource, line",
         ),
         "counter_rank": (
@@ -326,13 +323,13 @@ def permeability_tree(split: DataFrame, codes: Codes, bu_text: str = "ratio") ->
 def structure_picks(split: DataFrame) -> DataFrame:
     """Structure rows among the source's top 3 positive contributions."""
     by_ratio = W.partitionBy("period", "usersource").orderBy(
-        F.desc_nulls_last("ratio"), "idx", "bu"
+        largest_first("ratio"), "idx", "bu"
     )
     return (
         business.bu_rows(split)
         .selectExpr("*", f"{ratio('cts', 'total_gap')} AS ratio")
         .withColumn("bu_rank", F.row_number().over(by_ratio))
-        .where(f"bu_rank <= {TOP} AND ratio > 0 AND indicator = {quoted(business.STRUCTURE)}")
+        .where(f"bu_rank <= {TOP} AND {positive('ratio')} AND indicator = {quoted(business.STRUCTURE)}")
     )
 
 
@@ -346,9 +343,9 @@ def structure_detail(leaves: DataFrame, split: DataFrame) -> DataFrame:
     chosen = leaves.join(picks.select(*parent, "bu_rank"), parent)
     explained = adtributor.explain_additive(chosen, carry=("bu_rank",))
     rows = adtributor.contributions(explained, picks)
-    eligible = f"ep >= {adtributor.EP_THRESHOLD!r}D"
+    eligible = adtributor.reaches("ep", adtributor.EP_THRESHOLD)
     by_ep = W.partitionBy(*adtributor.PARENT, F.expr(eligible)).orderBy(
-        F.desc_nulls_last("ep"), "dim_idx", "element"
+        largest_first("ep"), "dim_idx", "element"
     )
     dim = "CASE dim " + " ".join(
         f"WHEN {quoted(d)} THEN {quoted(label)}" for d, label in L.DIM_LABELS.items()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ratiolens.codes import Codes
-from ratiolens.functions.scalar import percent_text, quoted
+from ratiolens.functions.scalar import percent_text, positive, quoted
 from ratiolens.operators.daily import aggregates
 from ratiolens.plans import labels as L
 
@@ -73,8 +73,8 @@ def group_texts(detail: DataFrame) -> DataFrame:
                     "rank", "next_piece", f"rank <= {TOP} AND layer <> {layer['STRUCTURE']}", "、"
                 ),
                 "trend": f"max(CASE WHEN layer = {layer['STRUCTURE']} THEN next_piece END)",
-                "positive": joined_text("rank", "piece", f"{is_special} AND ratio > 0", "、"),
-                "positive_sum": "coalesce(sum(CASE WHEN ratio > 0 THEN ratio END), 0D)",
+                "positive": joined_text("rank", "piece", f"{is_special} AND {positive('ratio')}", "、"),
+                "positive_sum": f"coalesce(sum(CASE WHEN {positive('ratio')} THEN ratio END), 0D)",
                 "best": "max(CASE WHEN rank = 1 THEN element END)",
                 "best_ratio": "max(CASE WHEN rank = 1 THEN ratio END)",
                 "total_actual": f"max(CASE WHEN layer = {layer['TOTAL']} THEN actual END)",
