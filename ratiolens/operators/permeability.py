@@ -261,10 +261,13 @@ def _below(df: DataFrame, name: str, models: list[FactorModel]) -> DataFrame:
     )
 
 
-def second_level(counters: DataFrame, counter: str) -> DataFrame:
-    """Factor columns of one counter's own-payment rate."""
+def second_level(counters: DataFrame, counter: str, with_deeper: bool = True) -> DataFrame:
+    """Factor columns of one counter's own-payment rate.
+
+    ``with_deeper`` carries what the third level reads.
+    """
     model = second_model(counter)
-    deeper = [third_models()[code] for code, at in THIRD_COUNTER.items() if at == counter]
+    deeper = [third_models()[c] for c, at in THIRD_COUNTER.items() if with_deeper and at == counter]
     parents = counters.selectExpr("*", "a_rate - p_rate AS parent_cta", "g_rate AS parent_ctb")
     return factor_split(_below(parents, f"{counter}_rate", [model, *deeper]), model)
 
