@@ -23,10 +23,13 @@ from ratiolens.plans.learn import learn_bounds
 from ratiolens.sources.fact import DIMENSIONS, MEASURES, compact, paired_windows
 from ratiolens.sources.order_fact import order_fact
 from ratiolens.sources.results import latest_bounds
+from ratiolens.sources.staging import stage
 
 DAY = "2000-06-13"
 EARLIER_DAY = "2000-06-11"
 BACK = 59
+# Keeps means of 4-place amounts off exact rounding ties, where engines differ.
+NUDGE = "0.00000317D"
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -48,7 +51,7 @@ def shaped(
     return df.selectExpr(
         *[f"cast({k} AS string) AS {k}" if k in dates else k for k in keys],
         *[f"round({c}, 6) AS {c}" for c in ratios],
-        *[f"round({c}, 4) AS {c}" for c in amounts],
+        *[f"round({c} + {NUDGE}, 4) AS {c}" for c in amounts],
         *[f"cast({c} AS bigint) AS {c}" for c in counts],
     )
 
@@ -480,7 +483,7 @@ REGISTRY["thd_quicknew_chain"] = _third_query("quick_new_self_rt", "chain")
 
 
 def _split(spark: SparkSession, sf: str) -> DataFrame:
-    return business.bu_split(_lines(spark, sf, D.funnel_measures(C)))
+    return stage(business.bu_split(_lines(spark, sf, D.funnel_measures(C))), "split")
 
 
 @query
@@ -496,7 +499,6 @@ def drill_top3(spark: SparkSession, sf: str) -> DataFrame:
 
 
 REPORT_KEYS = ["Date", "Period", "Target", "Usersource", "Layer", "Indicator", "Element"]
-REPORT_RATIOS = ["Actual", "Pred", "CTA", "CTS", "CTB", "CTBRatio"]
 
 
 def _analysis(spark: SparkSession, sf: str) -> DataFrame:
@@ -507,7 +509,15 @@ def _analysis(spark: SparkSession, sf: str) -> DataFrame:
 def contributions(spark: SparkSession, sf: str) -> DataFrame:
     """The numeric rows of the analysis table."""
     rows = _analysis(spark, sf).where("Conclusion IS NULL")
-    return shaped(rows, REPORT_KEYS, ratios=REPORT_RATIOS)
+    amount = f"Layer = '{L.LAYER_STRUCTURE}'"
+    return rows.selectExpr(
+        *REPORT_KEYS,
+        *[
+            f"CASE WHEN {amount} THEN round({c} + {NUDGE}, 4) ELSE round({c}, 6) END AS {c}"
+            for c in ("Actual", "Pred", "CTA")
+        ],
+        *[f"round({c}, 6) AS {c}" for c in ("CTS", "CTB", "CTBRatio")],
+    )
 
 
 @query
