@@ -18,11 +18,12 @@ def with_(*ctes: str, select: str) -> str:
 
 
 def r6(x: str) -> str:
-    return f"(round({x}, 6) + 0.0)"
+    """Six places; the nudge keeps means and quotients off exact rounding ties."""
+    return f"(round({x} + 0.0000000317, 6) + 0.0)"
 
 
 def r4(x: str) -> str:
-    """Four places; the nudge keeps means of 4-place amounts off exact rounding ties."""
+    """Four places, nudged likewise."""
     return f"(round({x} + 0.00000317, 4) + 0.0)"
 
 
@@ -30,6 +31,11 @@ def div(a: str, b: str) -> str:
     return f"(({a}) / nullif(({b}), 0))"
 
 
+def gap(a: str, b: str) -> str:
+    """a - b; 0 where they differ by rounding noise only."""
+    return f"(CASE WHEN abs({a} - {b}) <= 1e-12 * (abs({a}) + abs({b})) THEN 0.0 ELSE {a} - {b} END)"
+
+
 def z0(x: str) -> str:
     return f"coalesce({x}, 0.0)"
 
@@ -608,10 +614,11 @@ SCENES = [
 )""",
     _scene_cte("channels", "PayChannel", "chan", "paycategory", _CHANNELS, 2),
     _scene_cte("platforms", "PayPlatform", "plat", "platform", _PLATFORMS, 6),
-    """scene_rows AS (SELECT * FROM refunds UNION ALL SELECT * FROM channels
+    f"""scene_rows AS (SELECT * FROM refunds UNION ALL SELECT * FROM channels
   UNION ALL SELECT * FROM platforms
 ), scenes AS (
-  SELECT x.*, x.actual - x.pred AS gap, (x.actual - x.pred) / nullif(t.actual - t.pred, 0) AS ratio
+  SELECT x.*, {gap('x.actual', 'x.pred')} AS gap,
+    {div(gap('x.actual', 'x.pred'), gap('t.actual', 't.pred'))} AS ratio
   FROM scene_rows x JOIN scene_rows t USING (period, usersource, indicator) WHERE t.element = 'all'
 )""",
 ]
@@ -633,7 +640,7 @@ def bu_ctes(numerator: str = "self_amt") -> str:
 ), line_sums AS (
   SELECT period, usersource, sum(a_amt) AS sa, sum(p_amt) AS sp FROM line GROUP BY ALL
 ), line_rates AS (
-  SELECT l.*, oa - op AS total_gap, op, {div('l.a_amt', 'sa')} AS a_share,
+  SELECT l.*, {gap("oa", "op")} AS total_gap, op, {div('l.a_amt', 'sa')} AS a_share,
     {div('l.p_amt', 'sp')} AS p_share, {div(f'l.a_{numerator}', 'l.a_amt')} AS a_rate,
     {div(f'l.p_{numerator}', 'l.p_amt')} AS raw_rate
   FROM line l JOIN line_sums USING (period, usersource) JOIN overall USING (period, usersource)
@@ -686,8 +693,8 @@ ELEMENTS = (
   SELECT period, usersource, bu, sum(a) AS ta, sum(f) AS tf, sum(a_self) AS tas, sum(f_self) AS tfs
   FROM elements WHERE dim = 'new_post_flag' GROUP BY ALL
 ), explained AS (
-  SELECT period, usersource, bu, dim, dim_idx, element, a AS actual, f AS pred, ta - tf AS dim_gap,
-    {div('a - f', 'ta - tf')} AS ep, {js(div('a', 'ta'), div('f', 'tf'))} AS surprise
+  SELECT period, usersource, bu, dim, dim_idx, element, a AS actual, f AS pred, {gap("ta", "tf")} AS dim_gap,
+    {div('a - f', gap('ta', 'tf'))} AS ep, {js(div('a', 'ta'), div('f', 'tf'))} AS surprise
   FROM elements JOIN line_totals USING (period, usersource, bu)
 ), rate_elements AS (
   SELECT *, {div('a_self', 'a')} AS ra, {div('f_self', 'f')} AS rf, {div('tas', 'ta')} AS rta,
@@ -757,10 +764,10 @@ def chains_sql(src: str, name: str, chains: list[list[str]], skip_first: bool) -
         products.append(f"{' * '.join('a_' + x for x in chain)} AS up_{i}")
         products.append(f"{' * '.join('p_' + x for x in chain)} AS down_{i}")
         for j, x in enumerate(chain):
-            zero = "0.0" if skip_first and j == 0 else f"up_{i} - down_{i}"
+            zero = "0.0" if skip_first and j == 0 else gap(f"up_{i}", f"down_{i}")
             parts.setdefault(x, []).append(
                 f"(CASE WHEN up_{i} = 0 OR down_{i} = 0 THEN {zero} "
-                f"WHEN up_{i} = down_{i} THEN {lnr(f'a_{x}', f'p_{x}')} * up_{i} "
+                f"WHEN {gap(f'up_{i}', f'down_{i}')} = 0 THEN {lnr(f'a_{x}', f'p_{x}')} * up_{i} "
                 f"ELSE {lnr(f'a_{x}', f'p_{x}')} * ((up_{i} - down_{i}) / "
                 f"nullif({lnr(f'up_{i}', f'down_{i}')}, 0)) END)"
             )
@@ -825,7 +832,7 @@ def _counter_rows() -> str:
             rows.append(
                 f"SELECT period, usersource, bu, total_gap, '{label}' AS indicator, '{c}' AS element, "
                 f"{len(rows)} AS idx, a_{n} AS actual, p_{n} AS pred, a_{n} - p_{n} AS cta, "
-                f"g_{n} AS cts, g_{n} / nullif(a_rate - p_rate, 0) * g_rate AS ctb FROM counters"
+                f"g_{n} AS cts, {div(f'g_{n}', gap('a_rate', 'p_rate'))} * g_rate AS ctb FROM counters"
             )
     return f"""first_rows AS (SELECT *, ctb / nullif(total_gap, 0) AS ratio FROM (
   {' UNION ALL '.join(rows)}))"""
@@ -930,7 +937,8 @@ def second_sql(c: str) -> str:
     )
     k = 2 + len(steps)
     src = f"""second_{c}_src AS (SELECT * EXCLUDE (p_rate, a_rate), p_{c}_rate AS pp,
-  a_{c}_rate - p_{c}_rate AS pc, g_{c}_rate / nullif(a_rate - p_rate, 0) * g_rate AS pb FROM counters)"""
+  {gap(f'a_{c}_rate', f'p_{c}_rate')} AS pc,
+  {div(f'g_{c}_rate', gap('a_rate', 'p_rate'))} * g_rate AS pb FROM counters)"""
     return src + ",\n" + split_sql(
         f"second_{c}",
         f"second_{c}_src",
@@ -1031,7 +1039,7 @@ def third_sql(code: str, chain_mode: bool = False) -> str:
     if code == "quick_new_self_rt" and not chain_mode:
         chains = None
     src = f"""third_{code}_src AS (SELECT * EXCLUDE (pp, pc, pb), p_{code} AS pp,
-  a_{code} - p_{code} AS pc, g_{code} / nullif(pc, 0) * pb AS pb FROM second_{THIRD_AT[code]})"""
+  {gap(f'a_{code}', f'p_{code}')} AS pc, g_{code} / nullif(pc, 0) * pb AS pb FROM second_{THIRD_AT[code]})"""
     return src + ",\n" + split_sql(
         f"third_{code}",
         f"third_{code}_src",
@@ -1130,7 +1138,8 @@ FULL = [
 ]
 _DETAIL = [
     f"""SELECT {_N}, '大盘' AS layer, '大盘' AS indicator, '大盘' AS element, oa AS actual, op AS pred,
-  oa - op AS cta, oa - op AS cts, oa - op AS ctb, 1.0 AS ratio FROM overall""",
+  total_gap AS cta, total_gap AS cts, total_gap AS ctb, 1.0 AS ratio
+  FROM (SELECT *, {gap('oa', 'op')} AS total_gap FROM overall)""",
     f"""SELECT {_N}, '特殊场景', indicator, element, actual, pred, gap, gap, gap, ratio
   FROM scene_ranked""",
     f"""SELECT {_N}, 'BU拆分', indicator, bu, actual, pred, actual - pred, cts, cts, ratio FROM n0""",

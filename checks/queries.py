@@ -28,8 +28,17 @@ from ratiolens.sources.staging import stage
 DAY = "2000-06-13"
 EARLIER_DAY = "2000-06-11"
 BACK = 59
-# Keeps means of 4-place amounts off exact rounding ties, where engines differ.
-NUDGE = "0.00000317D"
+
+
+def r6(column: str) -> str:
+    """Six places; the nudge keeps means and quotients off exact ties, where engines differ."""
+    return f"round({column} + 0.0000000317D, 6)"
+
+
+def r4(column: str) -> str:
+    """Four places, nudged likewise."""
+    return f"round({column} + 0.00000317D, 4)"
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -50,8 +59,8 @@ def shaped(
     dates = ("label_period", "prev_label_period", "d")
     return df.selectExpr(
         *[f"cast({k} AS string) AS {k}" if k in dates else k for k in keys],
-        *[f"round({c}, 6) AS {c}" for c in ratios],
-        *[f"round({c} + {NUDGE}, 4) AS {c}" for c in amounts],
+        *[f"{r6(c)} AS {c}" for c in ratios],
+        *[f"{r4(c)} AS {c}" for c in amounts],
         *[f"cast({c} AS bigint) AS {c}" for c in counts],
     )
 
@@ -513,10 +522,10 @@ def contributions(spark: SparkSession, sf: str) -> DataFrame:
     return rows.selectExpr(
         *REPORT_KEYS,
         *[
-            f"CASE WHEN {amount} THEN round({c} + {NUDGE}, 4) ELSE round({c}, 6) END AS {c}"
+            f"CASE WHEN {amount} THEN {r4(c)} ELSE {r6(c)} END AS {c}"
             for c in ("Actual", "Pred", "CTA")
         ],
-        *[f"round({c}, 6) AS {c}" for c in ("CTS", "CTB", "CTBRatio")],
+        *[f"{r6(c)} AS {c}" for c in ("CTS", "CTB", "CTBRatio")],
     )
 
 

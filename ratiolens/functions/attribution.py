@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ratiolens.functions.scalar import ratio
+from ratiolens.functions.scalar import gap, ratio
 
 
 def _x_ln(x: str, y: str) -> str:
@@ -18,7 +18,7 @@ def surprise(p: str, q: str) -> str:
 
 def explanatory_power(a: str, f: str, total_a: str, total_f: str) -> str:
     """Share of the total gap explained by the element, for an additive measure."""
-    return ratio(f"{a} - {f}", f"{total_a} - {total_f}")
+    return ratio(f"{a} - {f}", gap(total_a, total_f))
 
 
 def explanatory_power_ratio(a: str, f: str, total_a: str, total_f: str) -> str:

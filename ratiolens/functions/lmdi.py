@@ -7,7 +7,7 @@ chain instead of once per factor. Factor ``x`` is read from columns ``a_x``
 
 from __future__ import annotations
 
-from ratiolens.functions.scalar import log_ratio, ratio
+from ratiolens.functions.scalar import gap, log_ratio, ratio
 
 
 def chain_products(chains: list[list[str]]) -> dict[str, str]:
@@ -28,9 +28,10 @@ def chain_means(chains: list[list[str]]) -> dict[str, str]:
     out = {}
     for i, _ in enumerate(chains):
         after, before = f"a_product_{i}", f"p_product_{i}"
-        out[f"change_{i}"] = f"{after} - {before}"
+        change = gap(after, before)
+        out[f"change_{i}"] = change
         out[f"mean_{i}"] = (
-            f"CASE WHEN {after} = 0 OR {before} = 0 THEN NULL WHEN {after} = {before} THEN {after} "
+            f"CASE WHEN {after} = 0 OR {before} = 0 THEN NULL WHEN {change} = 0 THEN {after} "
             f"ELSE {ratio(f'({after} - {before})', f'({log_ratio(after, before)})')} END"
         )
         out[f"zero_{i}"] = f"{after} = 0 OR {before} = 0"

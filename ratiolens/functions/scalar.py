@@ -38,6 +38,17 @@ def cap(value: str, limit: float) -> str:
     return f"CASE WHEN {value} IS NOT NULL THEN least({value}, {limit!r}D) END"
 
 
+def gap(actual: str, pred: str) -> str:
+    """actual - pred, exactly 0 if they differ by rounding noise only.
+
+    Used where the gap becomes a divisor: a ratio to a noise-sized gap means nothing.
+    """
+    noise = f"1e-12D * (abs({actual}) + abs({pred}))"
+    return (
+        f"CASE WHEN abs({actual} - {pred}) <= {noise} THEN 0D ELSE {actual} - {pred} END"
+    )
+
+
 def settled(value: str) -> str:
     """Rounded to 10 decimals: sums of doubles differ by run in their last bits."""
     return f"round({value}, 10)"

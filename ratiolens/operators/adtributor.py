@@ -11,7 +11,7 @@ from ratiolens.functions.attribution import (
     explanatory_power_ratio,
     surprise,
 )
-from ratiolens.functions.scalar import ratio, settled
+from ratiolens.functions.scalar import gap, ratio, settled
 from ratiolens.operators.ranking import largest_first
 
 DIMS = ("platform", "paycategory", "new_post_flag")
@@ -67,7 +67,7 @@ def explain_additive(leaves: DataFrame, carry: tuple[str, ...] = ()) -> DataFram
         "element",
         "a_amt AS actual",
         "p_amt AS pred",
-        "total_a - total_p AS dim_gap",
+        f"{gap('total_a', 'total_p')} AS dim_gap",
         f"{explanatory_power('a_amt', 'p_amt', 'total_a', 'total_p')} AS ep",
         f"{surprise('p', 'q')} AS surprise",
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ratiolens.functions.scalar import quoted, ratio
+from ratiolens.functions.scalar import gap, quoted, ratio
 from ratiolens.operators.baseline import TOTAL_LEVEL
 
 LEVELS = [(), ("bu",)]
@@ -45,7 +45,7 @@ def bu_split(base: DataFrame, numerator: str = "self_amt") -> DataFrame:
     zoom = ratio(overall_p, ratio("sum_p_weighted", "sum_p_amt"))
     rates = zoomed.selectExpr(
         *base.columns,
-        f"{overall_a} - {overall_p} AS total_gap",
+        f"{gap(overall_a, overall_p)} AS total_gap",
         f"{ratio('a_amt', 'sum_a_amt')} AS a_share",
         f"{ratio('p_amt', 'sum_p_amt')} AS p_share",
         f"{ratio(f'a_{numerator}', 'a_amt')} AS a_rate",

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from ratiolens.codes import Codes
 from ratiolens.functions.lmdi import chain_means, chain_products, factor_parts
-from ratiolens.functions.scalar import cap, or_zero, positive_pow, quoted, ratio
+from ratiolens.functions.scalar import cap, gap, or_zero, positive_pow, quoted, ratio
 from ratiolens.operators.business import PERMEABILITY, STRUCTURE
 
 COUNTERS = ("prepay", "quick", "postpay")
@@ -76,7 +76,7 @@ def counter_rows(counters: DataFrame, codes: Codes) -> DataFrame:
     return counters.selectExpr(
         *KEYS,
         "total_gap",
-        "a_rate - p_rate AS parent_cta",
+        f"{gap('a_rate', 'p_rate')} AS parent_cta",
         "g_rate AS parent_ctb",
         f"inline(array({', '.join(rows)}))",
     )
@@ -255,7 +255,7 @@ def _below(df: DataFrame, name: str, models: list[FactorModel]) -> DataFrame:
         *KEYS,
         "total_gap",
         f"p_{name} AS parent_pred",
-        f"a_{name} - p_{name} AS parent_cta",
+        f"{gap(f'a_{name}', f'p_{name}')} AS parent_cta",
         f"{ratio(f'g_{name}', 'parent_cta')} * parent_ctb AS parent_ctb",
         *[f"{tag}_{m}" for tag in ("a", "p") for m in measures],
     )
@@ -268,7 +268,8 @@ def second_level(counters: DataFrame, counter: str, with_deeper: bool = True) ->
     """
     model = second_model(counter)
     deeper = [third_models()[c] for c, at in THIRD_COUNTER.items() if with_deeper and at == counter]
-    parents = counters.selectExpr("*", "a_rate - p_rate AS parent_cta", "g_rate AS parent_ctb")
+    line_gap = gap("a_rate", "p_rate")
+    parents = counters.selectExpr("*", f"{line_gap} AS parent_cta", "g_rate AS parent_ctb")
     return factor_split(_below(parents, f"{counter}_rate", [model, *deeper]), model)
 
 

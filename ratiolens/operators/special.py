@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ratiolens.codes import Codes
-from ratiolens.functions.scalar import quoted, ratio
+from ratiolens.functions.scalar import gap, quoted, ratio
 from ratiolens.operators.baseline import TOTAL_LEVEL
 from ratiolens.operators.daily import aggregates
 
@@ -75,7 +75,7 @@ def special_scenes(base: DataFrame, codes: Codes) -> DataFrame:
                 )
             )
     listed = totals.selectExpr("period", "usersource", f"inline(array({', '.join(rows)}))")
-    with_gap = listed.selectExpr("*", "actual - pred AS gap")
+    with_gap = listed.selectExpr("*", f"{gap('actual', 'pred')} AS gap")
     scene_gap = (
         f"max(CASE WHEN element = '{ALL}' THEN gap END) "
         "OVER (PARTITION BY period, usersource, indicator)"

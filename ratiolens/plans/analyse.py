@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ratiolens.codes import Codes
-from ratiolens.functions.scalar import percent_text, positive, quoted, quoted_list, ratio
+from ratiolens.functions.scalar import gap, percent_text, positive, quoted, quoted_list, ratio
 from ratiolens.operators import adtributor, business, permeability, special
 from ratiolens.operators.baseline import TOTAL_LEVEL, level_baseline, lookbacks
 from ratiolens.operators.daily import funnel_measures, kpi_measures, special_measures
@@ -117,7 +117,7 @@ def drill_down(
 
 def total_detail(lines: DataFrame) -> DataFrame:
     actual, pred = ratio("a_self_amt", "a_amt"), ratio("p_self_amt", "p_amt")
-    gap = f"{actual} - {pred}"
+    total_gap = gap(actual, pred)
     return lines.where(f"level = '{TOTAL_LEVEL}'").selectExpr(
         "period",
         "usersource",
@@ -126,9 +126,9 @@ def total_detail(lines: DataFrame) -> DataFrame:
         f"{quoted(L.LAYER_TOTAL)} AS element",
         f"{actual} AS actual",
         f"{pred} AS pred",
-        f"{gap} AS cta",
-        f"{gap} AS cts",
-        f"{gap} AS ctb",
+        f"{total_gap} AS cta",
+        f"{total_gap} AS cts",
+        f"{total_gap} AS ctb",
         "1D AS ratio",
     )
 
