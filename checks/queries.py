@@ -381,7 +381,7 @@ def adtributor_ratio_topk(spark: SparkSession, sf: str) -> DataFrame:
 def structure_split(spark: SparkSession, sf: str) -> DataFrame:
     """Every line's structure elements with their parts of the overall gap.
 
-    Leaves and lines come from one staged table of daily sums.
+    Totals, lines and leaves are levels of one baseline over the compacted fact.
     """
     base = compact(tagged(spark, sf), ("bu", *adtributor.DIMS), ("amt", "self_amt"))
     both = level_baseline(

@@ -51,9 +51,13 @@ def dimension_sums(
 
 
 def explain_additive(leaves: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Explanatory power and surprise of every element for the net amount."""
+    """Explanatory power and surprise of every element for the net amount.
+
+    The elements of a line are few; arranged by line they serve both the totals
+    here and a ranking on top without another exchange.
+    """
     over = f"OVER (PARTITION BY {', '.join(PARENT)}, dim)"
-    totals = dimension_sums(leaves, carry=carry).selectExpr(
+    totals = dimension_sums(leaves, carry=carry).repartition(*PARENT).selectExpr(
         "*", f"sum(a_amt) {over} AS total_a", f"sum(p_amt) {over} AS total_p"
     )
     shares = totals.selectExpr(

@@ -4,18 +4,25 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local session may go without one."""
+    """The folder named by spark.checkpoint.dir; only a local session may go without one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or spark.sparkContext.getCheckpointDir()
     if folder:
-        return folder
+        return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="ratiolens-")
+    return _local_folder().name
+
+
+@cache
+def _local_folder() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="ratiolens-")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -25,6 +32,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     re-read of these files instead of another pass over the fact table.
     """
     spark = df.sparkSession
-    target = f"{shared_folder(spark).rstrip('/')}/ratiolens/{name}-{uuid.uuid4().hex}"
+    target = f"{shared_folder(spark)}/ratiolens/{name}-{uuid.uuid4().hex}"
     df.write.parquet(target)
     return spark.read.schema(df.schema).parquet(target)
