@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def save_partitions(df: DataFrame, table: str) -> None:
-    """Write ``df`` to a table partitioned by ``d``, replacing only the days it holds."""
+    """Write ``df`` to a table partitioned by ``d``, replacing only the days it holds.
+
+    A table insert takes the overwrite mode from the session alone (a writer
+    option is ignored), so the setting is switched for this write.
+    """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         df.write.format("parquet").partitionBy("d").saveAsTable(table)
         return
-    columns = spark.table(table).columns
-    (
-        df.select(*columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table, overwrite=True)
-    )
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
 
 
 def save_partitions_to_path(df: DataFrame, path: str) -> None:
