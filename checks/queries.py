@@ -491,16 +491,26 @@ REGISTRY["thd_quicknew_chain"] = _third_query("quick_new_self_rt", "chain")
 # ------------------------------------------------------------- whole analysis
 
 
-def _split(spark: SparkSession, sf: str) -> DataFrame:
-    return stage(business.bu_split(_lines(spark, sf, D.funnel_measures(C))), "split")
-
-
 @query
 def drill_top3(spark: SparkSession, sf: str) -> DataFrame:
-    """The chosen branches of the permeability tree, with ranks."""
-    nodes = A.choose_branches(A.permeability_nodes(_split(spark, sf), C))
+    """The top lines and the chosen branches below them, with ranks."""
+    lines = _lines(spark, sf, D.funnel_measures(C))
+    split = stage(business.bu_split(lines), "split")
+    picks = A.top_lines(split)
+    chosen = stage(A.chosen_lines(split, picks), "chosen")
+    nodes = A.choose_branches(A.permeability_nodes(chosen, C)).where("rank <= 3")
+    top = picks.selectExpr(
+        "period",
+        "usersource",
+        f"'{L.LAYER_BU}' AS layer",
+        "bu AS line",
+        "indicator",
+        "bu AS element",
+        "ratio",
+        "bu_rank AS rank",
+    )
     return shaped(
-        nodes.where("rank <= 3"),
+        nodes.drop("bu_rank").unionByName(top, allowMissingColumns=True),
         ["period", "usersource", "layer", "line", "counter", "code", "indicator", "element"],
         ratios=["ratio"],
         counts=["rank"],

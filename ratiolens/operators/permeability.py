@@ -19,6 +19,8 @@ from ratiolens.operators.business import PERMEABILITY, STRUCTURE
 
 COUNTERS = ("prepay", "quick", "postpay")
 KEYS = ("period", "usersource", "bu")
+# Columns of a business line that every level passes on where they exist.
+CARRIED = ("total_gap", "bu_rank")
 # What a split reads of its parent: prediction, gap, contribution to the overall gap.
 PARENT = ("parent_pred", "parent_cta", "parent_ctb")
 
@@ -66,6 +68,10 @@ def lmdi_split(df: DataFrame, chains: list[list[str]], skip_first_on_zero: bool)
     )
 
 
+def _carried(df: DataFrame) -> list[str]:
+    return [c for c in CARRIED if c in df.columns]
+
+
 def counter_rows(counters: DataFrame, codes: Codes) -> DataFrame:
     """Six rows per business line, in report order: shares first, last counter first."""
     rows = []
@@ -75,7 +81,7 @@ def counter_rows(counters: DataFrame, codes: Codes) -> DataFrame:
             rows.append(_factor_struct(quoted(label), element, f"{c}_{x}", len(rows)))
     return counters.selectExpr(
         *KEYS,
-        "total_gap",
+        *_carried(counters),
         f"{gap('a_rate', 'p_rate')} AS parent_cta",
         "g_rate AS parent_ctb",
         f"inline(array({', '.join(rows)}))",
@@ -253,7 +259,7 @@ def _below(df: DataFrame, name: str, models: list[FactorModel]) -> DataFrame:
     measures = sorted({m for model in models for m in model.measures()})
     return df.selectExpr(
         *KEYS,
-        "total_gap",
+        *_carried(df),
         f"p_{name} AS parent_pred",
         f"{gap(f'a_{name}', f'p_{name}')} AS parent_cta",
         f"{ratio(f'g_{name}', 'parent_cta')} * parent_ctb AS parent_ctb",
@@ -294,7 +300,7 @@ def factor_rows(
     ]
     return split.selectExpr(
         *KEYS,
-        "total_gap",
+        *_carried(split),
         "parent_cta",
         "parent_ctb",
         f"{quoted(counter)} AS counter",

@@ -98,17 +98,19 @@ def drill_down(
     def at(levels, measures):
         return level_baseline(base, day, codes, levels, measures, periods)
 
-    # One row per business line: the eight branches of the tree start from these files.
     lines = stage(at(business.LEVELS, funnel_measures(codes)), "lines")
     split = stage(business.bu_split(lines), "split")
-    tree = permeability_tree(split, codes, bu_text)
+    picks = top_lines(split)
+    # At most three lines per source: the seven branches of the tree start from these files.
+    chosen = stage(chosen_lines(split, picks), "chosen")
     scenes = special.special_scenes(at(special.LEVELS, special_measures()), codes)
     leaves = at(adtributor.LEAF, kpi_measures(codes))
     parts = [
         total_detail(lines),
         special_detail(scenes),
-        tree,
-        structure_detail(leaves, split),
+        bu_detail(split, picks, bu_text),
+        permeability_detail(chosen, codes),
+        structure_detail(leaves, picks),
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select(
         *DETAIL_COLUMNS
@@ -156,40 +158,71 @@ def special_detail(scenes: DataFrame) -> DataFrame:
     )
 
 
-def permeability_nodes(split: DataFrame, codes: Codes) -> DataFrame:
-    """Rows of the business-line layer and of all three levels below, for every line.
+def top_lines(split: DataFrame) -> DataFrame:
+    """The top 3 of all lines and both indicators of a source, with their ``bu_rank``.
 
-    A line is one row of ``split`` whatever its size in the fact table, so the
-    whole tree is computed column-wise; choosing branches is left to the ranks.
+    Spark cuts each partition to its own top 3 before the ranking shuffle, so a
+    source with very many lines sends few rows.
     """
-    counters = permeability.counter_split(split)
-    second = {c: permeability.second_level(counters, c) for c in permeability.COUNTERS}
-    top = business.bu_rows(split).selectExpr(
+    by_ratio = W.partitionBy("period", "usersource").orderBy(largest_first("ratio"), "idx", "bu")
+    return (
+        business.bu_rows(split)
+        .selectExpr("*", f"{ratio('cts', 'total_gap')} AS ratio")
+        .withColumn("bu_rank", F.row_number().over(by_ratio))
+        .where(f"bu_rank <= {TOP}")
+    )
+
+
+def picked(picks: DataFrame, indicator: str) -> DataFrame:
+    """The positive ones of the top lines that owe their place to ``indicator``."""
+    return picks.where(f"{positive('ratio')} AND indicator = {quoted(indicator)}")
+
+
+def chosen_lines(split: DataFrame, picks: DataFrame) -> DataFrame:
+    """Lines to drill into for their permeability, with their rank."""
+    parent = list(permeability.KEYS)
+    ranks = picked(picks, business.PERMEABILITY).select(*parent, "bu_rank")
+    return split.join(ranks, parent)
+
+
+def bu_detail(split: DataFrame, picks: DataFrame, bu_text: str = "ratio") -> DataFrame:
+    """Both indicators of every line; the top 3 carry a rank and a piece of text."""
+    if bu_text not in ("ratio", "pred"):
+        raise ValueError("bu_text must be 'ratio' or 'pred'")
+    keys = [*permeability.KEYS, "indicator"]
+    ranks = picks.selectExpr(*keys, "bu_rank AS rank")
+    return business.bu_rows(split).join(ranks, keys, "left").selectExpr(
         "period",
         "usersource",
         f"{quoted(L.LAYER_BU)} AS layer",
-        "bu AS line",
         "indicator",
         "bu AS element",
-        "idx",
         "actual",
         "pred",
         "actual - pred AS cta",
         "cts",
         "cts AS ctb",
         f"{ratio('cts', 'total_gap')} AS ratio",
-    )
-    first = permeability.with_contributions(permeability.counter_rows(counters, codes)).selectExpr(
-        "period",
-        "usersource",
-        f"{quoted(L.LAYER_FIRST)} AS layer",
         "bu AS line",
-        "element AS counter",
-        *_VALUES,
+        "rank",
+        f"""concat(bu, '的', indicator, '(',
+        {percent_text(f'({ratio("cts", "total_gap")})' if bu_text == 'ratio' else 'pred')},
+        ')') AS piece""",
     )
-    parts = [top, first]
+
+
+def permeability_nodes(lines: DataFrame, codes: Codes) -> DataFrame:
+    """Rows of the three permeability levels of the given lines, all branches.
+
+    A line is one row whatever its size in the fact table, so its whole tree is
+    computed column-wise; choosing branches is left to the ranks.
+    """
+    counters = permeability.counter_split(lines)
+    second = {c: permeability.second_level(counters, c) for c in permeability.COUNTERS}
+    first = permeability.with_contributions(permeability.counter_rows(counters, codes))
+    parts = [_level(first.withColumn("counter", F.col("element")), L.LAYER_FIRST)]
     for counter, frame in second.items():
-        rows = permeability.factor_rows(
+        rows = _factor_rows(
             frame,
             permeability.second_model(counter),
             getattr(codes, counter),
@@ -200,119 +233,95 @@ def permeability_nodes(split: DataFrame, codes: Codes) -> DataFrame:
     for code, model in permeability.third_models().items():
         counter = permeability.THIRD_COUNTER[code]
         frame = permeability.third_level(second[counter], code)
-        rows = permeability.factor_rows(
-            frame, model, getattr(codes, counter), code, L.THIRD_LABELS
-        )
+        rows = _factor_rows(frame, model, getattr(codes, counter), code, L.THIRD_LABELS)
         parts.append(_level(rows, L.LAYER_THIRD))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-_VALUES = (
-    "indicator",
-    "element",
-    "factor",
-    "idx",
-    "actual",
-    "pred",
-    "cta",
-    "cts",
-    "ctb",
-    "ratio",
-)
+def _factor_rows(*args) -> DataFrame:
+    return permeability.with_contributions(permeability.factor_rows(*args))
 
 
 def _level(rows: DataFrame, layer: str) -> DataFrame:
-    return permeability.with_contributions(rows).selectExpr(
+    return rows.selectExpr(
         "period",
         "usersource",
         f"{quoted(layer)} AS layer",
         "bu AS line",
-        "counter",
-        "code",
-        *_VALUES,
+        "bu_rank",
+        *[c for c in ("counter", "code") if c in rows.columns],
+        *["indicator", "element", "factor", "idx"],
+        *["actual", "pred", "cta", "cts", "ctb", "ratio"],
     )
 
 
 def choose_branches(nodes: DataFrame) -> DataFrame:
     """Rank siblings and keep the branches below chosen parents.
 
-    Chosen are: of all lines and both indicators of a source the top 3 with a
-    positive ratio; below a line the permeability ones of its top 3; below a
-    counter the splittable ones of its top 3. Every window's partition contains
-    (period, usersource), so one exchange serves ranking and choosing.
+    Chosen are the permeability ones of a line's top 3 counter factors, and the
+    splittable ones of a counter's top 3 factors. Every window's partition
+    contains the line, so one exchange serves ranking and choosing.
     """
-    below = quoted_list([L.LAYER_SECOND, L.LAYER_THIRD])
-    siblings = [
-        "period",
-        "usersource",
-        "layer",
-        F.expr(f"CASE WHEN layer <> {quoted(L.LAYER_BU)} THEN line END"),
-        F.expr(f"CASE WHEN layer IN ({below}) THEN counter END"),
-        "code",
-    ]
-    order = [largest_first("ratio"), "idx", "element"]
-    ranked = nodes.repartition("period", "usersource").withColumn(
-        "rank", F.row_number().over(W.partitionBy(*siblings).orderBy(*order))
+    line = ["period", "usersource", "line"]
+    below = f"CASE WHEN layer <> {quoted(L.LAYER_FIRST)} THEN counter END"
+    siblings = W.partitionBy(*line, "layer", F.expr(below), "code")
+    ranked = nodes.repartition(*line).withColumn(
+        "rank", F.row_number().over(siblings.orderBy(largest_first("ratio"), "idx"))
     )
     permeable = f"indicator = {quoted(business.PERMEABILITY)} AND rank <= {TOP}"
     splittable = quoted_list(list(permeability.third_models()))
     chosen = {
-        "bu_rank": (
-            f"CASE WHEN layer = {quoted(L.LAYER_BU)} AND {permeable} AND {positive('ratio')} THEN rank END",
-            "period, usersource, line",
-        ),
         "counter_rank": (
             f"CASE WHEN layer = {quoted(L.LAYER_FIRST)} AND {permeable} THEN rank END",
-            "period, usersource, line, counter",
+            "counter",
         ),
         "code_rank": (
             f"CASE WHEN layer = {quoted(L.LAYER_SECOND)} AND rank <= {TOP} "
             f"AND factor IN ({splittable}) THEN rank END",
-            "period, usersource, line, counter, coalesce(code, factor)",
+            "counter, coalesce(code, factor)",
         ),
     }
     placed = ranked.selectExpr(
         "*",
-        *[f"max({pick}) OVER (PARTITION BY {by}) AS {n}" for n, (pick, by) in chosen.items()],
+        *[
+            f"max({pick}) OVER (PARTITION BY {', '.join(line)}, {by}) AS {n}"
+            for n, (pick, by) in chosen.items()
+        ],
     )
     return placed.where(
-        f"""CASE layer
-        WHEN {quoted(L.LAYER_BU)} THEN true
-        WHEN {quoted(L.LAYER_FIRST)} THEN bu_rank IS NOT NULL
-        WHEN {quoted(L.LAYER_SECOND)} THEN bu_rank IS NOT NULL AND counter_rank IS NOT NULL
-        ELSE bu_rank IS NOT NULL AND counter_rank IS NOT NULL AND code_rank IS NOT NULL END"""
+        f"""CASE layer WHEN {quoted(L.LAYER_FIRST)} THEN true
+        WHEN {quoted(L.LAYER_SECOND)} THEN counter_rank IS NOT NULL
+        ELSE counter_rank IS NOT NULL AND code_rank IS NOT NULL END"""
     )
 
 
-def permeability_tree(split: DataFrame, codes: Codes, bu_text: str = "ratio") -> DataFrame:
-    """The chosen nodes with their report names and text pieces."""
-    if bu_text not in ("ratio", "pred"):
-        raise ValueError("bu_text must be 'ratio' or 'pred'")
-    nodes = choose_branches(permeability_nodes(split, codes))
-    labelled = "CASE code " + " ".join(
+def permeability_detail(chosen: DataFrame, codes: Codes) -> DataFrame:
+    """The chosen branches with their report names and text pieces."""
+    nodes = choose_branches(permeability_nodes(chosen, codes))
+    names = " ".join(
         f"WHEN {quoted(c)} THEN {quoted(L.SECOND_LABELS[c])}" for c in permeability.third_models()
-    ) + " END"
-    bu, first = quoted(L.LAYER_BU), quoted(L.LAYER_FIRST)
-    second, third = quoted(L.LAYER_SECOND), quoted(L.LAYER_THIRD)
-    value = f"CASE WHEN layer = {bu} THEN {bu_text} ELSE ratio END"
+    )
+    labelled = f"CASE code {names} END"
+    first, second, third = (
+        quoted(layer) for layer in (L.LAYER_FIRST, L.LAYER_SECOND, L.LAYER_THIRD)
+    )
     splittable = quoted_list(list(permeability.third_models()))
     return nodes.selectExpr(
         "period",
         "usersource",
         "layer",
-        f"""CASE layer WHEN {bu} THEN indicator
-        WHEN {first} THEN concat(line, '-', indicator)
+        f"""CASE layer WHEN {first} THEN concat(line, '-', indicator)
         WHEN {second} THEN concat(line, '-', counter)
         ELSE concat(line, '-', counter, '-', {labelled}) END AS indicator""",
         "element",
         *["actual", "pred", "cta", "cts", "ctb", "ratio", "line", "counter"],
         f"{labelled} AS code",
         "bu_rank",
-        f"CASE WHEN layer IN ({second}, {third}) THEN counter_rank END AS counter_rank",
+        f"CASE WHEN layer <> {first} THEN counter_rank END AS counter_rank",
         f"CASE WHEN layer = {third} THEN code_rank END AS code_rank",
         "rank",
-        f"""concat(CASE WHEN layer IN ({bu}, {first}) THEN concat(element, '的', indicator)
-        ELSE element END, '(', {percent_text(f'({value})')}, ')') AS piece""",
+        f"""concat(CASE WHEN layer = {first} THEN concat(element, '的', indicator)
+        ELSE element END, '(', {percent_text('ratio')}, ')') AS piece""",
         f"""CASE WHEN layer = {first} AND indicator = {quoted(business.PERMEABILITY)}
         THEN concat(line, '业务', element, '的', indicator)
         WHEN layer = {second} AND factor IN ({splittable})
@@ -320,29 +329,16 @@ def permeability_tree(split: DataFrame, codes: Codes, bu_text: str = "ratio") ->
     )
 
 
-def structure_picks(split: DataFrame) -> DataFrame:
-    """Structure rows among the source's top 3 positive contributions."""
-    by_ratio = W.partitionBy("period", "usersource").orderBy(
-        largest_first("ratio"), "idx", "bu"
-    )
-    return (
-        business.bu_rows(split)
-        .selectExpr("*", f"{ratio('cts', 'total_gap')} AS ratio")
-        .withColumn("bu_rank", F.row_number().over(by_ratio))
-        .where(f"bu_rank <= {TOP} AND {positive('ratio')} AND indicator = {quoted(business.STRUCTURE)}")
-    )
-
-
-def structure_detail(leaves: DataFrame, split: DataFrame) -> DataFrame:
+def structure_detail(leaves: DataFrame, picks: DataFrame) -> DataFrame:
     """Dimension elements of the chosen lines, ranked by explanatory power.
 
     The few chosen lines cut the leaves before anything is computed on them.
     """
     parent = list(adtributor.PARENT)
-    picks = structure_picks(split)
-    chosen = leaves.join(picks.select(*parent, "bu_rank"), parent)
+    shares = picked(picks, business.STRUCTURE)
+    chosen = leaves.join(shares.select(*parent, "bu_rank"), parent)
     explained = adtributor.explain_additive(chosen, carry=("bu_rank",))
-    rows = adtributor.contributions(explained, picks)
+    rows = adtributor.contributions(explained, shares)
     eligible = adtributor.reaches("ep", adtributor.EP_THRESHOLD)
     by_ep = W.partitionBy(*adtributor.PARENT, F.expr(eligible)).orderBy(
         largest_first("ep"), "dim_idx", "element"
