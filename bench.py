@@ -19,7 +19,7 @@ HEADLINE = (
     "base_rollup",
     "bounds_table",
     "detect_flags",
-    "indicator_rates",
+    "indicator",
     "special_channel",
     "bu_split",
     "adtributor_topk",

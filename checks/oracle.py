@@ -435,7 +435,7 @@ def _earlier(day: str, name: str) -> list[str]:
     ]
 
 
-ORACLES["latest_bounds_asof"] = with_(
+ORACLES["latest_bounds"] = with_(
     FACT,
     *_earlier("2000-06-11", "newer"),
     *_earlier("2000-06-09", "older"),
@@ -563,7 +563,7 @@ UNION ALL SELECT period, usersource, 'bu', bu, {r4s(_BASE_VALUES)}, {ints(['n_cu
 FROM line WHERE period = '{_p}'""",
     )
 
-ORACLES["indicator_rates"] = with_(
+ORACLES["indicator"] = with_(
     FACT,
     windows(59),
     base("tot", [], KPI),

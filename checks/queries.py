@@ -6,6 +6,7 @@ engines; dates come out as text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +23,11 @@ from ratiolens.plans.learn import LOOKBACK as LEARN_BACK
 from ratiolens.plans.learn import learn_bounds
 from ratiolens.sources.fact import DIMENSIONS, MEASURES, compact, paired_windows
 from ratiolens.sources.order_fact import order_fact
-from ratiolens.sources.results import latest_bounds
-from ratiolens.sources.staging import stage
+from ratiolens.sources.results import latest_bounds, save_partitions_to_path
+from ratiolens.sources.staging import shared_folder, stage
 
 DAY = "2000-06-13"
-EARLIER_DAY = "2000-06-11"
+EARLIER_DAYS = ("2000-06-09", "2000-06-11")
 BACK = 59
 
 
@@ -206,13 +207,17 @@ def bounds_table(spark: SparkSession, sf: str) -> DataFrame:
     return _learned(spark, sf)
 
 
-@query
-def latest_bounds_asof(spark: SparkSession, sf: str) -> DataFrame:
-    """Two saved days, neither the run day: the newer one wins."""
-    saved = _learned(spark, sf, EARLIER_DAY).unionByName(
-        _learned(spark, sf, "2000-06-09")
-    )
-    return latest_bounds(saved, DAY)
+def _latest_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Bounds of two days saved by day, one day written twice; the newer day wins."""
+    path = f"{shared_folder(spark)}/ratiolens/bounds-{uuid.uuid4().hex}"
+    for day in EARLIER_DAYS:
+        learned = _learned(spark, sf, day)
+        save_partitions_to_path(learned, path)
+    save_partitions_to_path(learned, path)
+    return latest_bounds(spark.read.schema(learned.schema).parquet(path), DAY)
+
+
+REGISTRY["latest_bounds"] = _latest_bounds
 
 
 DETECT_RATIOS = [
@@ -293,12 +298,14 @@ REGISTRY["baseline_week"] = _baseline_period(C.week)
 REGISTRY["baseline_month"] = _baseline_period(C.month)
 
 
-@query
-def indicator_rates(spark: SparkSession, sf: str) -> DataFrame:
+def _indicator(spark: SparkSession, sf: str) -> DataFrame:
     base = level_baseline(tagged(spark, sf), DAY, C, [()], D.kpi_measures(C))
     return shaped(indicator(base), ["period", "usersource"], ratios=["actual", "pred"])
 
 
+REGISTRY["indicator"] = _indicator
+
+
 def _scene(indicator_name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         base = level_baseline(tagged(spark, sf), DAY, C, special.LEVELS, D.special_measures())

@@ -62,6 +62,8 @@ def analyse(
     combination. ``bu_text`` picks the number shown in the business-line text:
     the contribution ``ratio``, or the element's ``pred``.
     """
+    if target not in L.TARGETS:
+        raise ValueError(f"target must be one of {', '.join(L.TARGETS)}")
     detail = stage(drill_down(fact, day, codes, periods, bu_text), "detail")
     rows = report_rows(detail).unionByName(conclusion_rows(detail, day, target, codes))
     return rows.selectExpr(

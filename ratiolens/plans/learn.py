@@ -20,7 +20,13 @@ def learn_bounds(
     threshold: float = 2.0,
     pair: str = "newest",
     month_bound: str = "qoq",
+    date_column: str = "d",
 ) -> DataFrame:
-    """The bounds table of ``day``: one fact scan for all sources, metrics and horizons."""
-    kpi = daily(paired_windows(fact, day, back, codes), (), kpi_measures(codes))
+    """The bounds table of ``day``: one fact scan for all sources, metrics and horizons.
+
+    ``date_column='label_period'`` ranges over the business date where late rows
+    sit in other partitions; the scan then cannot prune.
+    """
+    tagged = paired_windows(fact, day, back, codes, date_column)
+    kpi = daily(tagged, (), kpi_measures(codes))
     return bounds_table(all_samples(kpi, pair, month_bound), day, threshold)

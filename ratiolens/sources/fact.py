@@ -37,10 +37,16 @@ LONGEST_LOOKBACK = 364
 
 
 def read_fact(spark: SparkSession, table: str | None = None, path: str | None = None) -> DataFrame:
-    """The fact table from the catalog, or from a parquet folder partitioned by ``d``."""
-    if table is not None:
-        return spark.table(table)
-    return spark.read.schema(FACT_SCHEMA).parquet(path)
+    """The fact table from the catalog, or from a parquet folder partitioned by ``d``.
+
+    A catalog table may keep dates as text and amounts as decimals; its columns
+    are cast to the schema (casts of matching types vanish in the plan, and a
+    cast partition column still prunes).
+    """
+    if table is None:
+        return spark.read.schema(FACT_SCHEMA).parquet(path)
+    casts = [f"cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in FACT_SCHEMA]
+    return spark.table(table).selectExpr(*casts)
 
 
 def check_lookback(back: int) -> None:
@@ -48,18 +54,21 @@ def check_lookback(back: int) -> None:
         raise ValueError(f"lookback must be 0..{LONGEST_LOOKBACK} days, else the years overlap")
 
 
-def paired_windows(fact: DataFrame, day: str, back: int, codes: Codes) -> DataFrame:
+def paired_windows(
+    fact: DataFrame, day: str, back: int, codes: Codes, date_column: str = "d"
+) -> DataFrame:
     """Daily rows of both year windows from one scan, tagged ``side`` cur or prev.
 
-    The range is on the partition column ``d``; all bounds fold to literals, so
-    the scan prunes to the two windows. The earlier window ends on the same
-    calendar day a year before (29 February becomes the 28th).
+    The range is on the partition column ``d`` unless ``date_column`` names the
+    business date; all bounds fold to literals, so on ``d`` the scan prunes to
+    the two windows. The earlier window ends on the same calendar day a year
+    before (29 February becomes the 28th).
     """
     check_lookback(back)
     last = f"DATE'{day}'"
     last_prev = f"add_months({last}, -12)"
-    in_current = f"d BETWEEN date_sub({last}, {back}) AND {last}"
-    in_previous = f"d BETWEEN date_sub({last_prev}, {back}) AND {last_prev}"
+    in_current = f"{date_column} BETWEEN date_sub({last}, {back}) AND {last}"
+    in_previous = f"{date_column} BETWEEN date_sub({last_prev}, {back}) AND {last_prev}"
     return fact.where(
         f"period = {quoted(codes.day)} AND ({in_current} OR {in_previous})"
     ).selectExpr("*", f"CASE WHEN {in_current} THEN '{CURRENT}' ELSE '{PREVIOUS}' END AS side")

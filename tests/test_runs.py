@@ -247,3 +247,38 @@ def test_partitioned_fact_is_pruned(spark, tmp_path):
     scan = next(x for x in plan.splitlines() if "FileScan" in x)
     assert "PartitionFilters: [" in scan and "d#" in scan.split("PartitionFilters: [")[1]
     assert "nqh_cnt" not in scan and "platform" not in scan
+
+
+def test_catalog_table_with_text_dates_and_decimals(spark):
+    """Other types in the catalog give the same bounds, and text partitions still prune."""
+    fact = random_fact(spark, ORDER_CODES, days=40)
+    stored = fact.selectExpr(
+        *[
+            f"cast({c} AS string) AS {c}" if c in ("d", "label_period")
+            else f"cast({c} AS decimal(38, 6)) AS {c}" if "amt" in c and "cnt" not in c
+            else c
+            for c in fact.columns
+        ]
+    )
+    stored.write.partitionBy("d").format("parquet").saveAsTable("stored_fact")
+    learned = learn_bounds(read_fact(spark, table="stored_fact"), str(DAY), ORDER_CODES)
+    plan = learned._jdf.queryExecution().toString()
+    scan = next(x for x in plan.splitlines() if "FileScan" in x)
+    assert "d#" in scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    got = {r["Usersource"]: r for r in learned.collect()}
+    for row in learn_bounds(fact, str(DAY), ORDER_CODES).collect():
+        for name in ("self_rt_day_top", "self_rt_week_bottom", "highRate_rt_day_bottom"):
+            assert got[row["Usersource"]][name] == pytest.approx(row[name], abs=2e-4)
+
+
+def test_business_date_range(spark):
+    """By business date a late row counts, by partition date it does not."""
+    rows = [
+        {"label_period": DAY - dt.timedelta(days=i), "d": DAY + dt.timedelta(days=9)}
+        | {"amt": 4.0, "self_amt": 1.0}
+        for i in range(20)
+    ]
+    fact = make_fact(spark, rows)
+    by_date = learn_bounds(fact, str(DAY), ORDER_CODES, date_column="label_period")
+    assert by_date.count() == 1
+    assert learn_bounds(fact, str(DAY), ORDER_CODES).count() == 0
