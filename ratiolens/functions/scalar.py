@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 
 def quoted(value: str) -> str:
     """A string literal."""
-    escaped = value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
+    escaped = (
+        value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n").replace("\t", "\\t")
+    )
     return f"'{escaped}'"
 
 
@@ -58,6 +62,13 @@ def positive(value: str) -> str:
     return f"{settled(value)} > 0"
 
 
+def filled(template: str, **values: str) -> str:
+    """Text from a template whose {names} stand for the given SQL expressions."""
+    pieces = re.split(r"\{(\w+)\}", template)
+    parts = [values[p] if i % 2 else quoted(p) for i, p in enumerate(pieces) if i % 2 or p]
+    return f"concat({', '.join(parts)})"
+
+
 def percent_text(value: str) -> str:
     """Share as text with two decimals and a percent sign; NULL reads 'nan%'.
 

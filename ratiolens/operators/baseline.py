@@ -99,7 +99,10 @@ def baseline(series: DataFrame, keys: list[str], measures: list[str], codes: Cod
         f"position <= coalesce({k}, size - 1) AS leading",
         f"position > size - coalesce({k}, 1) AS measured",
     )
-    sums = {"n_cur": "count(CASE WHEN cur THEN 1 END)", "n_prev": "count(CASE WHEN NOT cur THEN 1 END)"}
+    sums = {
+        "n_cur": "count(CASE WHEN cur THEN 1 END)",
+        "n_prev": "count(CASE WHEN NOT cur THEN 1 END)",
+    }
     for name in measures:
         for side, when in (("cur", "cur"), ("prev", "NOT cur")):
             sums[f"{side}_tail_{name}"] = f"avg(CASE WHEN {when} AND measured THEN {name} END)"

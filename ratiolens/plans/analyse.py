@@ -9,7 +9,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ratiolens.codes import Codes
-from ratiolens.functions.scalar import gap, percent_text, positive, quoted, quoted_list, ratio
+from ratiolens.functions.scalar import (
+    filled,
+    gap,
+    percent_text,
+    positive,
+    quoted,
+    quoted_list,
+    ratio,
+)
 from ratiolens.operators import adtributor, business, permeability, special
 from ratiolens.operators.baseline import TOTAL_LEVEL, level_baseline, lookbacks
 from ratiolens.operators.daily import funnel_measures, kpi_measures, special_measures
@@ -65,7 +73,7 @@ def analyse(
     if target not in L.TARGETS:
         raise ValueError(f"target must be one of {', '.join(L.TARGETS)}")
     detail = stage(drill_down(fact, day, codes, periods, bu_text), "detail")
-    rows = report_rows(detail).unionByName(conclusion_rows(detail, day, target, codes))
+    rows = report_rows(detail).unionByName(conclusion_rows(detail, day, target))
     return rows.selectExpr(
         f"{quoted(day)} AS Date",
         "period AS Period",
@@ -193,6 +201,7 @@ def bu_detail(split: DataFrame, picks: DataFrame, bu_text: str = "ratio") -> Dat
         raise ValueError("bu_text must be 'ratio' or 'pred'")
     keys = [*permeability.KEYS, "indicator"]
     ranks = picks.selectExpr(*keys, "bu_rank AS rank")
+    shown = percent_text("pred" if bu_text == "pred" else f"({ratio('cts', 'total_gap')})")
     return business.bu_rows(split).join(ranks, keys, "left").selectExpr(
         "period",
         "usersource",
@@ -207,9 +216,7 @@ def bu_detail(split: DataFrame, picks: DataFrame, bu_text: str = "ratio") -> Dat
         f"{ratio('cts', 'total_gap')} AS ratio",
         "bu AS line",
         "rank",
-        f"""concat(bu, '的', indicator, '(',
-        {percent_text(f'({ratio("cts", "total_gap")})' if bu_text == 'ratio' else 'pred')},
-        ')') AS piece""",
+        f"{filled(L.PIECE_INDICATOR, element='bu', indicator='indicator', value=shown)} AS piece",
     )
 
 
@@ -308,6 +315,11 @@ def permeability_detail(chosen: DataFrame, codes: Codes) -> DataFrame:
         quoted(layer) for layer in (L.LAYER_FIRST, L.LAYER_SECOND, L.LAYER_THIRD)
     )
     splittable = quoted_list(list(permeability.third_models()))
+    value = percent_text("ratio")
+    indicator_piece = filled(
+        L.PIECE_INDICATOR, element="element", indicator="indicator", value=value
+    )
+    factor_piece = filled(L.PIECE_FACTOR, element="element", value=value)
     return nodes.selectExpr(
         "period",
         "usersource",
@@ -322,12 +334,12 @@ def permeability_detail(chosen: DataFrame, codes: Codes) -> DataFrame:
         f"CASE WHEN layer <> {first} THEN counter_rank END AS counter_rank",
         f"CASE WHEN layer = {third} THEN code_rank END AS code_rank",
         "rank",
-        f"""concat(CASE WHEN layer = {first} THEN concat(element, '的', indicator)
-        ELSE element END, '(', {percent_text('ratio')}, ')') AS piece""",
+        f"CASE WHEN layer = {first} THEN {indicator_piece} ELSE {factor_piece} END AS piece",
         f"""CASE WHEN layer = {first} AND indicator = {quoted(business.PERMEABILITY)}
-        THEN concat(line, '业务', element, '的', indicator)
+        THEN {filled(L.NEXT_FIRST, line='line', element='element', indicator='indicator')}
         WHEN layer = {second} AND factor IN ({splittable})
-        THEN concat(line, '业务', counter, '收银台的', element) END AS next_piece""",
+        THEN {filled(L.NEXT_SECOND, line='line', counter='counter', element='element')}
+        END AS next_piece""",
     )
 
 
@@ -348,6 +360,7 @@ def structure_detail(leaves: DataFrame, picks: DataFrame) -> DataFrame:
     dim = "CASE dim " + " ".join(
         f"WHEN {quoted(d)} THEN {quoted(label)}" for d, label in L.DIM_LABELS.items()
     ) + " END"
+    piece = filled(L.PIECE_STRUCTURE, element="element", dim=dim, value=percent_text("ep"))
     return rows.withColumn("position", F.row_number().over(by_ep)).selectExpr(
         "period",
         "usersource",
@@ -360,6 +373,7 @@ def structure_detail(leaves: DataFrame, picks: DataFrame) -> DataFrame:
         "bu AS line",
         "bu_rank",
         f"CASE WHEN {eligible} THEN position END AS rank",
-        f"concat(element, ' 的 ', {dim}, '(', {percent_text('ep')}, ')') AS piece",
-        "CASE WHEN parent_gap < 0 THEN '下降' ELSE '上升' END AS next_piece",
+        f"{piece} AS piece",
+        f"CASE WHEN parent_gap < 0 THEN {quoted(L.TREND_DOWN)} ELSE {quoted(L.TREND_UP)} END "
+        "AS next_piece",
     )

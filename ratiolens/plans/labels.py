@@ -11,6 +11,43 @@ CONCLUSION = "总结"
 
 TARGETS = {"self_rt": "自有支付占比"}
 
+TEXT_TOTAL = "{target}的预测值为{pred}, 实际值为{actual}, 差值为{gap}"
+TEXT_SPECIAL = "特殊场景中，{best}对异动的贡献最大，为{best_ratio}。{explained}。"
+TEXT_SPECIAL_WEAK = "但还达不到50%的水平，显然解释力不足，需要继续分析"
+TEXT_SPECIAL_STRONG = "特殊场景{elements}对异动的贡献达到{sum}，具有较强的解释力"
+TEXT_BU = "从结果看，贡献最大的Top3分别是: {top}。"
+TEXT_STRUCTURE = "造成{line}业务占比{trend}的主要维度的元素为: {top}"
+TEXT_FIRST = "从{line}业务线的渗透率归因来看，对大盘贡献的Top3为{top}。接下来要分析{next}。"
+TEXT_SECOND = (
+    "从{line}业务线的{counter}收银台{layer}归因来看，对大盘贡献的Top3为: {top}。"
+    "接下来要分析: {next}。"
+)
+TEXT_THIRD = (
+    "拆分{line}业务线的{counter}收银台的{code}指标进行{layer}归因，发现对大盘贡献的Top3为: {top}。"
+)
+
+# Pieces of the texts, one per ranked row, and what joins them.
+PIECE_INDICATOR = "{element}的{indicator}({value})"
+PIECE_FACTOR = "{element}({value})"
+PIECE_STRUCTURE = "{element} 的 {dim}({value})"
+NEXT_FIRST = "{line}业务{element}的{indicator}"
+NEXT_SECOND = "{line}业务{counter}收银台的{element}"
+TREND_DOWN, TREND_UP = "下降", "上升"
+BETWEEN_PIECES = "、"
+BETWEEN_LINES = "；"
+
+# The summary: its paragraphs, and the names of the result rows that hold a text.
+SUMMARY_HEAD = "{day} {period} {target}\n异动总结: "
+SUMMARY_SPECIAL = "\t·特殊场景: {text}"
+SUMMARY_BU = "\t·业务线拆分: {text}"
+SUMMARY_STRUCTURE = "\t·结构变化归因: {text}"
+SUMMARY_FIRST = "\t·一级渗透率归因: \n{text}"
+SUMMARY_SECOND = "\t·二级渗透率归因: \n{text}"
+SUMMARY_THIRD = "\t·三级渗透率归因: \n{text}"
+BETWEEN_PARAGRAPHS = "\n\n"
+INDENT = "\t\t"
+PERMEABILITY_MARK = "渗透率"
+
 DIM_LABELS = {
     "platform": "支付平台",
     "new_post_flag": "收银台",

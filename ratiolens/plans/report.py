@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ratiolens.codes import Codes
-from ratiolens.functions.scalar import percent_text, positive, quoted
+from ratiolens.functions.scalar import filled, percent_text, positive, quoted
 from ratiolens.operators.daily import aggregates
 from ratiolens.plans import labels as L
 
@@ -36,7 +35,7 @@ def joined_text(order: str, text: str, condition: str, separator: str) -> str:
     return f"array_join({texts}, {quoted(separator)})"
 
 
-def group_texts(detail: DataFrame) -> DataFrame:
+def group_texts(detail: DataFrame, target: str) -> DataFrame:
     """One conclusion text per group of siblings (per line in the structure layer).
 
     Only ranked rows are collected: at most three per group, and the short list
@@ -68,12 +67,17 @@ def group_texts(detail: DataFrame) -> DataFrame:
     found = groups.agg(
         *aggregates(
             {
-                "top": joined_text("rank", "piece", f"rank <= {TOP}", "、"),
+                "top": joined_text("rank", "piece", f"rank <= {TOP}", L.BETWEEN_PIECES),
                 "next": joined_text(
-                    "rank", "next_piece", f"rank <= {TOP} AND layer <> {layer['STRUCTURE']}", "、"
+                    "rank",
+                    "next_piece",
+                    f"rank <= {TOP} AND layer <> {layer['STRUCTURE']}",
+                    L.BETWEEN_PIECES,
                 ),
                 "trend": f"max(CASE WHEN layer = {layer['STRUCTURE']} THEN next_piece END)",
-                "positive": joined_text("rank", "piece", f"{is_special} AND {positive('ratio')}", "、"),
+                "positive": joined_text(
+                    "rank", "piece", f"{is_special} AND {positive('ratio')}", L.BETWEEN_PIECES
+                ),
                 "positive_sum": f"coalesce(sum(CASE WHEN {positive('ratio')} THEN ratio END), 0D)",
                 "best": "max(CASE WHEN rank = 1 THEN element END)",
                 "best_ratio": "max(CASE WHEN rank = 1 THEN ratio END)",
@@ -82,24 +86,35 @@ def group_texts(detail: DataFrame) -> DataFrame:
             }
         )
     )
-    text = f"""CASE layer
-    WHEN {layer['TOTAL']} THEN concat('的预测值为', {percent_text('total_pred')},
-      ', 实际值为', {percent_text('total_actual')},
-      ', 差值为', {percent_text('(total_actual - total_pred)')})
-    WHEN {layer['SPECIAL']} THEN concat('特殊场景中，', best, '对异动的贡献最大，为',
-      {percent_text('best_ratio')}, '。',
-      CASE WHEN positive_sum < 0.5D THEN '但还达不到50%的水平，显然解释力不足，需要继续分析'
-      ELSE concat('特殊场景', positive, '对异动的贡献达到', {percent_text('positive_sum')},
-        '，具有较强的解释力') END, '。')
-    WHEN {layer['BU']} THEN concat('从结果看，贡献最大的Top3分别是: ', top, '。')
-    WHEN {layer['STRUCTURE']} THEN concat('造成', line_group, '业务占比', trend,
-      '的主要维度的元素为: ', top)
-    WHEN {layer['FIRST']} THEN concat('从', line_group, '业务线的渗透率归因来看，对大盘贡献的Top3为',
-      top, '。接下来要分析', next, '。')
-    WHEN {layer['SECOND']} THEN concat('从', line_group, '业务线的', counter_group, '收银台',
-      layer, '归因来看，对大盘贡献的Top3为: ', top, '。接下来要分析: ', next, '。')
-    ELSE concat('拆分', line_group, '业务线的', counter_group, '收银台的', code, '指标进行',
-      layer, '归因，发现对大盘贡献的Top3为: ', top, '。') END AS text"""
+    explained = (
+        f"CASE WHEN positive_sum < 0.5D THEN {quoted(L.TEXT_SPECIAL_WEAK)} ELSE "
+        + filled(L.TEXT_SPECIAL_STRONG, elements="positive", sum=percent_text("positive_sum"))
+        + " END"
+    )
+    group = {"line": "line_group", "counter": "counter_group", "layer": "layer"}
+    group |= {"code": "code", "trend": "trend", "top": "top", "next": "next"}
+    by_layer = {
+        "TOTAL": filled(
+            L.TEXT_TOTAL,
+            target=quoted(L.TARGETS[target]),
+            pred=percent_text("total_pred"),
+            actual=percent_text("total_actual"),
+            gap=percent_text("(total_actual - total_pred)"),
+        ),
+        "SPECIAL": filled(
+            L.TEXT_SPECIAL,
+            best="best",
+            best_ratio=percent_text("best_ratio"),
+            explained=explained,
+        ),
+        "BU": filled(L.TEXT_BU, **group),
+        "STRUCTURE": filled(L.TEXT_STRUCTURE, **group),
+        "FIRST": filled(L.TEXT_FIRST, **group),
+        "SECOND": filled(L.TEXT_SECOND, **group),
+        "THIRD": filled(L.TEXT_THIRD, **group),
+    }
+    cases = " ".join(f"WHEN {layer[name]} THEN {sql}" for name, sql in by_layer.items())
+    text = f"CASE layer {cases} END AS text"
     return found.selectExpr(
         "period",
         "usersource",
@@ -114,17 +129,17 @@ def group_texts(detail: DataFrame) -> DataFrame:
     )
 
 
-def conclusion_rows(detail: DataFrame, day: str, target: str, codes: Codes) -> DataFrame:
+def conclusion_rows(detail: DataFrame, day: str, target: str) -> DataFrame:
     """Text rows: one per layer of a source, per group in the levels below, and the summary."""
-    texts = group_texts(detail)
-    end = quoted(L.CONCLUSION)
+    texts = group_texts(detail, target)
+    end, mark = quoted(L.CONCLUSION), quoted(L.PERMEABILITY_MARK)
     none = ["cast(NULL AS double) AS " + n for n in NUMBERS]
     below = texts.where(f"layer IN ({', '.join(quoted(x) for x in LAYERS_BELOW)})").selectExpr(
         "period",
         "usersource",
         "layer",
         f"""concat_ws('-', line_group, counter_group, code,
-        CASE WHEN layer <> {quoted(L.LAYER_FIRST)} THEN '渗透率' END, {end}) AS indicator""",
+        CASE WHEN layer <> {quoted(L.LAYER_FIRST)} THEN {mark} END, {end}) AS indicator""",
         f"{end} AS element",
         *none,
         "text AS conclusion",
@@ -137,7 +152,7 @@ def conclusion_rows(detail: DataFrame, day: str, target: str, codes: Codes) -> D
                 "special": joined_text(order, "text", f"layer = {quoted(L.LAYER_SPECIAL)}", ""),
                 "bu": joined_text(order, "text", f"layer = {quoted(L.LAYER_BU)}", ""),
                 "structure": joined_text(
-                    order, "text", f"layer = {quoted(L.LAYER_STRUCTURE)}", "；"
+                    order, "text", f"layer = {quoted(L.LAYER_STRUCTURE)}", L.BETWEEN_LINES
                 ),
                 "first": _indented(order, L.LAYER_FIRST),
                 "second": _indented(order, L.LAYER_SECOND),
@@ -145,21 +160,17 @@ def conclusion_rows(detail: DataFrame, day: str, target: str, codes: Codes) -> D
             }
         )
     )
-    named = per_source.selectExpr(
-        "period",
-        "usersource",
-        f"concat({quoted(L.TARGETS[target])}, total) AS total",
-        *["special", "bu", "structure", "first", "second", "third"],
-    )
-    summary = f"""concat_ws('\\n\\n',
-    concat({quoted(day)}, ' ', period, ' ', {quoted(target)}, '\\n异动总结: '),
-    total,
-    concat('\\t·特殊场景: ', special),
-    concat('\\t·业务线拆分: ', bu),
-    concat('\\t·结构变化归因: ', structure),
-    concat('\\t·一级渗透率归因: \\n', first),
-    concat('\\t·二级渗透率归因: \\n', second),
-    concat('\\t·三级渗透率归因: \\n', third))"""
+    paragraphs = [
+        filled(L.SUMMARY_HEAD, day=quoted(day), period="period", target=quoted(target)),
+        "total",
+        filled(L.SUMMARY_SPECIAL, text="special"),
+        filled(L.SUMMARY_BU, text="bu"),
+        filled(L.SUMMARY_STRUCTURE, text="structure"),
+        filled(L.SUMMARY_FIRST, text="first"),
+        filled(L.SUMMARY_SECOND, text="second"),
+        filled(L.SUMMARY_THIRD, text="third"),
+    ]
+    summary = f"concat_ws({quoted(L.BETWEEN_PARAGRAPHS)}, {', '.join(paragraphs)})"
     rows = ", ".join(
         f"struct({quoted(layer)} AS layer, {text} AS conclusion)"
         for layer, text in (
@@ -170,7 +181,7 @@ def conclusion_rows(detail: DataFrame, day: str, target: str, codes: Codes) -> D
             (L.CONCLUSION, summary),
         )
     )
-    upper = named.selectExpr("period", "usersource", f"inline(array({rows}))").selectExpr(
+    upper = per_source.selectExpr("period", "usersource", f"inline(array({rows}))").selectExpr(
         "period",
         "usersource",
         "layer",
@@ -183,4 +194,4 @@ def conclusion_rows(detail: DataFrame, day: str, target: str, codes: Codes) -> D
 
 
 def _indented(order: str, layer: str) -> str:
-    return joined_text(order, "concat('\\t\\t', text)", f"layer = {quoted(layer)}", "\n")
+    return joined_text(order, f"concat({quoted(L.INDENT)}, text)", f"layer = {quoted(layer)}", "\n")
