@@ -12,8 +12,7 @@ import __spark_entry__ as entry_points
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region", "nation", "customer", "orders", "lineitem")
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES, ORACLES = entry_points.REGISTRY, entry_points.ORACLES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
 
