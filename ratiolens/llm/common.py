@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator
     """Parts of record batches with about ``limit`` bytes of text each (one row at least)."""
     for batch in batches:
         sizes = np.array(
-            pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0), dtype=np.int64
+            pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64
         )
         if not len(sizes):
             continue
