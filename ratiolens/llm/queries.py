@@ -10,6 +10,7 @@ from ratiolens.llm import (
     exact_dedup,
     fingerprints,
     html_text,
+    jaccard_join,
     mixing,
     packing,
     pii,
@@ -55,6 +56,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.duplicate_rows(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -86,6 +91,7 @@ REGISTRY = {
     "op1_repeated_strings": op1,
     "op2_chat": op2,
     "op3_personal_data": op3,
+    "op4_jaccard_join": op4,
     "op5_exact_dedup": op5,
     "op6_page_text": op6,
     "op7_toxicity": op7,
