@@ -57,7 +57,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents")).drop("print")
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
