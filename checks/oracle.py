@@ -22,6 +22,14 @@ def r6(x: str) -> str:
     return f"(round({x} + 0.0000000317, 6) + 0.0)"
 
 
+def fine(x: str) -> str:
+    """Twelve places near zero."""
+    return (
+        f"(CASE WHEN abs({x}) < 1e-4 THEN round(({x}) * 1000000 + 0.0000000317, 6) / 1000000 "
+        f"ELSE {r6(x)} END + 0.0)"
+    )
+
+
 def r4(x: str) -> str:
     """Four places, nudged likewise."""
     return f"(round({x} + 0.00000317, 4) + 0.0)"
@@ -299,10 +307,13 @@ LEFT JOIN month_rows USING (usersource, label_period)""",
 )
 
 
-def sample_ctes(prefix: str = "", src: str = "daily", oldest: bool = False) -> str:
-    """Day, week and month samples per source and metric."""
+def sample_ctes(
+    prefix: str = "", src: str = "daily", oldest: bool = False, learned: bool = False
+) -> str:
+    """Day, week and month samples per source and metric; ``learned``: days from the oldest on."""
     p = prefix
     direction = "" if oldest else "DESC"
+    day_direction = "" if oldest or learned else "DESC"
     trailing = "PARTITION BY usersource, metric ORDER BY label_period ROWS BETWEEN {} PRECEDING AND CURRENT ROW"
     four = ("cur_num", "cur_amt", "prev_num", "prev_amt")
 
@@ -335,7 +346,7 @@ def sample_ctes(prefix: str = "", src: str = "daily", oldest: bool = False) -> s
   FROM {p}long
 ), {p}whole AS (
   SELECT *, rt / nullif(mean7, 0) AS t,
-    row_number() OVER (PARTITION BY side, usersource, metric ORDER BY label_period {direction}) AS rk
+    row_number() OVER (PARTITION BY side, usersource, metric ORDER BY label_period {day_direction}) AS rk
   FROM {p}smooth WHERE n7 = 7
 ), {p}day_samples AS (
   SELECT a.usersource, a.metric, 'day' AS horizon, a.label_period, {div('a.t', 'b.t')} AS value
@@ -376,6 +387,7 @@ def _sample_oracle(select_from: str, oldest: bool = False) -> str:
 ORACLES["bounds_day"] = _sample_oracle("day_samples")
 ORACLES["bounds_week"] = _sample_oracle("week_samples")
 ORACLES["bounds_month"] = _sample_oracle("month_samples")
+ORACLES["bounds_day_oldest"] = _sample_oracle("day_samples", oldest=True)
 ORACLES["bounds_week_oldest"] = _sample_oracle("week_samples", oldest=True)
 ORACLES["bounds_month_double"] = _sample_oracle(
     "(SELECT usersource, metric, 'month' AS horizon, label_period, "
@@ -419,7 +431,7 @@ ORACLES["bounds_table"] = with_(
     FACT,
     windows(295),
     daily([], KPI),
-    sample_ctes(),
+    sample_ctes(learned=True),
     bounds_cte("bounds", DAY),
     select="SELECT * FROM bounds",
 )
@@ -430,7 +442,7 @@ def _earlier(day: str, name: str) -> list[str]:
     return [
         windows(295, f"DATE '{day}'", f"DATE '{prev}'", f"{name}_win"),
         daily([], KPI, f"{name}_daily", f"{name}_win"),
-        sample_ctes(f"{name}_", f"{name}_daily"),
+        sample_ctes(f"{name}_", f"{name}_daily", learned=True),
         bounds_cte(f"{name}_bounds", day, f"{name}_", f"{name}_daily"),
     ]
 
@@ -486,7 +498,7 @@ _DETECT_CTES = [
     FACT,
     windows(295, name="learn_win"),
     daily([], KPI, "learn_daily", "learn_win"),
-    sample_ctes("learn_", "learn_daily"),
+    sample_ctes("learn_", "learn_daily", learned=True),
     bounds_cte("bounds", DAY, "learn_", "learn_daily"),
     windows(299),
     daily([], KPI),
@@ -516,6 +528,19 @@ ORACLES["detect_flags"] = with_(
 FROM detected WHERE label_period = {LAST}""",
 )
 
+ORACLES["saved_flags"] = ORACLES["detect_flags"]
+ORACLES["daily_kpi_long"] = _daily_oracle([], KPI, 400)
+ORACLES["stored_fact_kpi"] = with_(
+    FACT,
+    """exact AS (SELECT * REPLACE (CAST(amt AS DECIMAL(18, 4)) AS amt,
+    CAST(self_amt AS DECIMAL(18, 4)) AS self_amt) FROM fact)""",
+    windows(59).replace("FROM fact", "FROM exact"),
+    daily([], KPI),
+    select=f"""SELECT side, usersource, CAST(label_period AS VARCHAR) AS label_period,
+  {r4s(list(KPI))} FROM (SELECT * REPLACE (CAST(amt AS DOUBLE) AS amt,
+  CAST(self_amt AS DOUBLE) AS self_amt, CAST(highRate_amt AS DOUBLE) AS highRate_amt) FROM daily)""",
+)
+
 # -------------------------------------------------------------------- baseline
 
 
@@ -958,7 +983,8 @@ for _c in _COUNTERS:
     ORACLES[f"sec_{_c}"] = with_(
         *line_ctes(SECOND),
         second_sql(_c),
-        select=f"SELECT {_SPLIT_KEYS}, {r6s(_VALUES)} FROM second_{_c}_rows",
+        select=f"SELECT {_SPLIT_KEYS}, {names(_VALUES[:3], fine)}, {r6s(_VALUES[3:])} "
+        f"FROM second_{_c}_rows",
     )
 
 _ENTRY = "{t}_nocard_entry + {t}_havecard_entry"
@@ -1157,7 +1183,7 @@ _HEAD = f"""'{DAY}' AS "Date", period AS "Period", 'self_rt' AS "Target", userso
 
 
 def _either(x: str, name: str) -> str:
-    return f"CASE WHEN layer = '结构分析' THEN {r4(x)} ELSE {r6(x)} END AS \"{name}\""
+    return f"CASE WHEN layer = '结构分析' THEN {r4(x)} ELSE {fine(x)} END AS \"{name}\""
 
 
 ORACLES["contributions"] = with_(
@@ -1282,3 +1308,11 @@ ORACLES["conclusions"] = with_(
     select=f"""SELECT {_HEAD.replace('element AS', "'总结' AS")}, text AS "Conclusion", '{DAY}' AS d
 FROM conclusions""",
 )
+
+_BU_TEXT = next(t for t in TEXTS if t.startswith("t_bu AS"))
+ORACLES["conclusions_pred"] = with_(
+    *FULL,
+    _BU_TEXT.replace(pct("ratio"), pct("pred")),
+    select=f"""SELECT {_HEAD.replace('element AS', "'总结' AS")}, text AS "Conclusion", '{DAY}' AS d
+FROM (SELECT {_N}, 'BU拆分' AS layer, '总结' AS indicator, text FROM t_bu)""",
+)

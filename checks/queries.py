@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ratiolens.codes import ORDER_CODES as C
 from ratiolens.operators import adtributor, bounds, business, detect, permeability, special
@@ -19,9 +20,17 @@ from ratiolens.operators.permeability import lmdi_split, with_contributions
 from ratiolens.plans import analyse as A
 from ratiolens.plans import labels as L
 from ratiolens.plans.detect import LOOKBACK as DETECT_BACK
+from ratiolens.plans.detect import detect as run_detection
 from ratiolens.plans.learn import LOOKBACK as LEARN_BACK
 from ratiolens.plans.learn import learn_bounds
-from ratiolens.sources.fact import DIMENSIONS, MEASURES, compact, paired_windows
+from ratiolens.sources.fact import (
+    AMOUNTS,
+    DIMENSIONS,
+    MEASURES,
+    compact,
+    paired_windows,
+    read_fact,
+)
 from ratiolens.sources.order_fact import order_fact
 from ratiolens.sources.results import latest_bounds, save_partitions_to_path
 from ratiolens.sources.staging import shared_folder, stage
@@ -41,6 +50,14 @@ def r4(column: str) -> str:
     return f"round({column} + 0.00000317D, 4)"
 
 
+def fine(column: str) -> str:
+    """Six places, and twelve for values near zero, such as the inverse of an amount."""
+    return (
+        f"CASE WHEN abs({column}) < 1e-4 THEN "
+        f"round({column} * 1000000D + 0.0000000317D, 6) / 1000000D ELSE {r6(column)} END"
+    )
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -56,11 +73,13 @@ def shaped(
     ratios: list[str] = (),
     amounts: list[str] = (),
     counts: list[str] = (),
+    fines: list[str] = (),
 ) -> DataFrame:
     dates = ("label_period", "prev_label_period", "d")
     return df.selectExpr(
         *[f"cast({k} AS string) AS {k}" if k in dates else k for k in keys],
         *[f"{r6(c)} AS {c}" for c in ratios],
+        *[f"{fine(c)} AS {c}" for c in fines],
         *[f"{r4(c)} AS {c}" for c in amounts],
         *[f"cast({c} AS bigint) AS {c}" for c in counts],
     )
@@ -186,6 +205,7 @@ def _samples(make: Callable[[DataFrame], DataFrame]) -> Query:
 REGISTRY["bounds_day"] = _samples(bounds.day_samples)
 REGISTRY["bounds_week"] = _samples(bounds.week_samples)
 REGISTRY["bounds_month"] = _samples(bounds.month_samples)
+REGISTRY["bounds_day_oldest"] = _samples(lambda s: bounds.day_samples(s, pair="oldest"))
 REGISTRY["bounds_week_oldest"] = _samples(lambda s: bounds.week_samples(s, pair="oldest"))
 REGISTRY["bounds_month_double"] = _samples(
     lambda s: bounds.month_samples(s, month_bound="double_ratio")
@@ -236,9 +256,22 @@ DETECT_RATIOS = [
 ]
 
 
+def _shared_kpi(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily sums per source and category over the longer lookback: a few rows a day.
+
+    They keep the fact's columns, so learning and detection both run on them and
+    the order tables are read once.
+    """
+    return stage(
+        compact(order_fact(spark, sf, [(DAY, DETECT_BACK)]), ("paycategory",), ("amt", "self_amt")),
+        "kpi",
+    )
+
+
 def _detection(spark: SparkSession, sf: str) -> DataFrame:
-    saved = _learned(spark, sf)
-    return detect.detection_series(kpi(spark, sf, DETECT_BACK), latest_bounds(saved, DAY), C)
+    shared = _shared_kpi(spark, sf)
+    series = D.daily(paired_windows(shared, DAY, DETECT_BACK, C), (), D.kpi_measures(C))
+    return detect.detection_series(series, latest_bounds(learn_bounds(shared, DAY, C), DAY), C)
 
 
 def _detect_period(period: str) -> Query:
@@ -263,6 +296,41 @@ def detect_flags(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def saved_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """The runs as users call them: bounds saved, flags of two days saved, one day twice."""
+    folder = f"{shared_folder(spark)}/ratiolens/runs-{uuid.uuid4().hex}"
+    shared = _shared_kpi(spark, sf)
+    save_partitions_to_path(learn_bounds(shared, DAY, C), f"{folder}/bounds")
+    saved = spark.read.parquet(f"{folder}/bounds").withColumn("d", F.col("d").cast("string"))
+    for day in ("2000-06-12", DAY, DAY):
+        judged = saved.withColumn("d", F.lit("2000-06-01"))  # known before either day
+        save_partitions_to_path(run_detection(shared, judged, day, C), f"{folder}/flags")
+    flags = [f"{metric}_flag" for metric in bounds.METRICS]
+    rows = spark.read.parquet(f"{folder}/flags").where(F.col("d") == DAY)
+    return shaped(
+        rows, ["label_period", "usersource", "period", "d"], ratios=DETECT_RATIOS, counts=flags
+    )
+
+
+@query
+def stored_fact_kpi(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored fact table with text dates and decimal amounts, read and summed exactly."""
+    folder = f"{shared_folder(spark)}/ratiolens/fact-{uuid.uuid4().hex}"
+    amounts = {n: f"cast({n} AS decimal(18,4)) AS {n}" for n in AMOUNTS}
+    texts = {n: f"cast({n} AS string) AS {n}" for n in ("d", "label_period")}
+    fact = order_fact(spark, sf, [(DAY, BACK)])
+    fact.selectExpr(*[(amounts | texts).get(n, n) for n in fact.columns]).write.parquet(folder)
+    read = paired_windows(read_fact(spark, path=folder), DAY, BACK, C)
+    return shaped(D.daily(read, (), D.kpi_measures(C)), SERIES, amounts=KPI)
+
+
+@query
+def daily_kpi_long(spark: SparkSession, sf: str) -> DataFrame:
+    """A lookback beyond a year: days in both windows count on both sides."""
+    return shaped(kpi(spark, sf, 400), SERIES, amounts=KPI)
+
+
 # -------------------------------------------------------------------- baseline
 
 
@@ -465,7 +533,10 @@ def _second_query(counter: str) -> Query:
             split, permeability.second_model(counter), counter, None, L.SECOND_LABELS
         )
         return shaped(
-            with_contributions(rows), [*BU_KEYS, "factor", "element"], ratios=FACTOR_VALUES
+            with_contributions(rows),
+            [*BU_KEYS, "factor", "element"],
+            ratios=FACTOR_VALUES[3:],
+            fines=FACTOR_VALUES[:3],
         )
 
     return run
@@ -501,10 +572,13 @@ REGISTRY["thd_quicknew_chain"] = _third_query("quick_new_self_rt", "chain")
 @query
 def drill_top3(spark: SparkSession, sf: str) -> DataFrame:
     """The top lines and the chosen branches below them, with ranks."""
-    lines = _lines(spark, sf, D.funnel_measures(C))
+    base = stage(compact(tagged(spark, sf), D.FUNNEL_DIMS), "base")
+    lines = level_baseline(base, DAY, C, business.LEVELS, D.kpi_measures(C))
     split = stage(business.bu_split(lines), "split")
-    picks = A.top_lines(split)
-    chosen = stage(A.chosen_lines(split, picks), "chosen")
+    picks = stage(A.top_lines(split), "picks")
+    deep = A.below(base, A.picked(picks, business.PERMEABILITY))
+    funnel = level_baseline(deep, DAY, C, business.LEVELS[1:], D.funnel_measures(C))
+    chosen = stage(A.chosen_lines(split, picks, funnel), "chosen")
     nodes = A.choose_branches(A.permeability_nodes(chosen, C)).where("rank <= 3")
     top = picks.selectExpr(
         "period",
@@ -527,8 +601,8 @@ def drill_top3(spark: SparkSession, sf: str) -> DataFrame:
 REPORT_KEYS = ["Date", "Period", "Target", "Usersource", "Layer", "Indicator", "Element"]
 
 
-def _analysis(spark: SparkSession, sf: str) -> DataFrame:
-    return A.analyse(order_fact(spark, sf, [(DAY, BACK)]), DAY, C)
+def _analysis(spark: SparkSession, sf: str, bu_text: str = "ratio") -> DataFrame:
+    return A.analyse(order_fact(spark, sf, [(DAY, BACK)]), DAY, C, bu_text=bu_text)
 
 
 @query
@@ -539,7 +613,7 @@ def contributions(spark: SparkSession, sf: str) -> DataFrame:
     return rows.selectExpr(
         *REPORT_KEYS,
         *[
-            f"CASE WHEN {amount} THEN {r4(c)} ELSE {r6(c)} END AS {c}"
+            f"CASE WHEN {amount} THEN {r4(c)} ELSE {fine(c)} END AS {c}"
             for c in ("Actual", "Pred", "CTA")
         ],
         *[f"{r6(c)} AS {c}" for c in ("CTS", "CTB", "CTBRatio")],
@@ -551,3 +625,10 @@ def conclusions(spark: SparkSession, sf: str) -> DataFrame:
     """The text rows of the analysis table."""
     rows = _analysis(spark, sf).where("Conclusion IS NOT NULL")
     return rows.select(*REPORT_KEYS, "Conclusion", "d")
+
+
+@query
+def conclusions_pred(spark: SparkSession, sf: str) -> DataFrame:
+    """The line texts with the prediction instead of the contribution."""
+    rows = _analysis(spark, sf, bu_text="pred").where("Conclusion IS NOT NULL")
+    return rows.where(f"Layer = '{L.LAYER_BU}'").select(*REPORT_KEYS, "Conclusion", "d")

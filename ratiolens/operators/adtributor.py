@@ -13,6 +13,7 @@ from ratiolens.functions.attribution import (
 )
 from ratiolens.functions.scalar import gap, ratio, settled
 from ratiolens.operators.ranking import largest_first
+from ratiolens.operators.totals import with_totals
 
 DIMS = ("platform", "paycategory", "new_post_flag")
 LEAF = [("bu", *DIMS)]
@@ -53,12 +54,13 @@ def dimension_sums(
 def explain_additive(leaves: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Explanatory power and surprise of every element for the net amount.
 
-    The elements of a line are few; arranged by line they serve both the totals
-    here and a ranking on top without another exchange.
+    A line's totals are an aggregate joined back, so a ranking on top can cut
+    each partition to its own best elements before its shuffle.
     """
-    over = f"OVER (PARTITION BY {', '.join(PARENT)}, dim)"
-    totals = dimension_sums(leaves, carry=carry).repartition(*PARENT).selectExpr(
-        "*", f"sum(a_amt) {over} AS total_a", f"sum(p_amt) {over} AS total_p"
+    totals = with_totals(
+        dimension_sums(leaves, carry=carry),
+        (*PARENT, "dim"),
+        {"total_a": "sum(a_amt)", "total_p": "sum(p_amt)"},
     )
     shares = totals.selectExpr(
         "*", f"{ratio('a_amt', 'total_a')} AS p", f"{ratio('p_amt', 'total_p')} AS q"
@@ -79,10 +81,9 @@ def explain_additive(leaves: DataFrame, carry: tuple[str, ...] = ()) -> DataFram
 
 def explain_ratio(leaves: DataFrame) -> DataFrame:
     """The same for the own-instrument rate, over the last dimension only."""
-    over = f"OVER (PARTITION BY {', '.join(PARENT)})"
     names = ("a_amt", "p_amt", "a_self_amt", "p_self_amt")
-    totals = dimension_sums(leaves, DIMS[-1:]).selectExpr(
-        "*", *[f"sum({n}) {over} AS total_{n}" for n in names]
+    totals = with_totals(
+        dimension_sums(leaves, DIMS[-1:]), PARENT, {f"total_{n}": f"sum({n})" for n in names}
     )
     rates = totals.selectExpr(
         "*",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ratiolens.codes import Codes
 from ratiolens.functions.scalar import quoted, ratio
 from ratiolens.operators.daily import PAIR_KEYS, aggregates
-from ratiolens.sources.fact import CURRENT
+from ratiolens.sources.fact import CURRENT, with_doubles
 
 TOTAL_LEVEL = "total"
 
@@ -49,7 +49,9 @@ def level_series(
     spans = lookbacks(codes)
     periods = periods or codes.periods
     finest = finest_dims(levels)
-    grain = tagged.groupBy(*PAIR_KEYS, "d", "label_period", *finest).agg(*aggregates(measures))
+    grain = with_doubles(
+        tagged.groupBy(*PAIR_KEYS, "d", "label_period", *finest).agg(*aggregates(measures))
+    )
     age = (
         f"datediff(CASE WHEN side = '{CURRENT}' THEN DATE'{day}' "
         f"ELSE add_months(DATE'{day}', -12) END, d)"

@@ -120,13 +120,16 @@ def zscore_bounds(samples: DataFrame, keys: list[str], threshold: float = 2.0) -
     return samples.groupBy(*keys).agg(*aggregates(zscore_interval("value", threshold)))
 
 
-def all_samples(kpi: DataFrame, pair: str = "newest", month_bound: str = "qoq") -> DataFrame:
-    """The samples of every metric and horizon."""
+def all_samples(
+    kpi: DataFrame, pair: dict[str, str] | str = "newest", month_bound: str = "qoq"
+) -> DataFrame:
+    """The samples of every metric and horizon; ``pair`` for all of them, or by horizon."""
     series = metric_series(kpi)
+    by = pair if isinstance(pair, dict) else dict.fromkeys(HORIZONS, pair)
     return (
-        day_samples(series, pair)
-        .unionByName(week_samples(series, pair))
-        .unionByName(month_samples(series, pair, month_bound))
+        day_samples(series, by["day"])
+        .unionByName(week_samples(series, by["week"]))
+        .unionByName(month_samples(series, by["month"], month_bound))
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from ratiolens.functions.scalar import gap, quoted, ratio
 from ratiolens.operators.baseline import TOTAL_LEVEL
+from ratiolens.operators.totals import with_totals
 
 LEVELS = [(), ("bu",)]
 
@@ -17,29 +18,24 @@ def bu_split(base: DataFrame, numerator: str = "self_amt") -> DataFrame:
     """Business lines with this year's rows, their shares, rates and contributions.
 
     ``base`` has the LEVELS; its measure columns are kept for the deeper splits.
-    The overall rate and the totals reach each line through windows over the
-    source (as many rows as it has lines), so nothing is computed twice. The
-    rate change is weighted by the predicted share, hence the contributions
-    leave out the interaction of the two changes.
+    The overall rate and the totals are one small aggregate per source, joined
+    back to its lines. The rate change is weighted by the predicted share, hence
+    the contributions leave out the interaction of the two changes.
     """
-    over = "OVER (PARTITION BY period, usersource)"
     is_total = f"level = '{TOTAL_LEVEL}'"
     bring = {
-        f"all_{tag}_{name}": f"max(CASE WHEN {is_total} THEN {tag}_{name} END) {over}"
+        f"all_{tag}_{name}": f"max(CASE WHEN {is_total} THEN {tag}_{name} END)"
         for tag in ("a", "p")
         for name in ("amt", numerator)
     }
     sums = {
-        f"sum_{tag}_amt": f"sum(CASE WHEN NOT {is_total} THEN {tag}_amt END) {over}"
+        f"sum_{tag}_amt": f"sum(CASE WHEN NOT {is_total} THEN {tag}_amt END)"
         for tag in ("a", "p")
     }
     # sum over lines of (predicted share * predicted rate), times the predicted total amount
     weighted = f"CASE WHEN NOT {is_total} AND p_amt <> 0 THEN p_{numerator} END"
-    zoomed = base.selectExpr(
-        "*",
-        *[f"{sql} AS {name}" for name, sql in (bring | sums).items()],
-        f"sum({weighted}) {over} AS sum_p_weighted",
-    ).where(f"NOT {is_total} AND n_cur > 0")
+    totals = bring | sums | {"sum_p_weighted": f"sum({weighted})"}
+    zoomed = with_totals(base, ("period", "usersource"), totals).where(f"NOT {is_total} AND n_cur > 0")
     overall_a = ratio(f"all_a_{numerator}", "all_a_amt")
     overall_p = ratio(f"all_p_{numerator}", "all_p_amt")
     zoom = ratio(overall_p, ratio("sum_p_weighted", "sum_p_amt"))

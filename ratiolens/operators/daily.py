@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ratiolens.codes import Codes
 from ratiolens.functions.scalar import quoted, quoted_list
+from ratiolens.sources.fact import with_doubles
 
 PAIR_KEYS = ("side", "usersource")
 
@@ -137,4 +138,5 @@ FUNNEL_DIMS = ("bu", "paycategory", "new_post_flag", "paytype", "label_a")
 
 def daily(tagged: DataFrame, dims: tuple[str, ...], measures: dict[str, str]) -> DataFrame:
     """One row per year side, source, dimension values and date."""
-    return tagged.groupBy(*PAIR_KEYS, *dims, "label_period").agg(*aggregates(measures))
+    sums = tagged.groupBy(*PAIR_KEYS, *dims, "label_period").agg(*aggregates(measures))
+    return with_doubles(sums)

@@ -67,7 +67,8 @@ def analyse(
     """The analysis table of ``day`` for all sources and the given periods.
 
     The fact table is read once, into a staged table of daily sums per dimension
-    combination. ``bu_text`` picks the number shown in the business-line text:
+    combination. Lines are compared and picked on two measures first; only rows of
+    picked lines are read again for what lies below them. ``bu_text`` picks the number shown in the business-line text:
     the contribution ``ratio``, or the element's ``pred``.
     """
     if target not in L.TARGETS:
@@ -108,13 +109,29 @@ def drill_down(
     def at(levels, measures):
         return level_baseline(base, day, codes, levels, measures, periods)
 
-    lines = stage(at(business.LEVELS, funnel_measures(codes)), "lines")
+    lines = stage(at(business.LEVELS, kpi_measures(codes)), "lines")
     split = stage(business.bu_split(lines), "split")
-    picks = top_lines(split)
-    # At most three lines per source: the seven branches of the tree start from these files.
-    chosen = stage(chosen_lines(split, picks), "chosen")
+    picks = stage(top_lines(split), "picks")
+    # At most three lines per source go on: their rows of the base alone are read for
+    # the funnel, from whose files the branches of the tree start, and for the leaves.
+    funnel = level_baseline(
+        below(base, picked(picks, business.PERMEABILITY)),
+        day,
+        codes,
+        business.LEVELS[1:],
+        funnel_measures(codes),
+        periods,
+    )
+    chosen = stage(chosen_lines(split, picks, funnel), "chosen")
     scenes = special.special_scenes(at(special.LEVELS, special_measures()), codes)
-    leaves = at(adtributor.LEAF, kpi_measures(codes))
+    leaves = level_baseline(
+        below(base, picked(picks, business.STRUCTURE)),
+        day,
+        codes,
+        adtributor.LEAF,
+        kpi_measures(codes),
+        periods,
+    )
     parts = [
         total_detail(lines),
         special_detail(scenes),
@@ -188,11 +205,17 @@ def picked(picks: DataFrame, indicator: str) -> DataFrame:
     return picks.where(f"{positive('ratio')} AND indicator = {quoted(indicator)}")
 
 
-def chosen_lines(split: DataFrame, picks: DataFrame) -> DataFrame:
-    """Lines to drill into for their permeability, with their rank."""
+def below(base: DataFrame, picks: DataFrame) -> DataFrame:
+    """The rows of ``base`` that belong to picked lines, of whichever period."""
+    return base.join(picks.select("usersource", "bu").distinct(), ["usersource", "bu"], "left_semi")
+
+
+def chosen_lines(split: DataFrame, picks: DataFrame, funnel: DataFrame) -> DataFrame:
+    """Lines to drill into for their permeability: split, rank and funnel measures."""
     parent = list(permeability.KEYS)
     ranks = picked(picks, business.PERMEABILITY).select(*parent, "bu_rank")
-    return split.join(ranks, parent)
+    new = [c for c in funnel.columns if c not in split.columns]
+    return split.join(ranks, parent).join(funnel.select(*parent, *new), parent)
 
 
 def bu_detail(split: DataFrame, picks: DataFrame, bu_text: str = "ratio") -> DataFrame:
@@ -346,7 +369,8 @@ def permeability_detail(chosen: DataFrame, codes: Codes) -> DataFrame:
 def structure_detail(leaves: DataFrame, picks: DataFrame) -> DataFrame:
     """Dimension elements of the chosen lines, ranked by explanatory power.
 
-    The few chosen lines cut the leaves before anything is computed on them.
+    ``leaves`` are those of the picked lines; the join leaves the periods in which
+    a line was picked.
     """
     parent = list(adtributor.PARENT)
     shares = picked(picks, business.STRUCTURE)

@@ -10,6 +10,8 @@ from ratiolens.operators.daily import daily, kpi_measures
 from ratiolens.sources.fact import paired_windows
 
 LOOKBACK = 295
+# The day horizon pairs the years' dates from the oldest on, the others from the newest back.
+DEFAULT_PAIRS = {"day": "oldest", "week": "newest", "month": "newest"}
 
 
 def learn_bounds(
@@ -18,7 +20,7 @@ def learn_bounds(
     codes: Codes,
     back: int = LOOKBACK,
     threshold: float = 2.0,
-    pair: str = "newest",
+    pair: dict[str, str] | str = DEFAULT_PAIRS,
     month_bound: str = "qoq",
     date_column: str = "d",
 ) -> DataFrame:

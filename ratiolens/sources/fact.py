@@ -20,6 +20,7 @@ COUNTS = (
 )
 MEASURES = AMOUNTS + COUNTS
 
+# The columns of the fact table.
 FACT_SCHEMA = T.StructType(
     [
         T.StructField("label_period", T.DateType()),
@@ -33,25 +34,30 @@ FACT_SCHEMA = T.StructType(
 )
 
 CURRENT, PREVIOUS = "cur", "prev"
-LONGEST_LOOKBACK = 364
 
 
 def read_fact(spark: SparkSession, table: str | None = None, path: str | None = None) -> DataFrame:
     """The fact table from the catalog, or from a parquet folder partitioned by ``d``.
 
-    A catalog table may keep dates as text and amounts as decimals; its columns
-    are cast to the schema (casts of matching types vanish in the plan, and a
-    cast partition column still prunes).
+    Either may keep dates as text and amounts as decimals. Dates, texts and counts
+    are cast to the schema (casts of matching types vanish in the plan, and a cast
+    partition column still prunes). Decimal amounts stay decimals, so that their
+    sums are exact; ``compact`` and ``daily`` cast the sums.
     """
-    if table is None:
-        return spark.read.schema(FACT_SCHEMA).parquet(path)
-    casts = [f"cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in FACT_SCHEMA]
-    return spark.table(table).selectExpr(*casts)
+    source = spark.read.parquet(path) if table is None else spark.table(table)
+    types = dict(source.dtypes)
+    casts = [
+        f.name
+        if f.name in AMOUNTS and types[f.name].startswith("decimal")
+        else f"cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in FACT_SCHEMA
+    ]
+    return source.selectExpr(*casts)
 
 
 def check_lookback(back: int) -> None:
-    if not 0 <= back <= LONGEST_LOOKBACK:
-        raise ValueError(f"lookback must be 0..{LONGEST_LOOKBACK} days, else the years overlap")
+    if back < 0:
+        raise ValueError("lookback must not be negative")
 
 
 def paired_windows(
@@ -62,7 +68,8 @@ def paired_windows(
     The range is on the partition column ``d`` unless ``date_column`` names the
     business date; all bounds fold to literals, so on ``d`` the scan prunes to
     the two windows. The earlier window ends on the same calendar day a year
-    before (29 February becomes the 28th).
+    before (29 February becomes the 28th). A lookback of a year or more lets the
+    windows overlap; a row in both counts on both sides.
     """
     check_lookback(back)
     last = f"DATE'{day}'"
@@ -71,7 +78,18 @@ def paired_windows(
     in_previous = f"{date_column} BETWEEN date_sub({last_prev}, {back}) AND {last_prev}"
     return fact.where(
         f"period = {quoted(codes.day)} AND ({in_current} OR {in_previous})"
-    ).selectExpr("*", f"CASE WHEN {in_current} THEN '{CURRENT}' ELSE '{PREVIOUS}' END AS side")
+    ).selectExpr(
+        "*",
+        f"explode(array_compact(array(CASE WHEN {in_current} THEN '{CURRENT}' END, "
+        f"CASE WHEN {in_previous} THEN '{PREVIOUS}' END))) AS side",
+    )
+
+
+def with_doubles(sums: DataFrame) -> DataFrame:
+    """Exact decimal sums as doubles, once the rows are added up."""
+    return sums.selectExpr(
+        *[f"cast({n} AS double) AS {n}" if t.startswith("decimal") else n for n, t in sums.dtypes]
+    )
 
 
 def compact(fact: DataFrame, dims: tuple[str, ...], measures: tuple[str, ...] = MEASURES) -> DataFrame:
@@ -84,4 +102,4 @@ def compact(fact: DataFrame, dims: tuple[str, ...], measures: tuple[str, ...] =
     """
     keys = ("period", "side", "usersource", "label_period", "d") + dims
     keys = tuple(k for k in keys if k in fact.columns)
-    return fact.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+    return with_doubles(fact.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]))

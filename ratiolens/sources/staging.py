@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,13 +28,39 @@ def _local_folder() -> tempfile.TemporaryDirectory:
     return tempfile.TemporaryDirectory(prefix="ratiolens-")
 
 
+#: The folder of the run that is going on, if one was opened.
+_run: ContextVar[str | None] = ContextVar("ratiolens_run", default=None)
+#: Called with every frame before it is staged, so that a test can read its plan.
+watchers: list[Callable[[DataFrame], None]] = []
+
+
+@contextmanager
+def staged_run(spark: SparkSession) -> Iterator[str]:
+    """Tables staged inside go to one folder, which is removed at the end.
+
+    Use the results (write or collect them) before leaving.
+    """
+    folder = f"{shared_folder(spark)}/ratiolens/run-{uuid.uuid4().hex}"
+    token = _run.set(folder)
+    try:
+        yield folder
+    finally:
+        _run.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet and read it back.
 
     The readers prune columns and see true sizes, and a lost executor costs a
-    re-read of these files instead of another pass over the fact table.
+    re-read of these files instead of another pass over the fact table. Outside of
+    ``staged_run`` the files stay, like Spark's own checkpoints.
     """
     spark = df.sparkSession
-    target = f"{shared_folder(spark)}/ratiolens/{name}-{uuid.uuid4().hex}"
+    for watch in watchers:
+        watch(df)
+    folder = _run.get() or f"{shared_folder(spark)}/ratiolens"
+    target = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(target)
     return spark.read.schema(df.schema).parquet(target)

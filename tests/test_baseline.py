@@ -134,6 +134,10 @@ def test_range_is_on_the_partition_date(spark):
     assert row["n_cur"] == 2
 
 
-def test_lookback_must_not_reach_the_other_year(spark):
+def test_a_long_lookback_counts_days_on_both_sides(spark):
+    rows = [{"label_period": DAY - dt.timedelta(days=k), "amt": 1.0} for k in (0, 390, 500)]
+    tagged = paired_windows(make_fact(spark, rows), str(DAY), 400, C)
+    sides = sorted((r.side, (DAY - r.label_period).days) for r in tagged.collect())
+    assert sides == [("cur", 0), ("cur", 390), ("prev", 390), ("prev", 500)]
     with pytest.raises(ValueError):
-        paired_windows(make_fact(spark, []), str(DAY), 365, C)
+        paired_windows(make_fact(spark, []), str(DAY), -1, C)

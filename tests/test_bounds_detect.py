@@ -69,7 +69,7 @@ def rolled(a, b, num, k):
     return sums.an / sums.aa, sums.bn / sums.ba
 
 
-def brute_bounds(a, b, num):
+def brute_bounds(a, b, num, day_from="oldest"):
     def z(x):
         x = np.asarray(pd.Series(x).dropna())
         return (x.mean() - 2 * x.std(), x.mean() + 2 * x.std()) if len(x) else (None, None)
@@ -79,7 +79,9 @@ def brute_bounds(a, b, num):
         rate = side[num] / side["amt"]
         ts.append((rate / rate.rolling(7).mean()).dropna().to_numpy())
     n = min(map(len, ts))
-    day = ts[0][len(ts[0]) - n :] / ts[1][len(ts[1]) - n :]
+    day = ts[0][:n] / ts[1][:n]
+    if day_from == "newest":
+        day = ts[0][len(ts[0]) - n :] / ts[1][len(ts[1]) - n :]
     ra, rb = rolled(a, b, num, 7)
     week = (ra / ra.shift(7)) / (rb / rb.shift(7))
     ra, _ = rolled(a, b, num, 30)
@@ -98,11 +100,12 @@ def learn(spark, rows, **options):
         ({"days": 120, "no_card": {15, 60}}, {"days": 110, "missing": {3}, "no_card": {70}}),
     ],
 )
-def test_bounds_match_brute_force(spark, cur, prev):
+@pytest.mark.parametrize("options, day_from", [({}, "oldest"), ({"pair": "newest"}, "newest")])
+def test_bounds_match_brute_force(spark, cur, prev, options, day_from):
     now, before = series_rows(DAY, seed=1, **cur), series_rows(PREV, seed=2, **prev)
-    got = learn(spark, now + before)
+    got = learn(spark, now + before, **options)
     for metric, num in bounds.METRICS.items():
-        expected = brute_bounds(frame(now, DAY), frame(before, PREV), num)
+        expected = brute_bounds(frame(now, DAY), frame(before, PREV), num, day_from)
         for horizon, (low, high) in expected.items():
             assert got[f"{metric}_{horizon}_bottom"] == pytest.approx(low, abs=6e-5)
             assert got[f"{metric}_{horizon}_top"] == pytest.approx(high, abs=6e-5)

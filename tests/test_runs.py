@@ -282,3 +282,47 @@ def test_business_date_range(spark):
     by_date = learn_bounds(fact, str(DAY), ORDER_CODES, date_column="label_period")
     assert by_date.count() == 1
     assert learn_bounds(fact, str(DAY), ORDER_CODES).count() == 0
+
+
+def test_staged_run_removes_its_folder(spark):
+    from ratiolens.sources.staging import stage, staged_run
+
+    with staged_run(spark) as folder:
+        kept = stage(spark.range(5), "numbers")
+        assert kept.inputFiles()[0].split("file:")[-1].lstrip("/").startswith(folder.lstrip("/"))
+        assert kept.count() == 5
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def test_lines_are_picked_before_their_leaves_are_read(spark):
+    """A fact with a thousand lines: leaves and funnel aggregate below a semi-join with the picks."""
+    from ratiolens.plans import analyse as A
+    from ratiolens.sources import staging
+
+    rows = [
+        {
+            "label_period": end - dt.timedelta(days=k),
+            "period": ORDER_CODES.day,
+            "bu": f"line{n}",
+            "amt": 10.0 + n % 7,
+            "self_amt": 4.0 + (n % 5) * (end.year % 2) + (n == 3) * 900.0 * (end == DAY),
+        }
+        for n in range(1000)
+        for end in (DAY, DAY.replace(year=DAY.year - 1))
+        for k in range(2)
+    ]
+    plans = {}
+    staging.watchers.append(
+        lambda df: plans.update({len(plans): df._jdf.queryExecution().optimizedPlan().toString()})
+    )
+    try:
+        detail = A.drill_down(make_fact(spark, rows), str(DAY), ORDER_CODES, (ORDER_CODES.day,))
+    finally:
+        staging.watchers.pop()
+    chosen = list(plans.values())[-1]
+    assert "LeftSemi" in chosen and chosen.index("Window") < chosen.index("LeftSemi")
+    final = detail._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in final
+    found = {r.line for r in detail.where(f"layer = '{L.LAYER_FIRST}'").collect()}
+    assert 0 < len(found) <= A.TOP
