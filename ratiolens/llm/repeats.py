@@ -10,9 +10,10 @@ alone after a pass leave, so each pass handles fewer:
    neighbouring windows share theirs, so one row stands for about 170 suffixes;
 2. whole run: the string over all windows of an anchor. Copies end here, all their
    windows repeated; one of them stays as witness for texts that differ at the edge;
-3. half digits: ``HALF`` bytes from the anchor forward or backward. Every window
-   holds one of the two, so short shared passages leave;
-4. last digit: the whole windows that are left, one row each.
+3. half digits: bytes from the anchor forward or backward. Every window holds one of
+   the two, so short shared passages leave;
+4. core digit: what ``STRIDE`` neighbouring windows have in common, one row for all;
+5. last digit: core and edge bytes, the whole windows that are left, one row each.
 
 Digits travel as 64-bit hashes (two together before a window counts as repeated). Counts
 combine before each shuffle, and suffixes meet only as counts per digit, never as a
@@ -37,9 +38,13 @@ from ratiolens.llm.common import slices, stage, text_or_empty
 from ratiolens.llm.wordhash import BASE, BYTE, INVERSE, mixed, powers
 
 LENGTH, GRAM = 400, 64
-HALF = (LENGTH + GRAM) // 2
-#: A window starting this far before its anchor, or farther, holds the backward half.
-FAR = HALF - GRAM
+#: Windows starting so far before their anchor that they share one core digit.
+STRIDE = 32
+CORE = LENGTH - STRIDE + 1
+#: A window starting this far before its anchor, or farther, holds the backward digit
+#: (a multiple of STRIDE); a nearer one holds the forward digit.
+FAR = 160
+AHEAD = LENGTH - FAR + 1
 #: Places in the joined buffer of a slice take so many bits of the sort key.
 PLACE_BITS = 26
 PLACE = np.uint64((1 << PLACE_BITS) - 1)
@@ -110,7 +115,7 @@ def anchored_runs(texts: list[bytes]) -> dict[str, np.ndarray]:
         far, near = place - new, place - (ends - 1)
         whole = buffer.hashes(new, ends - 1 + LENGTH)
         run = mixed(whole + mixed(far.astype(np.uint64) << np.uint64(32) | near.astype(np.uint64)))
-        ahead = np.minimum(place + HALF, len(buffer.data))
+        ahead = np.minimum(place + AHEAD, len(buffer.data))
         behind = np.maximum(place - FAR, 0)
         out["text"].append(np.array([p[0] for p in group])[piece[new]])
         out["first"].append(new - begin[piece[new]] + np.array([p[1] for p in group])[piece[new]])
@@ -144,10 +149,11 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 STEP = (
-    "kind int, ref long, text string, spans array<long>, g long, h long, start long, "
+    "kind int, ref long, text string, spans array<long>, g long, step int, core long, "
+    "base long, low int, high int, edges binary, "
     "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 )
-DONE, OPEN, WINDOW = 0, 1, 2
+DONE, OPEN, STEPS = 0, 1, 2
 
 
 def removed(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, int, str]:
@@ -167,6 +173,10 @@ def _record(kind: pa.DataType, rows: dict[str, list], count: int) -> pa.RecordBa
         "kind": pa.int32(),
         "text": pa.string(),
         "spans": pa.list_(pa.int64()),
+        "step": pa.int32(),
+        "low": pa.int32(),
+        "high": pa.int32(),
+        "edges": pa.binary(),
         "kept_sha256": pa.string(),
         "doc_id": kind,
     }
@@ -182,6 +192,37 @@ def _record(kind: pa.DataType, rows: dict[str, list], count: int) -> pa.RecordBa
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
+def _steps(data: bytes, runs: list[dict]) -> dict:
+    """Of open runs the groups of STRIDE windows: core digit, and the bytes around the core.
+
+    ``base`` is where the core starts; the window ``t`` bytes before it reads the last
+    ``t`` of the STRIDE - 1 bytes on the left and the rest on the right, so in ``edges``,
+    both sides in a row, every window has its own run of STRIDE - 1 bytes.
+    """
+    side = STRIDE - 1
+    lo = min(r["first"] for r in runs)
+    buffer = Buffer(data[lo : max(r["first"] + r["count"] for r in runs) + LENGTH])
+    out: dict[str, list] = {n: [] for n in ("g", "step", "base", "low", "high", "edges")}
+    for r in runs:
+        anchor, far = r["first"] + r["far"], r["far"]
+        near = far - r["count"] + 1
+        for step in range(near // STRIDE, far // STRIDE + 1):
+            if not r["behind" if step * STRIDE >= FAR else "ahead"]:
+                continue
+            base = anchor - step * STRIDE
+            before, after = data[max(0, base - side) : base], data[base + CORE : base + CORE + side]
+            out["g"].append(r["g"])
+            out["step"].append(step)
+            out["base"].append(base)
+            out["low"].append(max(near - step * STRIDE, 0))
+            out["high"].append(min(far - step * STRIDE, side))
+            out["edges"].append(before.rjust(side, b"\0") + after.ljust(side, b"\0"))
+    base = np.array(out["base"], dtype=np.int64) - lo
+    ends = np.minimum(base + CORE, len(buffer.data))
+    core = buffer.hashes(np.maximum(base, 0), ends) if len(base) else base
+    return out | {"core": core.view(np.int64)}
+
+
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with their open and repeated runs: finished ones, or windows still to be compared."""
     for batch in slices(batches, "text", 2 << 20):
@@ -208,35 +249,15 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             opened.append((ref, text, np.stack([starts, ends], axis=1).ravel().tolist()))
             at_open.append(k)
             for low in range(0, len(left), 2_000):
-                some = left[low : low + 2_000]
-                lo = min(r["first"] for r in some)
-                buffer = Buffer(data[lo : max(r["first"] + r["count"] for r in some) + LENGTH])
-                first = np.array([r["first"] for r in some]) - lo
-                count = np.array([r["count"] for r in some])
-                far = np.array([r["far"] for r in some])
-                which = np.repeat(np.arange(len(some)), count)
-                step = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-                start, distance = first[which] + step, far[which] - step
-                use = np.where(
-                    distance >= FAR,
-                    np.array([r["behind"] for r in some])[which],
-                    np.array([r["ahead"] for r in some])[which],
-                )
-                which, start = which[use], start[use]
-                if len(start):
-                    size = len(start)
-                    yield _record(
-                        kind,
-                        {
-                            "kind": pa.array(np.full(size, WINDOW, np.int32)),
-                            "ref": pa.array(np.full(size, ref)),
-                            "g": pa.array(np.array([r["g"] for r in some])[which]),
-                            "h": pa.array(buffer.hashes(start, start + LENGTH).view(np.int64)),
-                            "start": pa.array(start + lo),
-                            "doc_id": pa.array([ids[k].as_py()] * size, kind),
-                        },
-                        size,
-                    )
+                rows = _steps(data, left[low : low + 2_000])
+                size = len(rows["step"])
+                if size:
+                    rows |= {
+                        "kind": pa.array(np.full(size, STEPS, np.int32)),
+                        "ref": pa.array(np.full(size, ref)),
+                        "doc_id": pa.array([ids[k].as_py()] * size, kind),
+                    }
+                    yield _record(kind, rows, size)
         if done:
             columns = list(zip(*done, strict=True))
             names = ("ref", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -347,10 +368,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .mapInArrow(_judge, f"{STEP}, doc_id {kind}"),
         "repeat-judged",
     )
-    windows = judged.where(F.col("kind") == WINDOW).select("g", "h", "ref", "start")
-    twice = windows.groupBy("g", "h").agg(F.count("*").alias("n")).where("n > 1")
+    steps = judged.where(F.col("kind") == STEPS).select(
+        "g", "step", "core", "ref", "base", "low", "high", "edges"
+    )
+    shared = steps.groupBy("g", "step", "core").agg(F.count("*").alias("n")).where("n > 1")
+    windows = stage(
+        steps.join(shared.select("g", "step", "core"), ["g", "step", "core"], "left_semi")
+        .withColumn("t", F.explode(F.sequence("low", "high")))
+        .select(
+            "g",
+            (F.col("step") * STRIDE + F.col("t")).alias("distance"),
+            F.expr(f"xxhash64(core, substring(edges, {STRIDE} - t, {STRIDE - 1}))").alias("h"),
+            "ref",
+            (F.col("base") - F.col("t")).alias("start"),
+        ),
+        "repeat-windows",
+    )
+    key = ["g", "distance", "h"]
+    twice = windows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key)
     starts = (
-        windows.join(twice.select("g", "h"), ["g", "h"], "left_semi")
+        windows.join(twice, key, "left_semi")
         .groupBy("ref")
         .agg(F.collect_list("start").alias("starts"))
     )
