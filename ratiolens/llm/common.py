@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,16 +13,42 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import ratiolens
 from ratiolens.sources.staging import stage
 
 #: The white space of the word rules, as a character class.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["SPACES", "WORD", "numbered", "shuffle_parts", "slices", "stage", "table", "text_or_empty"]
+__all__ = [
+    "SPACES",
+    "WORD",
+    "numbered",
+    "ship_package",
+    "shuffle_parts",
+    "slices",
+    "stage",
+    "table",
+    "text_or_empty",
+]
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python once per session, wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_ratiolens_shipped", False):
+        return
+    package = Path(ratiolens.__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="ratiolens-code-")) / "ratiolens_code.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._ratiolens_shipped = True
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
