@@ -306,7 +306,7 @@ def test_lines_are_picked_before_their_leaves_are_read(spark):
             "period": ORDER_CODES.day,
             "bu": f"line{n}",
             "amt": 10.0 + n % 7,
-            "self_amt": 4.0 + (n % 5) * (end.year % 2) + (n == 3) * 900.0 * (end == DAY),
+            "self_amt": 4.0 + (n % 5) * (end.year % 2) + (n == 3 and k == 0 and end == DAY) * 900.0,
         }
         for n in range(1000)
         for end in (DAY, DAY.replace(year=DAY.year - 1))
