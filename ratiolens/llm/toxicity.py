@@ -4,7 +4,7 @@ One weight vector over sparse text features is shared by all thresholds:
 P(grade > k) = sigmoid(x.w - c_k), with c_1 < c_2 < ...; the expected severity is the
 sum of these chances. Features are the words of a text and their leading bytes
 (languages build abuse from common stems), present or not, hashed to 64 bits. The
-model keeps the features that tell the grades apart best.
+model keeps the features that are found with abuse far more often than by chance.
 
 Training takes a bounded sample of labelled documents, ``SAMPLE`` of each label at
 most, chosen by a hash of the id; only their feature hashes reach the driver. The
@@ -34,12 +34,14 @@ from ratiolens.llm.wordhash import Words, mixed
 SAMPLE = 2_000
 FEATURES = 8_192
 STEMS = (4, 5, 6, 7, 8, 9)
-#: Least labelled documents with a feature, and least log-odds of a strong one.
-SEEN, STRONG = 3, 2.0
+#: Least labelled documents with a feature, least likelihood ratio (G squared) of its
+#: counts against chance, and least log-odds of strong evidence. The ratio keeps chance
+#: finds among millions of features out, so that clean documents stay clean.
+SEEN, EVIDENCE, STRONG = 3, 20.0, 2.0
 #: Distinct strong words from which a toxic document has grade 2 and 3.
 STEPS = (4, 8)
 RIDGE = 0.5
-REJECT = 0.5
+REJECT = 0.35
 
 
 def features_of(texts: list[bytes]) -> tuple[Words, list[np.ndarray]]:
@@ -108,16 +110,13 @@ def fit_ordinal(
     """Weights and thresholds that maximise the penalised likelihood of the grades.
 
     (rows, columns) are the places of the ones in the feature matrix. Plain gradient
-    steps with momentum, scaled by each feature's count; classes weigh alike.
+    steps with momentum, scaled by each feature's count.
     """
     top = int(grades.max())
     share = np.array([(grades > k).mean() for k in range(top)])
     cuts = -np.log(share / (1 - share))
     weights = np.zeros(width)
-    each = np.bincount(grades, minlength=top + 1).astype(float)
-    sample = (1 / np.maximum(each, 1))[grades]
-    sample *= len(grades) / sample.sum()
-    scale = np.bincount(columns, weights=sample[rows], minlength=width) + ridge
+    scale = np.bincount(columns, minlength=width) + ridge
     pace, pace_cuts = np.zeros(width), np.zeros(top)
     low, high = np.arange(top + 1) - 1, np.arange(top + 1)
     for step in range(400):
@@ -128,13 +127,13 @@ def fit_ordinal(
         chance = np.maximum(upper - lower, 1e-12)
         # d log(upper - lower) by the score, and by either threshold
         up, down = upper * (1 - upper), lower * (1 - lower)
-        slope = sample * (up - down) / chance
+        slope = (up - down) / chance
         grad = np.bincount(columns, weights=slope[rows], minlength=width) - ridge * weights
         grad_cuts = np.zeros(top)
         has = grades > 0
-        np.add.at(grad_cuts, low[grades[has]], -(sample * up / chance)[has])
+        np.add.at(grad_cuts, low[grades[has]], -(up / chance)[has])
         has = grades < top
-        np.add.at(grad_cuts, high[grades[has]], (sample * down / chance)[has])
+        np.add.at(grad_cuts, high[grades[has]], (down / chance)[has])
         pace = 0.9 * pace + grad / scale
         pace_cuts = 0.9 * pace_cuts + grad_cuts / len(grades)
         weights = weights + 0.2 * pace
@@ -172,17 +171,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     odds = np.log((with_toxic + 0.5) / (bad - with_toxic + 0.5)) - np.log(
         (seen - with_toxic + 0.5) / (good - seen + with_toxic + 0.5)
     )
-    error = np.sqrt(1 / (with_toxic + 0.5) + 1 / (seen - with_toxic + 0.5))
-    rank = np.where(seen >= SEEN, np.abs(odds) / error, 0)
+    expected = seen * bad / len(toxic)
+    free = np.maximum(seen - with_toxic, 1e-9)
+    evidence = 2 * (
+        with_toxic * np.log(np.maximum(with_toxic, 1e-9) / expected)
+        + (seen - with_toxic) * np.log(free / (seen - expected))
+    )
+    rank = np.where((seen >= SEEN) & (odds > 0), evidence, 0)
     kept = np.argsort(-rank, kind="stable")[:FEATURES]
-    kept = np.sort(kept[rank[kept] > 1.5])
+    kept = np.sort(kept[rank[kept] > EVIDENCE])
     if not len(kept):
         return OrdinalModel.empty()
     place = np.full(len(values), -1)
     place[kept] = np.arange(len(kept))
     has = place[column] >= 0
     doc, column = doc[has], place[column[has]]
-    strong = (odds / error)[kept] > STRONG
+    strong = odds[kept] > STRONG
     hits = np.bincount(doc[strong[column]], minlength=len(toxic))
     grades = toxic * (1 + np.searchsorted(STEPS, hits, side="right"))
     _, grades = np.unique(grades, return_inverse=True)  # grades that occur, without holes
