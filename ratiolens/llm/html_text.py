@@ -33,9 +33,11 @@ from pyspark.sql import functions as F
 
 from ratiolens.llm.common import slices
 
-TRAIN_PAGES = 160
-VARIANTS = 6
-STEPS = 150
+TRAIN_PAGES = 120
+VARIANTS = 5
+#: Longer pages are left out of training, not of extraction.
+TRAIN_BLOCKS = 60
+STEPS = 120
 
 #: Element names of HTML by their role.
 BLOCK_TAGS = frozenset(
@@ -292,6 +294,11 @@ BOILERPLATE = {
 }
 
 
+BOILERPLATE_WORDS = frozenset(
+    w for some in BOILERPLATE.values() for n in some if "-" not in n for w in _names(f'class="{n}"')
+)
+
+
 def _boilerplate(kind: str, say, rng: random.Random) -> list[tuple[tuple, str, int]]:
     """Blocks (path below the page, text, linked characters) of one piece of boilerplate."""
     name = rng.choice(BOILERPLATE[kind])
@@ -340,9 +347,8 @@ def labelled(page: str) -> list[Block]:
     for block in blocks:
         tags = [tag for tag, _ in block.path]
         words = {w for _, some in block.path for w in some}
-        known = {w for some in BOILERPLATE.values() for n in some for w in _names(f'class="{n}"') if "-" not in n}
         inside = "article" in tags or "main" in tags
-        block.label = int(inside and not set(tags) & BOILERPLATE_TAGS and not words & known)
+        block.label = int(inside and not set(tags) & BOILERPLATE_TAGS and not words & BOILERPLATE_WORDS)
     return blocks if any(b.label for b in blocks) else []
 
 
@@ -397,7 +403,7 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Fi
     rows = (
         source.where("html IS NOT NULL").orderBy(F.xxhash64("id"), "id", "html").limit(TRAIN_PAGES).collect()
     )
-    found = [p for p in (labelled(r.html) for r in rows) if p]
+    found = [p for p in (labelled(r.html) for r in rows) if 0 < len(p) <= TRAIN_BLOCKS]
     if not found:
         return Field({"boilerplate": -4.0}, ((0.0, 0.0), (0.0, 0.0)), (0.0, 1.0))
     texts = [b.text for p in found for b in p if b.label]
