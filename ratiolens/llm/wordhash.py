@@ -17,10 +17,17 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+_powers: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, count: int) -> np.ndarray:
-    steps = np.full(count, base, dtype=np.uint64)
-    steps[0] = 1
-    return np.cumprod(steps, dtype=np.uint64)
+    """The first ``count`` powers modulo 2**64, kept for the next texts."""
+    known = _powers.get(base)
+    if known is None or len(known) < count:
+        steps = np.full(count, base, dtype=np.uint64)
+        steps[0] = 1
+        known = _powers[base] = np.cumprod(steps, dtype=np.uint64)
+    return known[:count]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
