@@ -12,8 +12,9 @@ alone after a pass leave, so each pass handles fewer:
    windows repeated; one of them stays as witness for texts that differ at the edge;
 3. half digits: bytes from the anchor forward or backward. Every window holds one of
    the two, so short shared passages leave;
-4. core digit: what ``STRIDE`` neighbouring windows have in common, one row for all;
-5. last digit: core and edge bytes, the whole windows that are left, one row each.
+4. core digit: what ``STRIDE`` neighbouring windows have in common, one row for all,
+   with the edge bytes around it; where both are found elsewhere all windows repeat;
+5. last digit: core and own edge bytes, the windows that are left, one row each.
 
 Digits travel as 64-bit hashes (two together before a window counts as repeated). Counts
 combine before each shuffle, and suffixes meet only as counts per digit, never as a
@@ -216,7 +217,8 @@ def _steps(data: bytes, runs: list[dict]) -> dict:
             out["base"].append(base)
             out["low"].append(max(near - step * STRIDE, 0))
             out["high"].append(min(far - step * STRIDE, side))
-            out["edges"].append(before.rjust(side, b"\0") + after.ljust(side, b"\0"))
+            sizes = bytes((len(before), len(after)))  # tells padding from text
+            out["edges"].append(before.rjust(side, b"\0") + after.ljust(side, b"\0") + sizes)
     base = np.array(out["base"], dtype=np.int64) - lo
     ends = np.minimum(base + CORE, len(buffer.data))
     core = buffer.hashes(np.maximum(base, 0), ends) if len(base) else base
@@ -277,9 +279,9 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             *(batch.column(n).to_pylist() for n in ("text", "spans", "starts")), strict=True
         ):
             pairs = np.array(spans or [], dtype=np.int64).reshape(-1, 2)
-            extra = np.array(more or [], dtype=np.int64)
-            starts = np.concatenate([pairs[:, 0], extra])
-            ends = np.concatenate([pairs[:, 1], extra + LENGTH])
+            extra = [(r["from"], r["to"] + LENGTH) for r in more or []]
+            pairs = np.concatenate([pairs, np.array(extra, dtype=np.int64).reshape(-1, 2)])
+            starts, ends = pairs[:, 0], pairs[:, 1]
             out.append(removed((text or "").encode(), starts, ends))
         n_bytes, n_removed, n_spans, digest = zip(*out, strict=True)
         yield pa.RecordBatch.from_arrays(
@@ -302,7 +304,9 @@ def repeated_runs(source: DataFrame) -> DataFrame:
     (windows near or far from the anchor to be compared in full).
     """
     anchors = stage(source.select("ref", "text").mapInArrow(_anchors, ANCHORS), "repeat-anchors")
+    # staged, so that the join below reads two exchanges and a hot digit can be split
     shared = anchors.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
+    shared = stage(shared, "repeat-digits")
     anchors = stage(anchors.join(shared, "g", "left_semi"), "repeat-shared")
     runs = stage(
         anchors.groupBy("g", "s", "f", "b").agg(
@@ -371,9 +375,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     steps = judged.where(F.col("kind") == STEPS).select(
         "g", "step", "core", "ref", "base", "low", "high", "edges"
     )
-    shared = steps.groupBy("g", "step", "core").agg(F.count("*").alias("n")).where("n > 1")
+    steps = steps.withColumn("edge", F.xxhash64("edges"))
+    core, kind_of = ["g", "step", "core"], ["g", "step", "core", "edge"]
+    kinds = stage(
+        steps.groupBy(*kind_of).agg(F.count("*").alias("n"), F.min("ref").alias("witness")),
+        "repeat-kinds",
+    )
+    mixed_cores = kinds.groupBy(*core).agg(F.count("*").alias("kinds")).where("kinds > 1")
+    known = (
+        kinds.join(mixed_cores.select(*core, F.lit(True).alias("mixed")), core, "left")
+        .where("n > 1 OR mixed")
+        .select(
+            *kind_of,
+            (F.col("n") > 1).alias("whole"),
+            (F.coalesce("mixed", F.lit(False))).alias("mixed"),
+            "witness",
+        )
+    )
+    placed = stage(steps.join(known, kind_of).drop("edge"), "repeat-steps")
+    # all windows of a group whose core and edges are found elsewhere
+    whole = placed.where("whole").select(
+        "ref",
+        (F.col("base") - F.col("high")).alias("from"),
+        (F.col("base") - F.col("low")).alias("to"),
+    )
     windows = stage(
-        steps.join(shared.select("g", "step", "core"), ["g", "step", "core"], "left_semi")
+        placed.where("mixed AND (NOT whole OR ref = witness)")
         .withColumn("t", F.explode(F.sequence("low", "high")))
         .select(
             "g",
@@ -386,10 +413,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     key = ["g", "distance", "h"]
     twice = windows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key)
+    single = windows.join(stage(twice, "repeat-last"), key, "left_semi").select(
+        "ref", F.col("start").alias("from"), F.col("start").alias("to")
+    )
     starts = (
-        windows.join(twice, key, "left_semi")
+        whole.unionByName(single)
         .groupBy("ref")
-        .agg(F.collect_list("start").alias("starts"))
+        .agg(F.collect_list(F.struct("from", "to")).alias("starts"))
     )
     opened = judged.where(F.col("kind") == OPEN).select("doc_id", "ref", "text", "spans")
     finished = opened.join(starts, "ref", "left").mapInArrow(
