@@ -2,13 +2,19 @@
 
 Words are counted per cell (source, language, topic). Iterative proportional fitting
 rakes the cells' token weights to the target marginals, one marginal at a time, until
-``sweeps`` rounds are done; the ratio of fitted to present tokens, scaled so that the
-cell in shortest supply keeps every document, is a document's chance to stay. The
-draw is a hash of the id, so that a repeated run takes the same documents.
+``sweeps`` rounds are done; the ratio of fitted to present tokens, scaled, is a
+document's chance to stay. The draw is a hash of the id, so that a repeated run takes
+the same documents.
+
+The scale is set by ``keep``, the share of all tokens that is to stay: the chances,
+cut at 1, keep just that many tokens. Cells short of their part keep every document
+and the others make up the size, so the sample's shares come as near to the targets as
+they can without repeats. Without ``keep`` (the registered query, as its SQL has it)
+the cell in shortest supply alone keeps every document and sets the sample's size.
 
 Defined results: null source or language form a value of their own, written ''; a
-null or empty text has no words, weighs nothing and is drawn like its cell; a null
-id is drawn as the empty string; repeated rows share their draw; marginals without tokens get no
+null or empty text has no words, weighs nothing and stays with the chance ``keep``
+(0 without ``keep``); a null id is drawn as the empty string; repeated rows share their draw; marginals without tokens get no
 weight; an empty table gives an empty result; other columns are carried, not read.
 """
 
@@ -24,6 +30,8 @@ from ratiolens.llm.common import WORD, stage, text_or_empty
 SWEEPS = 8
 #: Targets are the present shares to these powers, made to add up to one.
 POWERS = {"source": 0.8, "lang": 0.8, "topic": 0.8}
+#: Share of all tokens that the pipeline's sample is to keep.
+KEEP = 0.8
 SEED = "mix-1"
 #: Digits of the hexadecimal hash that make up the draw.
 DIGITS = 12
@@ -85,15 +93,38 @@ def rake(
     return fitted.select("source", "lang", "topic", "tokens", "all_tokens", "weight")
 
 
-def chances(raked: DataFrame) -> DataFrame:
-    """Cells with the chance of a document to stay, 1 in the cell in shortest supply."""
+def scale(raked: DataFrame, keep: float) -> float:
+    """The factor by which the ratios, cut at 1, keep ``keep`` of all tokens."""
+    fitted = F.col("weight") * F.col("all_tokens")
+    factor, before = keep, -1.0
+    while True:
+        # cells that give all they have; each round can only find more of them
+        full = F.col("weight") > 0
+        full = full & (F.lit(factor) * fitted >= F.col("tokens"))
+        sums = raked.agg(
+            F.max("all_tokens").alias("all"),
+            F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("full"),
+            F.sum(F.when(full, 0.0).otherwise(fitted)).alias("rest"),
+        ).first()
+        if sums["all"] is None or sums["rest"] <= 0 or sums["full"] <= before:
+            return factor
+        factor = max(factor, (keep * sums["all"] - sums["full"]) / sums["rest"])
+        before = sums["full"]
+
+
+def chances(raked: DataFrame, keep: float | None = None) -> DataFrame:
+    """Cells with the chance of a document to stay, by ``keep`` or the cell in shortest supply."""
     ratio = F.col("weight") * F.col("all_tokens") / F.col("tokens")
-    top = float(raked.agg(F.max(ratio)).first()[0] or 1.0)
+    if keep is None:
+        top = float(raked.agg(F.max(ratio)).first()[0] or 1.0)
+        chance = ratio / F.lit(top)
+    else:
+        chance = F.least(F.lit(1.0), ratio * F.lit(scale(raked, keep)))
     return raked.select(
         F.col("source").alias("c_source"),
         F.col("lang").alias("c_lang"),
         F.col("topic").alias("c_topic"),
-        F.round(ratio / F.lit(top), 9).alias("chance"),
+        F.round(chance, 9).alias("chance"),
     )
 
 
@@ -111,10 +142,11 @@ def mix(
     targets: dict[str, DataFrame] | None = None,
     sweeps: int = SWEEPS,
     keep_rows: bool = False,
+    keep: float | None = None,
 ) -> DataFrame:
     """Per document: id, source, lang, topic, tokens, chance, sampled.
 
-    With ``keep_rows`` the result is the sampled rows of ``docs`` as they came.
+    ``keep`` is the share of all tokens to stay. With ``keep_rows`` the result is the sampled rows of ``docs`` as they came.
     """
     text = text_or_empty(text_col)
     source, lang = (text_or_empty(c) if c in docs.columns else F.lit("") for c in ("source", "lang"))
@@ -136,12 +168,12 @@ def mix(
     if not keep_rows:
         described = stage(described, "mix-documents")
     counted = stage(cells(described), "mix-cells")
-    shares = stage(chances(rake(counted, targets, sweeps)), "mix-chances")
+    shares = stage(chances(rake(counted, targets, sweeps), keep), "mix-chances")
     same = reduce(
         lambda a, b: a & b, (F.col(n) == F.col(f"c_{n}") for n in ("source", "lang", "topic"))
     )
     drawn = described.join(shares, same, "left").withColumn(
-        "chance", F.coalesce("chance", F.lit(0.0))
+        "chance", F.coalesce("chance", F.lit(float(keep or 0)))
     )
     drawn = drawn.withColumn("sampled", draw(F.col("doc_id")) < F.col("chance"))
     if keep_rows:

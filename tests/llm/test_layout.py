@@ -106,6 +106,23 @@ def test_mixing_keeps_rows_and_columns(docs, rows, no_docs):
     assert mixing.mix(no_docs).count() == 0
 
 
+def test_mixing_size_is_the_stated_share(spark):
+    """One tiny cell does not set the size, and wordless documents have the stated chance."""
+    rows = [(k, prose(k, 60 + k % 400), "en", f"s{k % 3}") for k in range(600)]
+    rows += [(1000 + k, ("", None, " \n")[k % 3], "en", "s0") for k in range(300)]
+    rare = [(9999, prose(9999, 50), "xx", "rare")]
+    for extra in ([], rare):
+        table = spark.createDataFrame(rows + extra, "doc_id long, text string, lang string, source string")
+        found = mixing.mix(table, keep=0.8).collect()
+        total = sum(r.tokens for r in found)
+        assert sum(r.tokens * r.chance for r in found) == pytest.approx(0.8 * total, abs=1e-3 * total)
+        assert sum(r.tokens for r in found if r.sampled) == pytest.approx(0.8 * total, rel=0.06)
+        wordless = [r for r in found if r.tokens == 0]
+        assert {r.chance for r in wordless} == {0.8}
+        assert 0.7 < sum(r.sampled for r in wordless) / 300 < 0.9
+    assert all(r.sampled for r in found if r.source == "rare")
+
+
 def whole_ids(texts):
     from tokenizers import Tokenizer
 
