@@ -80,6 +80,21 @@ def test_chat_examples_are_prefixes(spark, conversation_rows):
     assert "left over" not in two.text
 
 
+def test_chat_query_counts_every_example(spark, conversation_rows):
+    turns = chat.transcript(spark.createDataFrame(conversation_rows, CONVERSATIONS))
+    texts = Counter()
+    spelt = {}
+    for r in chat.example_texts(turns).collect():
+        texts[r.conv_id] += len(r.text)
+        spelt[r.conv_id, r.nth] = sha(r.text)
+    rows = chat.expand(turns).where("segment IS NULL").collect()
+    assert {(r.conv_id, r.nth): r.text_sha256 for r in rows} == spelt and len(rows) == len(spelt)
+    found = {r.conv_id: r.formatted_chars for r in chat.read_back(turns).collect()}
+    rest = len("<|im_start|>user\nleft over<|im_end|>\n")
+    assert found[1] == texts[1] + rest
+    assert found[3] == texts[3] and found[9] == texts[9]
+
+
 def test_chat_of_nothing(spark):
     assert chat.read_back(chat.transcript(spark.createDataFrame([], CONVERSATIONS))).count() == 0
 
