@@ -14,8 +14,8 @@ to the bucket before it. The broadcast tables hold at most one row per
 ``BUCKET_BYTES`` of text and bucket.
 
 Defined results: a null text counts as empty, and an empty text has the empty
-fingerprint, alike (1) to another and unlike (0) to all others; a text of fewer than
-``K`` words has one window, the whole; null ids come first; rows of equal id are
+fingerprint, alike (1) to another and unlike (0) to all others; a text that
+keeps no window (always under ``K`` words, at times with up to two more) has one, the whole; null ids come first; rows of equal id are
 ordered by a hash of their text; a lone document is its own next; an empty table gives an empty
 result; other columns are ignored, whatever their names.
 """
@@ -62,7 +62,7 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
         f"array(aggregate({name}_h, 42L, (a, x) -> xxhash64(a, x)) & {MASK}L))"
     )
     kept = F.expr(f"slice(sort_array(array_distinct({name}_k)), 1, {SIZE})")
-    df = df.withColumn(name, F.when(F.size(f"{name}_h") < K, whole).otherwise(kept))
+    df = df.withColumn(name, F.when(F.size(f"{name}_k") == 0, whole).otherwise(kept))
     return df.drop(f"{name}_h", f"{name}_s", f"{name}_k")
 
 

@@ -65,6 +65,14 @@ def test_fingerprints_tell_edits_from_strangers(spark):
     assert len(exact) == 60
 
 
+@pytest.mark.parametrize("count", [1, 4, 5, 6, 7])
+def test_short_texts_have_a_fingerprint(spark, count):
+    rows = [(k, f"w{k} " + prose(5000 + k, count - 1)) for k in range(80)]
+    found = fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.fingerprint for r in found)
+    assert len({r.fingerprint for r in found}) == 80 and max(r.near_next for r in found) < 1
+
+
 @pytest.mark.parametrize("ids", [[7], [], list(range(0, 50)), [1, 2, 3, 10**17, 10**17 + 1]])
 def test_next_document_is_found(spark, ids):
     rows = [(k, prose(k % 1000, 12)) for k in ids]
