@@ -4,12 +4,17 @@ A text's words (runs without white space, cut every ``PIECE`` characters so that
 without spaces has words too) are hashed. Of all windows of ``K`` words those are
 kept whose smallest inner window of ``S`` words lies at the left or right edge: closed
 syncmers. That depends on the window alone, so an edit changes only the windows over
-it. The fingerprint is the ``SIZE`` smallest 32-bit hashes of kept windows; likeness is
-the estimated Jaccard similarity of two sets of kept windows.
+it, and of any ``K`` - ``S`` windows in a row one is kept. The fingerprint is all kept
+windows in the order of the text, each with its place: written as one hexadecimal
+digit, the distance from the one before, and the 32-bit hash.
+
+Two texts are matched by these anchors: equal hashes, each at its first place, pair
+up, and a pair covers ``K`` words from its place in either text. Likeness is the
+Jaccard similarity of the words covered by pairs, as against all anchors' words.
 
 The next document of each is found in buckets of neighbouring ids: equal ranges of
 the id, any of which that hold too much are cut a thousandfold. Texts are shuffled
-once, with the fingerprint made before; the first document of a bucket is also sent
+once, and fingerprints are made after that; the first document of a bucket is also sent
 to the bucket before it. The broadcast tables hold at most one row per
 ``BUCKET_BYTES`` of text and bucket.
 
@@ -27,14 +32,17 @@ from pyspark.sql import functions as F
 
 from ratiolens.llm.common import WORD, shuffle_parts, text_or_empty
 
-K, S, SIZE, PIECE = 5, 2, 48, 16
+K, S, PIECE = 5, 2, 16
 BUCKET_BYTES = 32 << 20
 FINER = 1024
 MASK = 0xFFFFFFFF
+#: Bits of a place under the hash of an anchor.
+PLACE = 30
+AT = (1 << PLACE) - 1
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    """``df`` with the array ``name``: the smallest hashes of the closed syncmers of ``text``."""
+    """``df`` with the array ``name``: hash and place of all closed syncmers of ``text``."""
     inner = K - S
     edges = f"least(get({name}_s, i), get({name}_s, i + {inner}))"
     middle = ", ".join(f"get({name}_s, i + {j})" for j in range(1, inner))
@@ -54,31 +62,72 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
         f"{name}_k",
         F.expr(
             f"transform(filter({places.format(n=K)}, i -> {edges} <= least({middle})), "
-            f"i -> xxhash64({words}) & {MASK}L)"
+            f"i -> shiftleft(xxhash64({words}) & {MASK}L, {PLACE}) + i)"
         ),
     )
     whole = F.expr(
         f"if(size({name}_h) = 0, cast(array() as array<bigint>), "
-        f"array(aggregate({name}_h, 42L, (a, x) -> xxhash64(a, x)) & {MASK}L))"
+        f"array(shiftleft(aggregate({name}_h, 42L, (a, x) -> xxhash64(a, x)) & {MASK}L, {PLACE})))"
     )
-    kept = F.expr(f"slice(sort_array(array_distinct({name}_k)), 1, {SIZE})")
-    df = df.withColumn(name, F.when(F.size(f"{name}_k") == 0, whole).otherwise(kept))
+    df = df.withColumn(name, F.when(F.size(f"{name}_k") == 0, whole).otherwise(F.col(f"{name}_k")))
     return df.drop(f"{name}_h", f"{name}_s", f"{name}_k")
 
 
-def likeness(a: str, b: str) -> Column:
-    """Estimated Jaccard similarity of two fingerprints."""
-    least = f"slice(sort_array(array_union({a}, {b})), 1, {SIZE})"
-    return F.expr(
-        f"if(size({a}) = 0 AND size({b}) = 0, 1.0D, "
-        f"if(size({a}) = 0 OR size({b}) = 0, 0.0D, "
-        f"size(array_intersect({least}, array_intersect({a}, {b}))) / "
-        f"cast(size({least}) as double)))"
+def _covered(places: str) -> str:
+    """Number of words under the anchors at ``places``, which ascend."""
+    start = "named_struct('words', 0L, 'end', 0L)"
+    step = f"named_struct('words', s.words + p + {K} - greatest(s.end, p), 'end', p + {K})"
+    return f"aggregate({places}, {start}, (s, p) -> {step}, s -> s.words)"
+
+
+def _firsts(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with ``name`` sorted by hash, the first place of each, and ``name_n``, its words."""
+    df = df.withColumn(f"{name}_o", F.expr(f"sort_array({name})"))
+    df = df.withColumn(
+        name,
+        F.expr(
+            f"filter({name}_o, (x, i) -> "
+            f"i = 0 OR shiftright(get({name}_o, i - 1), {PLACE}) <> shiftright(x, {PLACE}))"
+        ),
     )
+    places = f"sort_array(transform({name}, x -> x & {AT}L))"
+    return df.withColumn(f"{name}_n", F.expr(_covered(places))).drop(f"{name}_o")
+
+
+def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """``df`` with ``name``: how alike the fingerprints ``a`` and ``b`` from ``_firsts`` are."""
+    # hash, side and place in one number: the two of a pair are neighbours once sorted
+    side = "shiftleft(shiftright(x, {p}), {q}) + {s} + (x & {at}L)"
+    left, right = (side.format(p=PLACE, q=PLACE + 1, s=f"{s}L", at=AT) for s in (0, AT + 1))
+    df = df.withColumn(
+        f"{name}_c",
+        F.expr(
+            f"sort_array(concat(transform({a}, x -> {left}), transform({b}, x -> {right})))"
+        ),
+    )
+    for k, other in ((0, "i + 1"), (1, "i - 1")):
+        same = f"shiftright(x, {PLACE + 1}) = shiftright(get({name}_c, {other}), {PLACE + 1})"
+        on_side = f"(shiftright(x, {PLACE}) & 1L) = {k}"
+        pairs = f"filter({name}_c, (x, i) -> {on_side} AND coalesce({same}, false))"
+        places = f"sort_array(transform({pairs}, x -> x & {AT}L))"
+        df = df.withColumn(f"{name}_{k}", F.expr(_covered(places)))
+    both = f"({name}_0 + {name}_1) / 2.0D"
+    df = df.withColumn(
+        name,
+        F.expr(
+            f"if(size({a}) = 0 AND size({b}) = 0, 1.0D, "
+            f"if(size({a}) = 0 OR size({b}) = 0, 0.0D, {both} / ({a}_n + {b}_n - {both})))"
+        ),
+    )
+    return df.drop(f"{name}_c", f"{name}_0", f"{name}_1")
 
 
 def written(name: str) -> Column:
-    return F.expr(f"array_join(transform({name}, x -> lpad(lower(hex(x)), 8, '0')), '')")
+    before = f"if(i = 0, 0L, get({name}, i - 1) & {AT}L)"
+    return F.expr(
+        f"array_join(transform({name}, (x, i) -> concat(lower(hex((x & {AT}L) - {before})), "
+        f"lpad(lower(hex(shiftright(x, {PLACE}))), 8, '0'))), '')"
+    )
 
 
 def _buckets(source: DataFrame) -> DataFrame:
@@ -127,7 +176,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         F.broadcast(before), (F.col("bucket") == F.col("from")) & (key == F.col("first"))
     ).select("doc_id", "text", "tie", F.col("to").alias("bucket"), F.lit(1).alias("guest"))
     rows = source.select("doc_id", "text", "tie", "bucket", F.lit(0).alias("guest"))
-    both = with_fingerprint(rows.unionByName(guests), "text", "print")
+    # fingerprints are as long as the texts: made after the exchange, not sent
+    both = with_fingerprint(rows.unionByName(guests).repartition("bucket"), "text", "print")
     following = Window.partitionBy("bucket").orderBy("guest", F.asc_nulls_first("doc_id"), "tie")
     return (
         both.withColumn("next_text", F.lead("text").over(following))
@@ -147,12 +197,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.withColumn("n_chars", F.expr(n).cast("long")).withColumn("edited", edited)
     rows = rows.drop("text", "next_text").withColumn("edited_sha256", F.sha2("edited", 256))
     rows = with_fingerprint(rows, "edited", "edited_print").drop("edited")
+    rows = rows.withColumn("fingerprint", written("print"))
+    rows = rows.withColumn("edited_fingerprint", written("edited_print"))
+    for name in ("print", "edited_print", "next_print"):
+        rows = _firsts(rows, name)
+    rows = with_likeness(rows, "print", "edited_print", "near_edited")
+    rows = with_likeness(rows, "print", "next_print", "near_next")
     return rows.select(
         F.col("doc_id").alias(id_col),
         "n_chars",
         "edited_sha256",
-        written("print").alias("fingerprint"),
-        written("edited_print").alias("edited_fingerprint"),
-        likeness("print", "edited_print").alias("near_edited"),
-        likeness("print", "next_print").alias("near_next"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
     )

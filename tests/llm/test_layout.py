@@ -65,6 +65,23 @@ def test_fingerprints_tell_edits_from_strangers(spark):
     assert len(exact) == 60
 
 
+def test_fingerprints_find_a_passage_in_long_texts(spark):
+    """A shared passage counts with its length, wherever it stands; no anchor is lost."""
+    passage = prose(77, 60)
+    rows = []
+    for k in range(12):
+        at = 150 * k
+        rows.append((k, " ".join([prose(6000 + k, at), passage, prose(6100 + k, 1940 - at)]).strip()))
+    found = fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = 60 / (2 * 2000 - 60)
+    assert all(0.7 * want < r.near_next < 1.3 * want for r in found)
+    for r in found:
+        anchors = [r.fingerprint[k : k + 9] for k in range(0, len(r.fingerprint), 9)]
+        assert len(anchors) > 2000 / 3 - 2 and all(a[0] in "123" for a in anchors[1:])
+        assert sum(int(a[0]) for a in anchors) >= 2000 - fingerprints.K - 2
+        assert 0.55 < r.near_edited < 0.65
+
+
 @pytest.mark.parametrize("count", [1, 4, 5, 6, 7])
 def test_short_texts_have_a_fingerprint(spark, count):
     rows = [(k, f"w{k} " + prose(5000 + k, count - 1)) for k in range(80)]
