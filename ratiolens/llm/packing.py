@@ -193,12 +193,14 @@ class Plan:
         while lengths:
             one = lengths[-1]
             at = bisect_left(lengths, self.capacity - one + 1) - 1
+            if at >= 0 and lengths[at] == one and large[one] == 1:
+                at -= 1  # the last of its length goes with the next shorter one
             two = lengths[at] if at >= 0 else 0
             if two == one:
-                bins, per = (large[one] // 2, 2) if large[one] > 1 else (1, 1)
-                group = [bins, [self._place(one, per, bins, 0)]]
-                large[one] -= bins * per
-                gap = self.capacity - per * one
+                bins = large[one] // 2
+                group = [bins, [self._place(one, 2, bins, 0)]]
+                large[one] -= bins * 2
+                gap = self.capacity - 2 * one
             elif two:
                 bins = min(large[one], large[two])
                 group = [bins, [self._place(one, 1, bins, 0), self._place(two, 1, bins, one)]]

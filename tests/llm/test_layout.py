@@ -216,6 +216,13 @@ def test_packing_plan_is_tight_and_whole():
         assert plan.bins <= 1.03 * len(gaps) + 1
 
 
+def test_packing_pairs_odd_counts():
+    """Pieces of a third to a half of a bin go two by two, whatever their counts."""
+    assert packing.Plan(dict.fromkeys(range(700, 871), 1), 2048).bins == 86
+    assert packing.Plan({1024: 3, 1000: 2, 700: 1}, 2048).bins == 3
+    assert packing.Plan({900: 1}, 2048).bins == 1
+
+
 def test_packing_of_nothing(no_docs):
     assert packing.pack(no_docs, tokenizer_path()).count() == 0
 
