@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ratiolens.llm import mixing
+from ratiolens.llm import centroids, mixing
 
 EXACT = r"""
 WITH n AS (
@@ -85,4 +85,97 @@ FROM t LEFT JOIN p ON t.source = p.source AND t.lang = p.lang AND t.topic = p.to
     )
 
 
-ORACLES = {"op5_exact_dedup": EXACT, "op9_mixing": mixing_sql()}
+FILL_IN_MIDDLE = """
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+           sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM documents
+), e AS (
+    SELECT doc_id, text, n,
+           ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS one,
+           ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS two,
+           CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>')
+                     OR contains(text, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90
+                THEN 'plain'
+                WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM d
+), c AS (
+    SELECT doc_id, text, n, form, least(one, two) AS a, greatest(one, two) AS b,
+           substr(text, 1, least(one, two)) AS prefix,
+           substr(text, least(one, two) + 1, abs(one - two)) AS middle,
+           substr(text, greatest(one, two) + 1) AS suffix
+    FROM e
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END)
+           AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM c
+"""
+
+
+def centroids_sql() -> str:
+    """Every distance of every round."""
+    steps = [
+        f"""v AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_no, vec_id,
+           list_transform(embedding, x -> floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS vec
+    FROM embeddings
+    WHERE len(embedding) = {centroids.DIMENSION}
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        f"""c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h, vec) - 1 AS cluster, vec FROM (
+        SELECT sha256('{centroids.SEED}' || coalesce(vec_id::VARCHAR, '')) AS h, vec FROM v
+        ORDER BY 1, 2 LIMIT {centroids.CLUSTERS}
+    )
+)""",
+    ]
+    squares = "list_sum(list_transform(list_zip(v.vec, c.vec), z -> (z[1] - z[2]) * (z[1] - z[2])))"
+    for k in range(centroids.ROUNDS + 1):
+        steps.append(
+            f"""a{k} AS MATERIALIZED (
+    SELECT row_no, min(far)[1] AS distance, min(far)[2] AS cluster
+    FROM (SELECT v.row_no, [{squares}::BIGINT, c.cluster] AS far FROM v, c{k} c)
+    GROUP BY row_no
+)"""
+        )
+        if k == centroids.ROUNDS:
+            break
+        steps.append(
+            f"""c{k + 1} AS MATERIALIZED (
+    SELECT c.cluster, coalesce(m.vec, c.vec) AS vec FROM c{k} c LEFT JOIN (
+        SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY place) AS vec FROM (
+            SELECT a.cluster, place, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n
+            FROM a{k} a JOIN (
+                SELECT row_no, unnest(vec) AS x, generate_subscripts(vec, 1) AS place FROM v
+            ) USING (row_no)
+            GROUP BY ALL
+        ) GROUP BY cluster
+    ) m ON c.cluster = m.cluster
+)"""
+        )
+    n = centroids.ROUNDS
+    return (
+        "WITH "
+        + ",\n".join(steps)
+        + f"""
+SELECT v.vec_id, a.cluster::INTEGER AS cluster, a.distance,
+       (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+       (sum(a.distance) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.vec, ',')) AS centroid_sha256
+FROM a{n} a JOIN v USING (row_no) JOIN c{n} c ON a.cluster = c.cluster
+"""
+    )
+
+
+ORACLES = {
+    "op5_exact_dedup": EXACT,
+    "op9_mixing": mixing_sql(),
+    "op11_fill_in_middle": FILL_IN_MIDDLE,
+    "op13_centroids": centroids_sql(),
+}

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratiolens.llm import (
+    centroids,
     chat,
     exact_dedup,
+    fim,
     fingerprints,
     html_text,
     jaccard_join,
@@ -15,6 +17,7 @@ from ratiolens.llm import (
     packing,
     pii,
     repeats,
+    token_file,
     toxicity,
 )
 from ratiolens.llm.common import table
@@ -87,6 +90,29 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(), 256).alias("restored_sha256"),
+    )
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_file.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
+    found = token_file.read_documents(spark, folder)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters_with_inertia(table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY = {
     "op1_repeated_strings": op1,
     "op2_chat": op2,
@@ -98,4 +124,7 @@ REGISTRY = {
     "op8_fingerprints": op8,
     "op9_mixing": op9,
     "op10_packing": op10,
+    "op11_fill_in_middle": op11,
+    "op12_token_codes": op12,
+    "op13_centroids": op13,
 }
