@@ -123,10 +123,10 @@ def centroids_sql() -> str:
     steps = [
         f"""v AS MATERIALIZED (
     SELECT row_number() OVER () AS row_no, vec_id,
-           list_transform(embedding, x -> floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS vec
+           [floor({centroids.SCALE} * x::DOUBLE)::BIGINT for x in embedding] AS vec
     FROM embeddings
     WHERE len(embedding) = {centroids.DIMENSION}
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 )""",
         f"""c0 AS MATERIALIZED (
     SELECT row_number() OVER (ORDER BY h, vec) - 1 AS cluster, vec FROM (
@@ -135,7 +135,7 @@ def centroids_sql() -> str:
     )
 )""",
     ]
-    squares = "list_sum(list_transform(list_zip(v.vec, c.vec), z -> (z[1] - z[2]) * (z[1] - z[2])))"
+    squares = "list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(v.vec, c.vec)])"
     for k in range(centroids.ROUNDS + 1):
         steps.append(
             f"""a{k} AS MATERIALIZED (
