@@ -15,12 +15,10 @@ like any other; repeated rows are packed each; an empty table gives an empty res
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,76 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratiolens.llm.common import slices, stage, text_or_empty
+from ratiolens.llm.common import ship_package, slices, stage, text_or_empty
+from ratiolens.llm.wordids import word_ids
 
 CAPACITY = 2048
 END_ID = 0
-WORDS_KEPT = 200_000
-#: Words of these characters only are split here (after lower-casing) into what the
-#: tokenizer's own splitter makes of them: letters, single digits, other signs. The
-#: apostrophe and "<|" mean more to it, so words with them go through the whole tokenizer.
-PLAIN = re.compile(r"[!-&(-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
-PARTS = re.compile(r"[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[^a-z0-9\u00DF-\u00F6\u00F8-\u00FF]+")
-
-
-def byte_letters() -> dict[int, str]:
-    """The letters that stand for UTF-8 bytes in byte-level vocabularies.
-
-    Printable Latin-1 characters stand for themselves, the other bytes, in order, for
-    the characters from 256 on.
-    """
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in own]
-    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
-
-
-class WordIds(dict):
-    """Packed little-endian ids of words, encoded as they turn up.
-
-    The tokenizer drops white space and never joins over it, so the ids of a text are
-    those of its parts between spaces and line ends in order (tested against whole texts).
-    """
-
-    def __init__(self, path: str):
-        super().__init__()
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.parts: dict[str, bytes] = {}
-        letters = byte_letters()
-        self.latin = {
-            c: "".join(letters[b] for b in chr(c).encode()) for c in range(256)
-        }  # for str.translate
-
-    def _part(self, part: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(part.translate(self.latin))]
-        self.parts[part] = packed = struct.pack(f"<{len(ids)}I", *ids)
-        return packed
-
-    def learn(self, words: set[str]) -> None:
-        if len(self) > WORDS_KEPT:
-            self.clear()
-        if len(self.parts) > WORDS_KEPT:
-            self.parts.clear()
-        known = self.parts.get
-        for word in [w for w in words if w not in self]:
-            if PLAIN.fullmatch(word) and "<|" not in word:
-                self[word] = b"".join(
-                    [known(p) or self._part(p) for p in PARTS.findall(word.lower())]
-                )
-            else:
-                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-                self[word] = struct.pack(f"<{len(ids)}I", *ids)
-
-    def of(self, words: list[str]) -> bytes:
-        return b"".join(map(self.__getitem__, words))
-
-
-@cache
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
-
 
 PIECES = "piece int, start long, length int, ids_crc32 long, block int, nth long"
 
@@ -109,13 +42,9 @@ def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
         known, block = word_ids(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in slices(batches, "text", 4 << 20):
-            texts = [
-                (x or "").replace("\n", " ").split(" ") for x in batch.column("text").to_pylist()
-            ]
-            known.learn(set().union(*texts))
             rows, piece, start, length, crc, nth, data = [], [], [], [], [], [], []
-            for row, words in enumerate(texts):
-                ids = known.of(words) + end
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                ids = known.ids(text or "") + end
                 total = len(ids) // 4
                 for k, at in enumerate(range(0, total, capacity)):
                     part = ids[4 * at : 4 * (at + capacity)]
@@ -156,6 +85,7 @@ def token_pieces(
     with_ids: bool = True,
 ) -> DataFrame:
     """Pieces of at most ``capacity`` ids; ``ids`` holds them as little-endian uint32."""
+    ship_package(docs.sparkSession)
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, {PIECES}" + ", ids binary" * with_ids

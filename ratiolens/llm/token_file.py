@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratiolens.llm.common import ship_package, slices, text_or_empty
-from ratiolens.llm.packing import word_ids
+from ratiolens.llm.wordids import word_ids
 from ratiolens.sources.staging import shared_folder
 
 END_ID = 2
@@ -162,13 +162,9 @@ def _segments(path: str, end_id: int, segment: int):
         number = start = size = 0
         ids, parts = [], []
         for batch in slices(batches, "text", 4 << 20):
-            texts = [
-                (x or "").replace("\n", " ").split(" ") for x in batch.column("text").to_pylist()
-            ]
-            known.learn(set().union(*texts))
-            first = 0
-            for k, words in enumerate(texts):
-                parts.append(known.of(words) + end)
+            texts, first = batch.column("text").to_pylist(), 0
+            for k, text in enumerate(texts):
+                parts.append(known.ids(text or "") + end)
                 size += len(parts[-1]) // 4
                 if size >= segment:
                     ids.append(batch.column("id").slice(first, k + 1 - first))
