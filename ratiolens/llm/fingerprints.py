@@ -12,21 +12,28 @@ Two texts are matched by these anchors: equal hashes, each at its first place, p
 up, and a pair covers ``K`` words from its place in either text. Likeness is the
 Jaccard similarity of the words covered by pairs, as against all anchors' words.
 
-The next document of each is found in buckets of neighbouring ids: equal ranges of
-the id, any of which that hold too much are cut a thousandfold. Texts are shuffled
+The next document of each is found in buckets of neighbouring documents. A document's
+key spells its id, then a hash of its text, so that keys order like documents. A range
+sort of the keys alone, cut finer than needed, gives the edges: neighbouring ranges are
+put together up to ``BUCKET_BYTES`` of text or a task's share of all. However ids are
+spread, buckets are alike, and documents of one id, null included, are cut by the hash.
+The driver holds one edge per bucket, a few per shuffle partition. Texts are shuffled
 once, and fingerprints are made after that; the first document of a bucket is also sent
-to the bucket before it. The broadcast tables hold at most one row per
-``BUCKET_BYTES`` of text and bucket.
+to the bucket before it.
 
 Defined results: a null text counts as empty, and an empty text has the empty
 fingerprint, alike (1) to another and unlike (0) to all others; a text that
-keeps no window (always under ``K`` words, at times with up to two more) has one, the whole; null ids come first; rows of equal id are
-ordered by a hash of their text; a lone document is its own next; an empty table gives an empty
-result; other columns are ignored, whatever their names.
+keeps no window (always under ``K`` words, at times with up to two more) has one, the
+whole; ids are whole numbers or texts, in their order, null ids first; rows of equal id
+are ordered by a hash of their text, and rows equal in both stay in one bucket; a lone
+document is its own next; an empty table gives an empty result; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +41,9 @@ from ratiolens.llm.common import WORD, shuffle_parts, text_or_empty
 
 K, S, PIECE = 5, 2, 16
 BUCKET_BYTES = 32 << 20
-FINER = 1024
+#: Key ranges per bucket, and what a document weighs besides its text.
+FINER, ROW_BYTES = 8, 256
+WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
 MASK = 0xFFFFFFFF
 #: Bits of a place under the hash of an anchor.
 PLACE = 30
@@ -130,55 +139,67 @@ def written(name: str) -> Column:
     )
 
 
-def _buckets(source: DataFrame) -> DataFrame:
-    """``source`` with ``bucket``, a struct that orders like the ids in it."""
-    facts = source.agg(
-        F.min("doc_id").cast("double").alias("low"),
-        F.max("doc_id").cast("double").alias("high"),
-        F.sum(F.octet_length("text")).alias("bytes"),
-    ).first()
-    low, high, size = facts.low or 0.0, facts.high or 0.0, facts.bytes or 0
-    count = max(2 * shuffle_parts(source.sparkSession), size // BUCKET_BYTES)
-    width = max(1.0, (high - low + 1) / count)
-    at = (F.col("doc_id").cast("double") - low) / width
-    coarse = F.coalesce(F.floor(at), F.lit(-1)).cast("long")
-    fine = F.coalesce(F.floor((at - F.floor(at)) * FINER), F.lit(0)).cast("long")
-    placed = source.withColumn("coarse", coarse).withColumn("fine", fine)
-    crowded = (
-        placed.groupBy("coarse")
-        .agg(F.sum(F.octet_length("text")).alias("bytes"))
-        .where(F.col("bytes") > 4 * max(BUCKET_BYTES, size // count))
-        .select(F.col("coarse").alias("crowded"))
-    )
-    cut = F.when(F.col("crowded").isNull(), 0).otherwise(F.col("fine"))
-    return (
-        placed.join(F.broadcast(crowded), F.col("coarse") == F.col("crowded"), "left")
-        .withColumn("bucket", F.struct(F.col("coarse"), cut.alias("fine")))
-        .drop("coarse", "fine", "crowded")
+def _digits(number: Column) -> Column:
+    """A long as 16 digits that order like it."""
+    return F.lpad(F.hex(number.bitwiseXOR(F.shiftleft(F.lit(1).cast("long"), 63))), 16, "0")
+
+
+def order_key(ids: Column, kind: str, tie: Column) -> Column:
+    """A text that orders documents by id (nulls first), then by ``tie``."""
+    spelt = _digits(ids.cast("long"))
+    if kind not in WHOLE_NUMBERS:
+        spelt = F.concat(F.hex(ids.cast("string")), F.lit("-"))
+    return F.concat(F.coalesce(spelt, F.lit("!")), _digits(tie))
+
+
+def bucket_edges(keys: DataFrame) -> list[str]:
+    """The first key of each bucket of (key, bytes), in order."""
+    size = keys.agg(F.sum("bytes")).first()[0] or 0
+    parts = shuffle_parts(keys.sparkSession)
+    limit = max(1, min(BUCKET_BYTES, -(-size // (2 * parts))), -(-size // (16 * parts)))
+    ranges = (
+        keys.repartitionByRange(int(FINER * -(-size // limit) or 1), "key")
+        .groupBy(F.spark_partition_id().alias("range"))
+        .agg(F.min("key").alias("first"), F.sum("bytes").alias("bytes"))
+        .collect()
     )
+    edges, held = [], limit
+    for row in sorted(ranges, key=lambda r: r["first"]):
+        if held + row.bytes > limit:
+            edges.append(row["first"])
+            held = 0
+        held += row.bytes
+    return edges
+
+
+def bucket_of(key: Column, edges: list[str]) -> Column:
+    """How many edges are not above ``key``, less one: found among every n-th, then between."""
+    step = max(1, math.isqrt(len(edges)))
+    chunks = [edges[k : k + step] for k in range(0, len(edges), step)]
+    heads = F.array(*[F.lit(c[0]) for c in chunks[1:]]).cast("array<string>")
+    at = F.size(F.filter(heads, lambda e: e <= key))
+    inside = F.get(F.array(*[F.array(*map(F.lit, c)) for c in chunks]), at)
+    return at * step + F.size(F.filter(inside, lambda e: e <= key)) - 1
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text, print and the next document's text and print (by ascending id, cyclic)."""
-    source = docs.select(
-        F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")
-    )
-    source = _buckets(source).withColumn("tie", F.xxhash64("text"))
-    key = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.col("tie"))
-    firsts = source.groupBy("bucket").agg(F.min(key).alias("first"))
-    # one row per bucket: the bucket before it, the last one for the first
-    order = Window.orderBy("bucket")
-    before = firsts.withColumn("to", F.lag("bucket").over(order)).withColumn(
-        "to", F.coalesce("to", F.max("bucket").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    kind = source.schema["doc_id"].dataType.simpleString()
+    source = source.withColumn("key", order_key(F.col("doc_id"), kind, F.xxhash64("text")))
+    edges = bucket_edges(source.select("key", (F.octet_length("text") + ROW_BYTES).alias("bytes")))
+    if not edges:
+        edges = [""]
+    placed = source.withColumn("bucket", bucket_of(F.col("key"), edges))
+    # the first document of a bucket, or its equals, is also the last one's next in the bucket before
+    ends = F.pmod(F.col("bucket") - 1, F.lit(len(edges)))
+    guests = placed.where(F.col("key").isin(edges)).select(
+        "doc_id", "text", "key", ends.alias("bucket"), F.lit(1).alias("guest")
     )
-    before = before.select(F.col("bucket").alias("from"), "first", "to")
-    guests = source.join(
-        F.broadcast(before), (F.col("bucket") == F.col("from")) & (key == F.col("first"))
-    ).select("doc_id", "text", "tie", F.col("to").alias("bucket"), F.lit(1).alias("guest"))
-    rows = source.select("doc_id", "text", "tie", "bucket", F.lit(0).alias("guest"))
+    rows = placed.select("doc_id", "text", "key", "bucket", F.lit(0).alias("guest"))
     # fingerprints are as long as the texts: made after the exchange, not sent
     both = with_fingerprint(rows.unionByName(guests).repartition("bucket"), "text", "print")
-    following = Window.partitionBy("bucket").orderBy("guest", F.asc_nulls_first("doc_id"), "tie")
+    following = Window.partitionBy("bucket").orderBy("guest", "key")
     return (
         both.withColumn("next_text", F.lead("text").over(following))
         .withColumn("next_print", F.lead("print").over(following))
