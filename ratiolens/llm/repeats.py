@@ -20,6 +20,9 @@ Digits travel as 64-bit hashes (two together before a window counts as repeated)
 combine before each shuffle, and suffixes meet only as counts per digit, never as a
 list, so a passage that a third of all texts share costs a task no more than another.
 
+Rows go by their number, so equal rows are told apart: each carries its own runs, and
+copies end at pass 2 with one row as witness, however many there are.
+
 Defined results: a null text is empty; a text shorter than ``LENGTH`` keeps all;
 repeated rows are copies of each other, so both lose what is long enough; a null id
 is carried; an empty table gives an empty result; other columns are ignored.
@@ -35,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratiolens.llm.common import slices, stage, text_or_empty
+from ratiolens.llm.common import ship_package, slices, stage, text_or_empty
 from ratiolens.llm.wordhash import BASE, BYTE, INVERSE, mixed, powers
 
 LENGTH, GRAM = 400, 64
@@ -350,12 +353,22 @@ def repeated_runs(source: DataFrame) -> DataFrame:
     )
 
 
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", from_files: bool = False
+) -> DataFrame:
+    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256.
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256."""
-    text = text_or_empty(text_col)
-    identity = F.xxhash64(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")), text)
-    source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"), identity.alias("ref"))
+    ``from_files`` says that ``docs`` comes straight from files, whose rows keep their
+    numbers when they are read again; otherwise ids and texts are written once first.
+    """
+    ship_package(docs.sparkSession)
+    source = docs.select(
+        F.col(f"`{id_col}`").alias("doc_id"),
+        text_or_empty(text_col).alias("text"),
+        F.monotonically_increasing_id().alias("ref"),
+    )
+    if not from_files:
+        source = stage(source, "repeat-rows")
     kind = source.schema["doc_id"].dataType.simpleString()
     by_text = (
         repeated_runs(source)
