@@ -6,15 +6,19 @@ Each block has features from its ancestors (tags, class and id words) and its te
 over the blocks. The field is trained by gradient on labelled pages and decoded by
 Viterbi.
 
-Labelled pages are made from a bounded sample of the table, ``TRAIN_PAGES`` pages that
-mark their article: as found, and rebuilt ``VARIANTS`` times with other wrappers and with
-added menus, notices, sidebars, forms and reader comments, whose texts come from other
-pages, so that the labels are known and texts give nothing away.
+Labelled pages are made from a bounded sample of the table, at most ``TRAIN_PAGES`` pages
+that mark their article, in the order of a hash until they have ``TRAIN_BLOCKS`` blocks:
+as found, and rebuilt ``VARIANTS`` times with other wrappers, with the article's text as
+paragraphs, lists, tables, code, quotes, figures and definitions, and with added menus,
+notices, sidebars, forms and reader comments, whose texts come from other pages, so that
+the labels are known and texts give nothing away. A page of any length trains with all
+its blocks, cut into chains of ``CHAIN``, each of which knows the label before it.
 
 Defined results: a null or empty page, or one without main blocks, has the empty text;
-a null id is carried; repeated rows are extracted each; without pages that mark an article the
-field keeps what is outside known boilerplate tags; an empty table gives an empty
-result; other columns are ignored. Broken markup never fails: unknown end tags are
+a null id is carried; repeated rows are extracted each; where no sampled page marks an
+article, what is outside known boilerplate tags counts as its article in training; a
+table without any text trains nothing and gives empty texts; an empty table gives an
+empty result; other columns are ignored. Broken markup never fails: unknown end tags are
 skipped, unclosed ones end with what holds them.
 """
 
@@ -31,12 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratiolens.llm.common import slices
+from ratiolens.llm.common import ship_package, slices
 
 TRAIN_PAGES = 120
-VARIANTS = 5
-#: Longer pages are left out of training, not of extraction.
-TRAIN_BLOCKS = 60
+#: The page that passes this number of blocks is the last one that trains.
+TRAIN_BLOCKS = 8_000
+VARIANTS = 6
+CHAIN = 64
 STEPS = 120
 
 #: Element names of HTML by their role.
@@ -213,27 +218,38 @@ class Field:
 
 
 def train(pages: list[list[Block]], steps: int = STEPS, ridge: float = 0.02) -> Field:
-    """Gradient ascent on the penalised likelihood, all pages side by side."""
-    pages = [p for p in pages if p]
+    """Gradient ascent on the penalised likelihood, all chains side by side.
+
+    A page longer than ``CHAIN`` is cut into chains; one that goes on starts from the
+    change of label that its first block makes, so every block and change counts once.
+    """
     names: dict[str, int] = {}
-    long = max(map(len, pages))
-    labels = np.zeros((len(pages), long), dtype=np.int64)
-    mask = np.zeros((len(pages), long))
+    chains = [(page, at) for page in pages for at in range(0, len(page), CHAIN)]
+    if not chains:
+        return Field({}, ((0.0, 0.0), (0.0, 0.0)), (0.0, 0.0))
+    long = max(min(CHAIN, len(page) - at) for page, at in chains)
+    labels = np.zeros((len(chains), long), dtype=np.int64)
+    mask = np.zeros((len(chains), long))
+    before = np.full(len(chains), -1)
     rows, columns = [], []
-    for i, page in enumerate(pages):
-        for k, block in enumerate(page):
+    for i, (page, at) in enumerate(chains):
+        if at:
+            before[i] = page[at - 1].label
+        for k, block in enumerate(page[at : at + CHAIN]):
             labels[i, k], mask[i, k] = block.label, 1
-            for name in {*path_features(block.path), *text_features(page, k)}:
+            for name in {*path_features(block.path), *text_features(page, at + k)}:
                 rows.append(i * long + k)
                 columns.append(names.setdefault(name, len(names)))
     rows, columns = np.array(rows), np.array(columns)
     weights, moves, starts = np.zeros(len(names)), np.zeros((2, 2)), np.zeros(2)
     params = [weights, moves, starts]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    pair = np.zeros((2, 2))
     both = mask[:, 1:] > 0
+    begins, goes_on = before < 0, before >= 0
+    pair = np.zeros((2, 2))
     np.add.at(pair, (labels[:, :-1][both], labels[:, 1:][both]), 1)
-    begin = np.bincount(labels[:, 0], minlength=2).astype(float)
+    np.add.at(pair, (before[goes_on], labels[goes_on, 0]), 1)
+    begin = np.bincount(labels[begins, 0], minlength=2).astype(float)
 
     def total(x: np.ndarray, axis: int) -> np.ndarray:
         top = x.max(axis=axis)
@@ -242,9 +258,9 @@ def train(pages: list[list[Block]], steps: int = STEPS, ridge: float = 0.02) ->
     for step in range(1, steps + 1):
         score = np.bincount(rows, weights=weights[columns], minlength=mask.size).reshape(mask.shape)
         emit = np.stack([np.zeros_like(score), score], axis=2)
-        ahead = np.zeros((len(pages), long, 2))
-        behind = np.zeros((len(pages), long, 2))
-        ahead[:, 0] = starts + emit[:, 0]
+        ahead = np.zeros((len(chains), long, 2))
+        behind = np.zeros((len(chains), long, 2))
+        ahead[:, 0] = np.where(begins[:, None], starts, moves[before]) + emit[:, 0]
         for k in range(1, long):
             new = total(ahead[:, k - 1, :, None] + moves[None], 1) + emit[:, k]
             ahead[:, k] = np.where(mask[:, k, None] > 0, new, ahead[:, k - 1])
@@ -259,11 +275,13 @@ def train(pages: list[list[Block]], steps: int = STEPS, ridge: float = 0.02) ->
             + (emit[:, 1:] + behind[:, 1:])[:, :, None, :]
             - norm[:, None, None, None]
         )
+        expected = (edge * both[:, :, None, None]).sum(axis=(0, 1))
+        np.add.at(expected, before[goes_on], chance[goes_on, 0])
         grads = [
             np.bincount(columns, weights=(labels * mask - chance[:, :, 1]).ravel()[rows], minlength=len(names))
             - ridge * weights,
-            pair - (edge * both[:, :, None, None]).sum(axis=(0, 1)) - ridge * moves,
-            begin - chance[:, 0].sum(axis=0) - ridge * starts,
+            pair - expected - ridge * moves,
+            begin - chance[begins, 0].sum(axis=0) - ridge * starts,
         ]
         for p, g, m, v in zip(params, grads, first, second, strict=True):
             m += 0.1 * (g - m)
@@ -341,17 +359,63 @@ def _boilerplate(kind: str, say, rng: random.Random) -> list[tuple[tuple, str, i
     return [x for x in out if x[1]]
 
 
-def labelled(page: str) -> list[Block]:
-    """A page's blocks with labels from its own markup; [] if it does not mark an article."""
+def labelled(page: str, marked: bool = True) -> list[Block]:
+    """A page's blocks with labels from its own markup; [] if it does not mark an article.
+
+    With ``marked`` off, all that is outside known boilerplate counts as the article.
+    """
     blocks = blocks_of(page)
     for block in blocks:
         tags = [tag for tag, _ in block.path]
         words = {w for _, some in block.path for w in some}
-        inside = "article" in tags or "main" in tags
+        inside = not marked or "article" in tags or "main" in tags
         block.label = int(inside and not set(tags) & BOILERPLATE_TAGS and not words & BOILERPLATE_WORDS)
     return blocks if any(b.label for b in blocks) else []
 
 
+def _shaped(block: Block, kind: str, rng: random.Random) -> list[tuple[tuple, str]]:
+    """A main block's text as another kind of block, or several: (path inside the article, text)."""
+    words = block.text.split()
+
+    def cut(least: int, most: int, parts: int) -> list[str]:
+        out, at = [], 0
+        while at < len(words) and len(out) < parts:
+            size = rng.randint(least, most)
+            out.append(" ".join(words[at : at + size]))
+            at += size
+        return out
+
+    if kind == "list":
+        outer = (rng.choice(("ul", "ol")), ())
+        inner = (("li", ()),) + (("p", ()),) * (rng.random() < 0.2)
+        most = rng.choice((2, 8, 25))
+        return [((outer, *inner), text) for text in cut(1, most, rng.randint(2, 40))]
+    if kind == "table":
+        base = (("table", ()),) + ((rng.choice(("tbody", "thead")), ()),) * (rng.random() < 0.6)
+        cell = rng.choice(("td", "td", "th"))
+        return [((*base, ("tr", ()), (cell, ())), text) for text in cut(1, 5, rng.randint(2, 24))]
+    if kind == "terms":
+        return [
+            ((("dl", ()), (("dt", "dd")[k % 2], ())), text)
+            for k, text in enumerate(cut(1, 10, rng.randint(2, 12)))
+        ]
+    if kind == "heading":
+        return [(((f"h{rng.randint(2, 6)}", ()),), " ".join(words[: rng.randint(1, 9)]))]
+    path = {
+        "code": rng.choice(((("pre", ()),), (("pre", ()), ("code", ())))),
+        "quote": rng.choice(((("blockquote", ()),), (("blockquote", ()), ("p", ())))),
+        "figure": (("figure", ()), ("figcaption", ())),
+        "section": (("section", ()), ("p", ())),
+        "box": rng.choice(((("div", ()),), (("div", ()), ("p", ())), (("details", ()), ("summary", ())))),
+    }[kind]
+    short = kind in ("figure", "code") and rng.random() < 0.5
+    return [(path, " ".join(words[: rng.randint(1, 12)]) if short else block.text)]
+
+
+#: Kinds of main blocks besides paragraphs.
+KINDS = ("list", "table", "terms", "heading", "code", "quote", "figure", "section", "box")
+
+
 def rebuilt(blocks: list[Block], texts: list[str], rng: random.Random) -> list[Block]:
     """A page with the same main blocks in other wrappers, among boilerplate of all kinds."""
     frame = (("html", ()), ("body", ()))
@@ -381,12 +445,19 @@ def rebuilt(blocks: list[Block], texts: list[str], rng: random.Random) -> list[B
         if rng.random() < 0.6:
             page += extra(kind, base)
     inside = base + wrap
+    # paragraphs mostly, a mixture of kinds, or one kind for the whole article
+    mixture = rng.choice((0.0, 0.3, 0.7, 1.0))
+    kinds = rng.choice((KINDS, KINDS, (rng.choice(KINDS),)))
     for block in blocks:
         if not block.label:
             continue
         own = next((t for t, _ in reversed(block.path) if t in BLOCK_TAGS), "p")
         own = own if own not in ("article", "main", "div", "body") else "p"
-        page.append(Block((*inside, (own, ())), block.text, block.linked, 1))
+        if own != "h1" and rng.random() < mixture:
+            parts = _shaped(block, rng.choice(kinds), rng)
+            page += [Block(inside + path, text, 0, 1) for path, text in parts]
+        else:
+            page.append(Block((*inside, (own, ())), block.text, block.linked, 1))
         if rng.random() < 0.08:
             page += extra(rng.choice(("ad", "form", "share", "side", "notice")), inside)
     if rng.random() < 0.5:
@@ -397,19 +468,36 @@ def rebuilt(blocks: list[Block], texts: list[str], rng: random.Random) -> list[B
     return page
 
 
+def sample_pages(pages: DataFrame, id_col: str, html_col: str) -> list[str]:
+    """The pages with the smallest hashes, at most ``TRAIN_PAGES``; only their hashes are sorted."""
+    text = F.col(f"`{html_col}`").cast("string")
+    source = pages.select(
+        F.xxhash64(F.col(f"`{id_col}`"), text).alias("print"), text.alias("html")
+    ).where("html IS NOT NULL")
+    prints = source.select("print").distinct().orderBy("print").limit(TRAIN_PAGES).collect()
+    chosen = source.where(F.col("print").isin([r.print for r in prints]))
+    rows = chosen.groupBy("print").agg(F.min("html").alias("html")).orderBy("print").collect()
+    return [r.html for r in rows]
+
+
+def training_pages(found: list[str], rng: random.Random) -> list[list[Block]]:
+    """Labelled pages up to ``TRAIN_BLOCKS`` blocks, as they are and rebuilt."""
+    pages = [p for p in map(labelled, found) if p]
+    pages = pages or [p for p in (labelled(x, marked=False) for x in found) if p]
+    kept, blocks = [], 0
+    for page in pages:
+        kept.append(page)
+        blocks += len(page)
+        if blocks >= TRAIN_BLOCKS:
+            break
+    texts = [b.text for p in kept for b in p if b.label]
+    return kept + [rebuilt(p, texts, rng) for p in kept for _ in range(VARIANTS)]
+
+
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Field:
     """The field trained on pages made from a bounded sample of the table."""
-    source = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{html_col}`").alias("html"))
-    rows = (
-        source.where("html IS NOT NULL").orderBy(F.xxhash64("id"), "id", "html").limit(TRAIN_PAGES).collect()
-    )
-    found = [p for p in (labelled(r.html) for r in rows) if 0 < len(p) <= TRAIN_BLOCKS]
-    if not found:
-        return Field({"boilerplate": -4.0}, ((0.0, 0.0), (0.0, 0.0)), (0.0, 1.0))
-    texts = [b.text for p in found for b in p if b.label]
-    rng = random.Random(7)
-    made = [rebuilt(p, texts, rng) for p in found for _ in range(VARIANTS)]
-    return train([*found, *made])
+    ship_package(pages.sparkSession)
+    return train(training_pages(sample_pages(pages, id_col, html_col), random.Random(7)))
 
 
 def main_text(field: Field, page: str | None) -> str:
