@@ -4,17 +4,21 @@ One weight vector over sparse text features is shared by all thresholds:
 P(grade > k) = sigmoid(x.w - c_k), with c_1 < c_2 < ...; the expected severity is the
 sum of these chances. Features are the words of a text and their leading bytes
 (languages build abuse from common stems), present or not, hashed to 64 bits. The
-model keeps the features that are found with abuse far more often than by chance.
+model keeps the features that are found with abuse far more often than by chance: as
+many of the likeliest as hold an expected share ``BY_CHANCE`` of chance finds. How much
+evidence that takes follows from the number of features tried, so few labels with few
+features ask for less than many with millions.
 
 Training takes a bounded sample of labelled documents, ``SAMPLE`` of each label at
-most, chosen by a hash of the id; only their feature hashes reach the driver. The
-labels say toxic or not; toxic documents are graded further by how many of their
-words are strong evidence (``STEPS``). Scoring is one pass over all texts without a
-shuffle.
+most, chosen by a hash of the id. Their features are counted in tasks and summed up
+before the ``FEATURES`` likeliest reach the driver, and then, per document, which of the
+chosen ones it holds. The labels say toxic or not; toxic documents are graded further by
+how many of their words are strong evidence (``STEPS``). Scoring is one pass over all
+texts without a shuffle.
 
 Defined results: a null or empty text has no features and gets the base chance; a
-null id is carried; labels with null id or null label are left out of training; repeated rows are
-scored each; without labels of both kinds nothing is rejected and severity is 0; an
+null id is carried; labels with null id or null label are left out of training; of rows
+with one id the least text trains once per label, and all are scored; without labels of both kinds nothing is rejected and severity is 0; an
 empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
@@ -28,16 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratiolens.llm.common import slices, text_or_empty
+from ratiolens.llm.common import ship_package, slices, stage, text_or_empty
 from ratiolens.llm.wordhash import Words, mixed
 
 SAMPLE = 2_000
 FEATURES = 8_192
 STEMS = (4, 5, 6, 7, 8, 9)
-#: Least labelled documents with a feature, least likelihood ratio (G squared) of its
-#: counts against chance, and least log-odds of strong evidence. The ratio keeps chance
-#: finds among millions of features out, so that clean documents stay clean.
-SEEN, EVIDENCE, STRONG = 3, 20.0, 2.0
+#: Least labelled documents with a feature, expected share of chance finds among the
+#: kept features, and least log-odds of strong evidence.
+SEEN, BY_CHANCE, STRONG = 3, 0.1, 2.0
 #: Distinct strong words from which a toxic document has grade 2 and 3.
 STEPS = (4, 8)
 RIDGE = 0.5
@@ -90,20 +93,73 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-np.clip(scores[:, None] - self.cuts[None, :], -40, 40)))
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def distinct_features(texts: list[bytes]) -> list[np.ndarray]:
+    """The distinct features of each text, in order."""
+    words, found = features_of(texts)
+    out = []
+    for k in range(len(texts)):
+        part = slice(words.first[k], words.first[k + 1])
+        values = np.unique(np.concatenate([x[part] for x in found]))
+        out.append(values[values != 0])
+    return out
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts, and how many toxic ones, hold each feature: one row a slice."""
     for batch in slices(batches, "text", 2 << 20):
-        texts = [(x or "").encode() for x in batch.column("text").to_pylist()]
-        words, found = features_of(texts)
-        lists = []
-        for k in range(len(texts)):
-            part = slice(words.first[k], words.first[k + 1])
-            values = np.unique(np.concatenate([x[part] for x in found]))
-            lists.append(values[values != 0].tobytes())
+        found = distinct_features([(x or "").encode() for x in batch.column("text").to_pylist()])
+        toxic = np.repeat(batch.column("toxic").to_numpy(), [len(x) for x in found])
+        values, column, seen = np.unique(
+            np.concatenate(found), return_inverse=True, return_counts=True
+        )
+        bad = np.bincount(column, weights=toxic, minlength=len(values)).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("toxic"), pa.array(lists, pa.binary())], ["toxic", "found"]
+            [pa.array(values.view(np.int64)), pa.array(seen), pa.array(bad)],
+            ["feature", "seen", "bad"],
         )
 
 
+def _chosen(features: np.ndarray):
+    """Per text its label and the places of its features among the given, sorted ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 2 << 20):
+            lists = []
+            for values in distinct_features(
+                [(x or "").encode() for x in batch.column("text").to_pylist()]
+            ):
+                at = np.searchsorted(features, values)
+                at[at == len(features)] = 0
+                lists.append(at[features[at] == values].astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("toxic"), pa.array(lists, pa.binary())], ["toxic", "found"]
+            )
+
+    return run
+
+
+def _evidence(bad: int, good: int) -> tuple[str, str]:
+    """SQL over a feature's counts: likelihood ratio (G squared) against chance, log-odds."""
+
+    def part(n: str, share: float) -> str:
+        return f"if({n} = 0, 0D, {n} * ln({n} / (seen * {share!r}D)))"
+
+    total = bad + good
+    ratio = f"2 * ({part('bad', bad / total)} + {part('(seen - bad)', good / total)})"
+    odds = (
+        f"ln((bad + 0.5D) / ({bad} - bad + 0.5D)) "
+        f"- ln((seen - bad + 0.5D) / ({good} - (seen - bad) + 0.5D))"
+    )
+    return ratio, odds
+
+
+def kept_finds(evidence: np.ndarray, tried: int) -> int:
+    """How many of the descending ratios to keep, at ``BY_CHANCE`` chance finds among them."""
+    chance = np.exp(-evidence / 2) / 2  # of a ratio this large, on the side of abuse
+    fits = np.flatnonzero(chance <= BY_CHANCE * np.arange(1, len(evidence) + 1) / max(1, tried))
+    return int(fits[-1]) + 1 if len(fits) else 0
+
+
 def fit_ordinal(
     rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, width: int, ridge: float = RIDGE
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -146,6 +202,7 @@ def fit_ordinal(
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
     """The model from a bounded sample of labelled documents."""
+    ship_package(docs.sparkSession)
     labelled = labels.select(
         F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic")
     ).where("label_id IS NOT NULL AND toxic IN (0, 1)")
@@ -158,40 +215,45 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).alias("text")).join(
         F.broadcast(picked), F.col("id") == F.col("label_id")
     )
-    rows = sample.select("toxic", "text").mapInArrow(_gather, "toxic int, found binary").collect()
-    toxic = np.array([r.toxic for r in rows], dtype=np.int64)
-    if len(set(toxic)) < 2:
+    sample = stage(sample.groupBy("label_id", "toxic").agg(F.min("text").alias("text")), "toxic-sample")
+    sizes = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    if len(sizes) < 2:
         return OrdinalModel.empty()
-    found = [np.frombuffer(r.found, dtype=np.uint64) for r in rows]
-    sizes = [len(x) for x in found]
-    doc = np.repeat(np.arange(len(found)), sizes)
-    values, column, seen = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
-    with_toxic = np.bincount(column, weights=toxic[doc], minlength=len(values))
-    bad, good = toxic.sum(), len(toxic) - toxic.sum()
-    odds = np.log((with_toxic + 0.5) / (bad - with_toxic + 0.5)) - np.log(
-        (seen - with_toxic + 0.5) / (good - seen + with_toxic + 0.5)
+    ratio, odds = _evidence(sizes[1], sizes[0])
+    counts = (
+        sample.select("toxic", "text")
+        .mapInArrow(_counted, "feature long, seen long, bad long")
+        .groupBy("feature")
+        .agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"))
+        .where(f"seen >= {SEEN}")
+        .selectExpr("feature", f"{ratio} AS evidence", f"{odds} AS odds")
     )
-    expected = seen * bad / len(toxic)
-    free = np.maximum(seen - with_toxic, 1e-9)
-    evidence = 2 * (
-        with_toxic * np.log(np.maximum(with_toxic, 1e-9) / expected)
-        + (seen - with_toxic) * np.log(free / (seen - expected))
+    counts = stage(counts, "toxic-features")
+    found = (
+        counts.where("odds > 0")
+        .orderBy(F.desc("evidence"), "feature")
+        .limit(FEATURES)
+        .collect()
     )
-    rank = np.where((seen >= SEEN) & (odds > 0), evidence, 0)
-    kept = np.argsort(-rank, kind="stable")[:FEATURES]
-    kept = np.sort(kept[rank[kept] > EVIDENCE])
-    if not len(kept):
+    found = found[: kept_finds(np.array([r.evidence for r in found]), counts.count())]
+    if not found:
         return OrdinalModel.empty()
-    place = np.full(len(values), -1)
-    place[kept] = np.arange(len(kept))
-    has = place[column] >= 0
-    doc, column = doc[has], place[column[has]]
-    strong = odds[kept] > STRONG
+    features = np.array([r.feature for r in found], dtype=np.int64).view(np.uint64)
+    order = np.argsort(features)
+    features, strong = features[order], np.array([r.odds for r in found])[order] > STRONG
+    rows = (
+        sample.select("toxic", "text")
+        .mapInArrow(_chosen(features), "toxic int, found binary")
+        .collect()
+    )
+    rows.sort()
+    toxic = np.array([r.toxic for r in rows], dtype=np.int64)
+    lists = [np.frombuffer(r.found, "<i4") for r in rows]
+    doc, column = np.repeat(np.arange(len(rows)), list(map(len, lists))), np.concatenate(lists)
     hits = np.bincount(doc[strong[column]], minlength=len(toxic))
     grades = toxic * (1 + np.searchsorted(STEPS, hits, side="right"))
     _, grades = np.unique(grades, return_inverse=True)  # grades that occur, without holes
-    weights, cuts = fit_ordinal(doc, column, grades, len(kept))
-    features = values[kept]
+    weights, cuts = fit_ordinal(doc, column, grades, len(features))
     mask = np.zeros(1 << 20, dtype=bool)
     mask[features & np.uint64((1 << 20) - 1)] = True
     return OrdinalModel(features, weights, cuts, mask)
