@@ -9,12 +9,13 @@ the same documents.
 The scale is set by ``keep``, the share of all tokens that is to stay: the chances,
 cut at 1, keep just that many tokens. Cells short of their part keep every document
 and the others make up the size, so the sample's shares come as near to the targets as
-they can without repeats. Without ``keep`` (the registered query, as its SQL has it)
-the cell in shortest supply alone keeps every document and sets the sample's size.
+they can without repeats.
 
-Defined results: null source or language form a value of their own, written ''; a
-null or empty text has no words, weighs nothing and stays with the chance ``keep``
-(0 without ``keep``); a null id is drawn as the empty string; repeated rows share their draw; marginals without tokens get no
+The topic is a column of ``docs`` where there is one (``topic_col``). Without one the
+third marginal is a text's form, by its length, lines and signs.
+
+Defined results: null source, language or topic form a value of their own, written ''; a
+null or empty text has no words, weighs nothing and stays with the chance ``keep``; a null id is drawn as the empty string; repeated rows share their draw; marginals without tokens get no
 weight; an empty table gives an empty result; other columns are carried, not read.
 """
 
@@ -30,7 +31,7 @@ from ratiolens.llm.common import WORD, stage, text_or_empty
 SWEEPS = 8
 #: Targets are the present shares to these powers, made to add up to one.
 POWERS = {"source": 0.8, "lang": 0.8, "topic": 0.8}
-#: Share of all tokens that the pipeline's sample is to keep.
+#: Share of all tokens that the sample is to keep.
 KEEP = 0.8
 SEED = "mix-1"
 #: Digits of the hexadecimal hash that make up the draw.
@@ -42,7 +43,7 @@ def words_in(text: Column) -> Column:
 
 
 def topic_of(text: Column, words: Column) -> Column:
-    """Form of a text, the default topic: by length, lines and symbols."""
+    """Form of a text, in place of a topic: by length, lines and signs."""
     lines = F.char_length(text) - F.char_length(F.translate(text, "\n", ""))
     signs = F.char_length(text) - F.char_length(F.translate(text, "#$%&*<>=/{}[]|\\~^_", ""))
     return (
@@ -112,14 +113,10 @@ def scale(raked: DataFrame, keep: float) -> float:
         before = sums["full"]
 
 
-def chances(raked: DataFrame, keep: float | None = None) -> DataFrame:
-    """Cells with the chance of a document to stay, by ``keep`` or the cell in shortest supply."""
+def chances(raked: DataFrame, keep: float = KEEP) -> DataFrame:
+    """Cells with the chance of a document to stay."""
     ratio = F.col("weight") * F.col("all_tokens") / F.col("tokens")
-    if keep is None:
-        top = float(raked.agg(F.max(ratio)).first()[0] or 1.0)
-        chance = ratio / F.lit(top)
-    else:
-        chance = F.least(F.lit(1.0), ratio * F.lit(scale(raked, keep)))
+    chance = F.least(F.lit(1.0), ratio * F.lit(scale(raked, keep)))
     return raked.select(
         F.col("source").alias("c_source"),
         F.col("lang").alias("c_lang"),
@@ -142,26 +139,33 @@ def mix(
     targets: dict[str, DataFrame] | None = None,
     sweeps: int = SWEEPS,
     keep_rows: bool = False,
-    keep: float | None = None,
+    keep: float = KEEP,
+    topic_col: str = "topic",
 ) -> DataFrame:
     """Per document: id, source, lang, topic, tokens, chance, sampled.
 
-    ``keep`` is the share of all tokens to stay. With ``keep_rows`` the result is the sampled rows of ``docs`` as they came.
+    ``keep`` is the share of all tokens to stay. With ``keep_rows`` the result is the
+    sampled rows of ``docs`` as they came.
     """
     text = text_or_empty(text_col)
     source, lang = (text_or_empty(c) if c in docs.columns else F.lit("") for c in ("source", "lang"))
+    topic = topic_of(F.col("body"), F.col("tokens"))
+    given = [text_or_empty(topic_col).alias("given")] * (topic_col in docs.columns)
+    if given:
+        topic = F.col("given")
     described = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
         source.alias("source"),
         lang.alias("lang"),
         words_in(text).alias("tokens"),
         text.alias("body"),
+        *given,
         *[F.struct("*").alias("row")] * keep_rows,
     ).select(
         "doc_id",
         "source",
         "lang",
-        topic_of(F.col("body"), F.col("tokens")).alias("topic"),
+        topic.alias("topic"),
         "tokens",
         *["row"] * keep_rows,
     )
@@ -173,7 +177,7 @@ def mix(
         lambda a, b: a & b, (F.col(n) == F.col(f"c_{n}") for n in ("source", "lang", "topic"))
     )
     drawn = described.join(shares, same, "left").withColumn(
-        "chance", F.coalesce("chance", F.lit(float(keep or 0)))
+        "chance", F.coalesce("chance", F.lit(float(keep)))
     )
     drawn = drawn.withColumn("sampled", draw(F.col("doc_id")) < F.col("chance"))
     if keep_rows:

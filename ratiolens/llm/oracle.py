@@ -66,20 +66,33 @@ def mixing_sql() -> str:
 )"""
             )
             before = now
-    ratio = "weight * all_tokens / tokens"
-    steps.append(
-        f"""p AS MATERIALIZED (
-    SELECT source, lang, topic, round({ratio} / max({ratio}) OVER (), 9) AS chance FROM {before}
-)"""
-    )
+    order = "ORDER BY ratio DESC, source, lang, topic ROWS BETWEEN"
+    steps += [
+        f"""r AS MATERIALIZED (
+    SELECT *, weight * all_tokens AS fitted, weight * all_tokens / tokens AS ratio FROM {before}
+)""",
+        # cells in order of their ratio: those before a cell give all they have, it and the rest share
+        f"""k AS MATERIALIZED (
+    SELECT *, row_number() OVER (ORDER BY ratio DESC, source, lang, topic) AS nth,
+           ({mixing.KEEP} * all_tokens
+            - coalesce(sum(tokens) OVER ({order} UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+           / sum(fitted) OVER ({order} CURRENT ROW AND UNBOUNDED FOLLOWING) AS factor
+    FROM r
+)""",
+        """p AS MATERIALIZED (
+    SELECT source, lang, topic, round(least(1.0, ratio * (
+        SELECT arg_min(factor, nth) FROM k WHERE factor * ratio < 1)), 9) AS chance
+    FROM r
+)""",
+    ]
     digits = mixing.DIGITS
     return (
         "WITH "
         + ",\n".join(steps)
         + f"""
-SELECT t.doc_id, t.source, t.lang, t.topic, t.tokens, coalesce(p.chance, 0.0) AS chance,
+SELECT t.doc_id, t.source, t.lang, t.topic, t.tokens, coalesce(p.chance, {mixing.KEEP}) AS chance,
        ('0x' || substr(md5('{mixing.SEED}:' || coalesce(t.doc_id::VARCHAR, '')), 1, {digits}))::BIGINT
-       / {16**digits}.0::DOUBLE < coalesce(p.chance, 0.0) AS sampled
+       / {16**digits}.0::DOUBLE < coalesce(p.chance, {mixing.KEEP}) AS sampled
 FROM t LEFT JOIN p ON t.source = p.source AND t.lang = p.lang AND t.topic = p.topic
 """
     )

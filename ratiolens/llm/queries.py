@@ -34,7 +34,7 @@ def tokenizer_path() -> str:
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), from_files=True)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
