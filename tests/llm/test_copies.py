@@ -13,6 +13,7 @@ import pytest
 from ratiolens.llm import exact_dedup, jaccard_join, repeats
 from ratiolens.llm.common import numbered
 from ratiolens.llm.components import components
+from tests.llm.conftest import prose
 
 
 def test_rice_code_round_trip():
@@ -49,6 +50,15 @@ def test_exact_duplicates(docs, rows):
     assert all(r.doc_id == r.keep_id for r in found if r.kept)
 
 
+def test_many_copies_meet_in_no_task(spark):
+    """A group's rows are answered by parts: one text held by most rows, in many blocks."""
+    rows = [(k, "the same  text" if k % 5 else f"text {k}") for k in range(2000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+    found = exact_dedup.duplicate_rows(table)
+    assert {(r.group_size, r.keep_id) for r in found.where("doc_id % 5 <> 0").collect()} == {(1600, 1)}
+    assert found.where("kept").count() == 401
+
+
 def test_rows_without_copies_keep_their_columns(docs, rows):
     kept = exact_dedup.without_copies(numbered(docs, "test"))
     assert kept.columns == docs.columns
@@ -101,6 +111,27 @@ def test_repeated_strings_at_the_edge(spark):
     assert {r[0]: tuple(r[1:]) for r in found} == dict(enumerate(want))
 
 
+def test_many_equal_rows_go_row_by_row(spark):
+    """Rows equal in id and text: each carries its own runs, so the work grows with their number."""
+    from ratiolens.sources import staging
+
+    same, other = prose(31, 120), prose(32, 120)
+    rows = [(7, same)] * 250 + [(None, other)] * 250 + [(k, prose(k, 100)) for k in range(50, 90)]
+    rows.append((1, other + " " + prose(33, 90)))
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    runs = []
+    staging.watchers.append(lambda df: runs.append(df) if "witness" in df.columns else None)
+    try:
+        found = repeats.remove_repeats(table).collect()
+    finally:
+        staging.watchers.pop()
+    want = brute_repeats([t.encode() for _, t in rows])
+    assert Counter(tuple(r) for r in found) == Counter(
+        (r[0], *w) for r, w in zip(rows, want, strict=True)
+    )
+    assert runs[0].count() < 700
+
+
 def test_long_texts_are_searched_in_pieces(monkeypatch):
     text = bytes(np.random.default_rng(3).integers(97, 123, 5000, dtype=np.uint8))
     whole = repeats.anchored_runs([text])
@@ -144,7 +175,32 @@ def brute_groups(rows):
     )
 
 
-@pytest.mark.parametrize("short", [jaccard_join.SHORT, 2])
+def test_gaps_round_trip():
+    rng = np.random.default_rng(7)
+    for size, top in ((1, 1), (1, 2**40), (900, 2**40), (900, 1000), (5000, 2**33)):
+        values = np.unique(rng.integers(0, top, size, dtype=np.uint64))
+        assert (jaccard_join.unpacked_gaps(len(values), *jaccard_join.packed_gaps(values)) == values).all()
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_frequent_shingles_do_not_depend_on_the_split(spark, monkeypatch, parts):
+    """Counts of all texts, whatever the partitions and the texts counted together."""
+    texts = [prose(k % 40, 60) + " " + prose(900 + k % 5, 20) for k in range(200)]
+    seen = Counter()
+    for text in texts:
+        for found in jaccard_join.shingle_sets([text.encode()]):
+            seen.update(jaccard_join.counted(found).tolist())
+    table = spark.createDataFrame([(t,) for t in texts], "text string").repartition(parts)
+    for together in (1000, jaccard_join.COUNTED):
+        monkeypatch.setattr(jaccard_join, "COUNTED", together)
+        got = jaccard_join.frequent_shingles(table)
+        assert got.tolist() == sorted(x for x, n in seen.items() if n >= jaccard_join.LEAST)
+    few = jaccard_join.frequent_shingles(table, most=40)
+    least = min(seen[x] for x in few.tolist())
+    assert 0 < len(few) <= 40 and least >= 5
+
+
+@pytest.mark.parametrize("short", [jaccard_join.SHORT, 2, 40])
 def test_similar_groups(docs, rows, monkeypatch, short):
     monkeypatch.setattr(jaccard_join, "SHORT", short)
     found = jaccard_join.similar_groups(docs).drop("print").collect()

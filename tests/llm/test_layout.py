@@ -10,14 +10,17 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ratiolens.llm import exact_dedup, fingerprints, jaccard_join, mixing, packing, toxicity
-from ratiolens.llm.common import numbered
+from ratiolens.llm import fingerprints, mixing, packing, toxicity
+from ratiolens.llm.common import WORD, numbered, table
 from ratiolens.llm.oracle import ORACLES
 from ratiolens.llm.queries import REGISTRY, tokenizer_path
 from tests.llm.conftest import SCHEMA, prose
+from tests.llm.test_copies import brute_groups
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 have_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
@@ -61,8 +64,107 @@ def test_fingerprints_tell_edits_from_strangers(spark):
     rows = [(k, prose(k, 400)) for k in range(60)]
     found = fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert min(r.near_edited for r in found) > 0.3 > max(r.near_next for r in found)
-    exact = [len(set(a) & set(b)) / len(set(a) | set(b)) for a, b in ((t[:300], t) for _, t in rows)]
-    assert len(exact) == 60
+
+
+def hashed(value, seed: int) -> int:
+    data = value.encode() if isinstance(value, str) else value.to_bytes(8, "little")
+    return xxhash.xxh64_intdigest(data, seed)
+
+
+def chain(values) -> int:
+    seed = 42
+    for value in values:
+        seed = hashed(value, seed)
+    return seed
+
+
+def signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
+def brute_anchors(text: str) -> list[tuple[int, int]]:
+    """(place, 32-bit hash) of the closed syncmers of a text, by their definition."""
+    k, s = fingerprints.K, fingerprints.S
+    words = regex.findall(f"{WORD[:-1]}{{1,{fingerprints.PIECE}}}", text)
+    h = [hashed(w, 42) for w in words]
+    out = []
+    for i in range(len(h) - k + 1):
+        inner = [signed(chain(h[j : j + s])) for j in range(i, i + k - s + 1)]
+        if min(inner[0], inner[-1]) == min(inner):
+            out.append((i, chain(h[i : i + k]) & 0xFFFFFFFF))
+    if not out and h:
+        seed = 42
+        for value in h:
+            seed = chain([seed, value])
+        out = [(0, seed & 0xFFFFFFFF)]
+    return out
+
+
+def brute_likeness(a, b) -> float:
+    if not a or not b:
+        return float(not a and not b)
+    firsts = [{}, {}]
+    for side, anchors in zip(firsts, (a, b), strict=True):
+        for place, value in anchors:
+            side.setdefault(value, place)
+    covered = lambda places: len({p + j for p in places for j in range(fingerprints.K)})
+    common = firsts[0].keys() & firsts[1].keys()
+    both = sum(covered([side[x] for x in common]) for side in firsts) / 2
+    return both / (sum(covered(side.values()) for side in firsts) - both)
+
+
+def test_fingerprints_by_brute_force(spark, rows):
+    """Anchors and likeness against their definition, on texts of every kind."""
+    texts = [r[1] or "" for r in rows] + [prose(7, 400), prose(7, 300) + " " + prose(8, 100)]
+    texts += [prose(7, 200)] * 2 + ["a b c d e f g h " * 30]
+    table = spark.createDataFrame([(3 * k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id // 3: r for r in fingerprints.fingerprints(table.repartition(4)).collect()}
+    for k, text in enumerate(texts):
+        following = texts[(k + 1) % len(texts)]
+        cut = len(text) // 4
+        anchors = [brute_anchors(t) for t in (text, text[: len(text) - cut] + following[:cut], following)]
+        for name, some in (("fingerprint", anchors[0]), ("edited_fingerprint", anchors[1])):
+            before, spelt = 0, []
+            for place, value in some:
+                spelt.append(f"{place - before:x}{value:08x}")
+                before = place
+            assert found[k][name] == "".join(spelt)
+        assert found[k].near_edited == pytest.approx(brute_likeness(anchors[0], anchors[1]))
+        assert found[k].near_next == pytest.approx(brute_likeness(anchors[0], anchors[2]))
+
+
+@pytest.mark.parametrize("ids", ["outlier", "null", "one", "text", "even"])
+def test_buckets_are_alike_however_ids_are_spread(spark, ids, monkeypatch):
+    of = {
+        "outlier": lambda k: 10**15 if k == 0 else k,
+        "null": lambda k: None,
+        "one": lambda k: 5,
+        "text": lambda k: f"host.example/{k % 7}/{k}",
+        "even": lambda k: k,
+    }[ids]
+    kind = "string" if ids == "text" else "long"
+    rows = [(of(k), prose(k, 5)) for k in range(3000)]
+    docs = spark.createDataFrame(rows, f"doc_id {kind}, text string")
+    source = docs.withColumn(
+        "key", fingerprints.order_key(F.col("doc_id"), docs.schema["doc_id"].dataType.simpleString(), F.xxhash64("text"))
+    )
+    edges = fingerprints.bucket_edges(source.select("key", F.lit(300).alias("bytes")))
+    sizes = source.groupBy(fingerprints.bucket_of(F.col("key"), edges).alias("b")).count().collect()
+    assert len(edges) >= 8 and {r.b for r in sizes} == set(range(len(edges)))
+    assert max(r["count"] for r in sizes) < 3 * 3000 / len(edges)
+    found = fingerprints.with_next(docs).collect()
+    keys = [(r[0] is not None, r[0] if r[0] is not None else 0) for r in rows]
+    assert len(found) == 3000
+    if ids in ("outlier", "text", "even"):
+        order = [t for _, (_, t) in sorted(zip(keys, rows, strict=True))]
+        follows = dict(zip(order, order[1:] + order[:1], strict=True))
+        assert all(follows[r.text] == r.next_text for r in found)
+    else:  # one circle through all texts
+        follows, at, seen = {r.text: r.next_text for r in found}, rows[0][1], set()
+        while at not in seen:
+            seen.add(at)
+            at = follows[at]
+        assert len(seen) == 3000
 
 
 def test_fingerprints_find_a_passage_in_long_texts(spark):
@@ -120,6 +222,29 @@ def test_raking_meets_its_targets(spark):
             assert sums[f"{name[0]}{k}"] == pytest.approx(x, abs=1e-6)
 
 
+def test_mixing_takes_a_given_topic(spark):
+    rows = [(k, prose(k, 40), "s", ("sports", "law", None)[k % 3]) for k in range(90)]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, topic string"))
+    assert Counter(r.topic for r in found.collect()) == {"sports": 30, "law": 30, "": 30}
+
+
+def test_mixing_matches_its_sql(spark, docs, no_docs, tmp_path):
+    """Fixture with nulls, empty texts and repeats; the SQL reckons the scale in closed form."""
+    for name, frame in (("docs", docs), ("none", no_docs)):
+        folder = f"{tmp_path}/{name}"
+        frame.write.parquet(f"{folder}/documents.parquet")
+        found = mixing.mix(table(spark, folder, "documents"))
+        assert Counter(map(tuple, found.collect())) == sql_rows("op9_mixing", folder, found.columns)
+
+
+def sql_rows(name: str, folder: str, columns: list[str]) -> Counter:
+    connection = duckdb.connect()
+    connection.execute(
+        f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')"
+    )
+    return Counter(connection.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})").fetchall())
+
+
 def test_mixing_keeps_rows_and_columns(docs, rows, no_docs):
     found = mixing.mix(docs)
     assert found.count() == len(rows)
@@ -228,31 +353,50 @@ def test_packing_of_nothing(no_docs):
 
 
 def test_pipeline_stages_against_their_operators(spark, docs, rows, tmp_path):
-    """Each stage by brute force on what the one before kept."""
+    """Each stage's rows by brute force or SQL on what the one before kept."""
     folder = str(tmp_path)
-    docs.write.parquet(f"{folder}/documents.parquet")
+    docs.write.parquet(f"{folder}/in-0/documents.parquet")
     labels = spark.createDataFrame([(k, k % 2) for k in range(6, 30)], "doc_id long, toxic int")
     labels.write.parquet(f"{folder}/labels.parquet")
-    now = spark.read.parquet(f"{folder}/documents.parquet")
     for k, (name, step) in enumerate(corpus_pipeline.STAGES):
+        now = spark.read.parquet(f"{folder}/in-{k}/documents.parquet")
         before = [tuple(r) for r in now.collect()]
         out = step(spark, now, folder)
-        if k < 4:
-            assert out.columns == docs.columns
-        out.write.parquet(f"{folder}/out-{k}")
-        now = spark.read.parquet(f"{folder}/out-{k}")
-        after = Counter(tuple(r) for r in now.collect())
-        if k < 4:
-            assert not after - Counter(before)
-        if name == "exact_dedup":
-            norm = lambda t: "".join((t or "").split())
-            assert len({norm(r[1]) for r in before}) == sum(after.values())
-        if name == "mixing":
-            assert sum(after.values()) > 0
-    kept = spark.read.parquet(f"{folder}/out-3").orderBy("doc_id").collect()
-    pieces = Counter(r.doc_id for r in now.where("piece = 0").collect())
-    assert pieces == Counter(r.doc_id for r in kept)
-    assert corpus_pipeline.run(spark, folder).count() == now.count()
+        out.write.parquet(f"{folder}/in-{k + 1}/documents.parquet")
+        after = Counter(tuple(r) for r in spark.read.parquet(f"{folder}/in-{k + 1}/documents.parquet").collect())
+        if name == "toxicity":
+            scored = toxicity.score(toxicity.fit(now, labels), now).collect()
+            rejected = {r.doc_id for r in scored if r.toxic}
+            want = Counter(r for r in before if r[0] not in rejected)
+        elif name == "exact_dedup":
+            best = {}
+            for r in before:
+                norm = "".join((r[1] or "").split())
+                best.setdefault(norm, []).append((-len(r[1] or ""), r[0] is None, r[0] or 0, r))
+            want = Counter(min(g, key=lambda m: m[:3])[3] for g in best.values())
+            assert len(want) < len(set(before))
+        elif name == "near_dedup":
+            groups = brute_groups(before)
+            names = {g[0]: g[2] for g in groups}
+            want = Counter(r for r in before if names[r[0]] == r[0])
+            assert sum(want.values()) < len(before)
+        elif name == "mixing":
+            drawn = sql_rows("op9_mixing", f"{folder}/in-{k}", ["doc_id", "sampled"])
+            stay = {i for (i, sampled) in drawn if sampled}
+            want = Counter(r for r in before if r[0] in stay)
+        else:
+            break
+        assert out.columns == docs.columns and after == want
+    pieces = spark.read.parquet(f"{folder}/in-5/documents.parquet").collect()
+    ids = sorted((r[0] for r in before), key=lambda x: (x is not None, x))
+    texts = {r[0]: r[1] or "" for r in before}
+    numbers = {i: n for n, i in enumerate(ids)}
+    renamed = [r.asDict() | {"doc_id": numbers[r.doc_id]} for r in pieces]
+    check_packing([type("Piece", (), r) for r in renamed], [texts[i] for i in ids], packing.CAPACITY)
+    written = f"{folder}/run"
+    docs.write.parquet(f"{written}/documents.parquet")
+    labels.write.parquet(f"{written}/labels.parquet")
+    assert corpus_pipeline.run(spark, written).count() == len(pieces)
 
 
 def test_pipeline_of_nothing(spark, tmp_path):
@@ -294,7 +438,7 @@ def test_registered_queries(spark, name):
         assert Counter(want) == Counter(tuple(r[n] for n in names) for r in found)
 
 
-def test_operators_take_numbered_tables(docs, rows):
+def test_numbered_tables_keep_rows_and_columns(docs, rows):
     table = numbered(docs, "test-rows")
-    assert table.count() == len(rows)
-    assert jaccard_join.SHINGLE == 5 and toxicity.SAMPLE > 0 and exact_dedup.BLOCK_ROWS > 0
+    assert Counter(tuple(r.row) for r in table.collect()) == Counter(rows)
+    assert table.select("row_no").distinct().count() == len(rows)
