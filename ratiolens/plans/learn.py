@@ -23,12 +23,13 @@ def learn_bounds(
     pair: dict[str, str] | str = DEFAULT_PAIRS,
     month_bound: str = "qoq",
     date_column: str = "d",
+    held: DataFrame | None = None,
 ) -> DataFrame:
     """The bounds table of ``day``: one fact scan for all sources, metrics and horizons.
 
     ``date_column='label_period'`` ranges over the business date where late rows
-    sit in other partitions; the scan then cannot prune.
+    sit in other partitions; the scan then prunes only with ``held`` (see ``paired_windows``).
     """
-    tagged = paired_windows(fact, day, back, codes, date_column)
+    tagged = paired_windows(fact, day, back, codes, date_column, held)
     kpi = daily(tagged, (), kpi_measures(codes))
     return bounds_table(all_samples(kpi, pair, month_bound), day, threshold)

@@ -61,7 +61,12 @@ def check_lookback(back: int) -> None:
 
 
 def paired_windows(
-    fact: DataFrame, day: str, back: int, codes: Codes, date_column: str = "d"
+    fact: DataFrame,
+    day: str,
+    back: int,
+    codes: Codes,
+    date_column: str = "d",
+    held: DataFrame | None = None,
 ) -> DataFrame:
     """Daily rows of both year windows from one scan, tagged ``side`` cur or prev.
 
@@ -70,12 +75,20 @@ def paired_windows(
     the two windows. The earlier window ends on the same calendar day a year
     before (29 February becomes the 28th). A lookback of a year or more lets the
     windows overlap; a row in both counts on both sides.
+
+    ``held`` names the partitions that hold a business date (columns label_period and d,
+    such as ``series.read_series`` has). With it a range over the business date prunes
+    too: only partitions with rows in the windows are read, found when the plan runs.
     """
     check_lookback(back)
     last = f"DATE'{day}'"
     last_prev = f"add_months({last}, -12)"
     in_current = f"{date_column} BETWEEN date_sub({last}, {back}) AND {last}"
     in_previous = f"{date_column} BETWEEN date_sub({last_prev}, {back}) AND {last_prev}"
+    if held is not None:
+        inside = held.where(f"{in_current} OR {in_previous}")
+        parts = inside.select(F.col("d").cast("date").alias("held_d")).distinct()
+        fact = fact.join(parts, F.col("d") == F.col("held_d"), "left_semi")
     return fact.where(
         f"period = {quoted(codes.day)} AND ({in_current} OR {in_previous})"
     ).selectExpr(
