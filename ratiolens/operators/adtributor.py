@@ -13,7 +13,6 @@ from ratiolens.functions.attribution import (
 )
 from ratiolens.functions.scalar import gap, ratio, settled
 from ratiolens.operators.ranking import largest_first
-from ratiolens.operators.totals import with_totals
 
 DIMS = ("platform", "paycategory", "new_post_flag")
 LEAF = [("bu", *DIMS)]
@@ -22,21 +21,28 @@ EP_THRESHOLD = 0.1
 TOP_K = 3
 
 
+AMOUNTS = ("a_amt", "p_amt", "a_self_amt", "p_self_amt")
+
+
 def dimension_sums(
     leaves: DataFrame, dims: tuple[str, ...] = DIMS, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Actual and predicted amounts per element of each single dimension.
+    """Actual and predicted amounts per element of each single dimension, and their line's.
 
-    Grouping sets add up all dimensions in one pass over the leaf baselines;
-    leaves without this year's rows are out, a missing prediction adds nothing.
+    Grouping sets add up all dimensions and the line itself in one pass over the leaf
+    baselines; leaves without this year's rows are out, a missing prediction adds nothing.
+    A line's leaves are put together first, so one exchange serves the sums, the totals
+    (``total_`` columns, spread from the line's own row) and any ranking within the line.
     ``carry`` are columns that every leaf of a business line shares.
     """
-    names = ("a_amt", "p_amt", "a_self_amt", "p_self_amt")
     keys = [*PARENT, *carry]
-    sums = leaves.where("n_cur > 0").groupingSets([[*keys, d] for d in dims], *keys, *dims).agg(
-        *[F.expr(f"coalesce(sum({n}), 0D) AS {n}") for n in names],
+    inside = leaves.where("n_cur > 0").repartition(*PARENT)
+    sums = inside.groupingSets([*([*keys, d] for d in dims), keys], *keys, *dims).agg(
+        *[F.expr(f"coalesce(sum({n}), 0D) AS {n}") for n in AMOUNTS],
         *[F.expr(f"grouping({d}) AS without_{d}") for d in dims],
     )
+    whole = " AND ".join(f"without_{d} = 1" for d in dims)
+    line = ", ".join(PARENT)
 
     def pick(values: list[str]) -> str:
         cases = [f"WHEN without_{d} = 0 THEN {v}" for d, v in zip(dims, values)]
@@ -47,23 +53,18 @@ def dimension_sums(
         f"{pick([f'{d!r}' for d in dims])} AS dim",
         f"{pick([str(DIMS.index(d)) for d in dims])} AS dim_idx",
         f"{pick(list(dims))} AS element",
-        *names,
-    )
+        *AMOUNTS,
+        *[
+            f"max(CASE WHEN {whole} THEN {n} END) OVER (PARTITION BY {line}) AS total_{n}"
+            for n in AMOUNTS
+        ],
+    ).where("dim IS NOT NULL")
 
 
 def explain_additive(leaves: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Explanatory power and surprise of every element for the net amount.
-
-    A line's totals are an aggregate joined back, so a ranking on top can cut
-    each partition to its own best elements before its shuffle.
-    """
-    totals = with_totals(
-        dimension_sums(leaves, carry=carry),
-        (*PARENT, "dim"),
-        {"total_a": "sum(a_amt)", "total_p": "sum(p_amt)"},
-    )
-    shares = totals.selectExpr(
-        "*", f"{ratio('a_amt', 'total_a')} AS p", f"{ratio('p_amt', 'total_p')} AS q"
+    """Explanatory power and surprise of every element for the net amount."""
+    shares = dimension_sums(leaves, carry=carry).selectExpr(
+        "*", f"{ratio('a_amt', 'total_a_amt')} AS p", f"{ratio('p_amt', 'total_p_amt')} AS q"
     )
     return shares.selectExpr(
         *PARENT,
@@ -73,25 +74,21 @@ def explain_additive(leaves: DataFrame, carry: tuple[str, ...] = ()) -> DataFram
         "element",
         "a_amt AS actual",
         "p_amt AS pred",
-        f"{gap('total_a', 'total_p')} AS dim_gap",
-        f"{explanatory_power('a_amt', 'p_amt', 'total_a', 'total_p')} AS ep",
+        f"{gap('total_a_amt', 'total_p_amt')} AS dim_gap",
+        f"{explanatory_power('a_amt', 'p_amt', 'total_a_amt', 'total_p_amt')} AS ep",
         f"{surprise('p', 'q')} AS surprise",
     )
 
 
 def explain_ratio(leaves: DataFrame) -> DataFrame:
     """The same for the own-instrument rate, over the last dimension only."""
-    names = ("a_amt", "p_amt", "a_self_amt", "p_self_amt")
-    totals = with_totals(
-        dimension_sums(leaves, DIMS[-1:]), PARENT, {f"total_{n}": f"sum({n})" for n in names}
-    )
-    rates = totals.selectExpr(
+    rates = dimension_sums(leaves, DIMS[-1:]).selectExpr(
         "*",
         f"{ratio('a_self_amt', 'a_amt')} AS actual",
         f"{ratio('p_self_amt', 'p_amt')} AS pred",
         f"{ratio('total_a_self_amt', 'total_a_amt')} AS total_actual",
         f"{ratio('total_p_self_amt', 'total_p_amt')} AS total_pred",
-        *[f"{ratio(n, f'total_{n}')} AS share_{n}" for n in names],
+        *[f"{ratio(n, f'total_{n}')} AS share_{n}" for n in AMOUNTS],
     )
     ep = explanatory_power_ratio("actual", "pred", "total_actual", "total_pred")
     numerators = surprise("share_a_self_amt", "share_p_self_amt")

@@ -19,7 +19,13 @@ from ratiolens.functions.scalar import (
     ratio,
 )
 from ratiolens.operators import adtributor, business, permeability, special
-from ratiolens.operators.baseline import TOTAL_LEVEL, level_baseline, lookbacks
+from ratiolens.operators.baseline import (
+    TOTAL_LEVEL,
+    finest_dims,
+    level_baseline,
+    level_name,
+    lookbacks,
+)
 from ratiolens.operators.daily import funnel_measures, kpi_measures, special_measures
 from ratiolens.operators.ranking import largest_first
 from ratiolens.plans import labels as L
@@ -28,6 +34,8 @@ from ratiolens.sources.fact import DIMENSIONS, compact, paired_windows
 from ratiolens.sources.staging import stage
 
 TOP = 3
+#: Prefix of the scenes' measures beside those of the lines.
+SCENE = "scene_"
 
 # One long frame carries every layer's rows. Besides the reported values it has
 # the row's place in the drill-down (line, counter, code), its rank among its
@@ -106,32 +114,39 @@ def drill_down(
     back = max(lookbacks(codes)[p] for p in periods)
     base = stage(compact(paired_windows(fact, day, back, codes), DIMENSIONS), "base")
 
-    def at(levels, measures):
-        return level_baseline(base, day, codes, levels, measures, periods)
-
-    lines = stage(at(business.LEVELS, kpi_measures(codes)), "lines")
+    # One pass gives the baselines of totals, lines and scenes; a second one those of the
+    # picked lines, which are three per source at most: only their rows of the base are
+    # read again, for the funnel that the tree starts from and for the leaves.
+    kpi = kpi_measures(codes)
+    upper = stage(
+        level_baseline(
+            base,
+            day,
+            codes,
+            [*business.LEVELS, *special.LEVELS[1:]],
+            kpi | {f"{SCENE}{n}": sql for n, sql in special_measures().items()},
+            periods,
+        ),
+        "upper",
+    )
+    lines = _of_levels(upper, business.LEVELS, kpi)
+    scenes = special.special_scenes(
+        _of_levels(upper, special.LEVELS, special_measures(), SCENE), codes
+    )
     split = stage(business.bu_split(lines), "split")
     picks = stage(top_lines(split), "picks")
-    # At most three lines per source go on: their rows of the base alone are read for
-    # the funnel, from whose files the branches of the tree start, and for the leaves.
-    funnel = level_baseline(
-        below(base, picked(picks, business.PERMEABILITY)),
+    deep = level_baseline(
+        below(base, picks.where(positive("ratio"))),
         day,
         codes,
-        business.LEVELS[1:],
+        [*business.LEVELS[1:], *adtributor.LEAF],
         funnel_measures(codes),
         periods,
     )
+    deep = stage(deep, "deep")
+    funnel = _of_levels(deep, business.LEVELS[1:], funnel_measures(codes))
+    leaves = _of_levels(deep, adtributor.LEAF, kpi)
     chosen = stage(chosen_lines(split, picks, funnel), "chosen")
-    scenes = special.special_scenes(at(special.LEVELS, special_measures()), codes)
-    leaves = level_baseline(
-        below(base, picked(picks, business.STRUCTURE)),
-        day,
-        codes,
-        adtributor.LEAF,
-        kpi_measures(codes),
-        periods,
-    )
     parts = [
         total_detail(lines),
         special_detail(scenes),
@@ -144,6 +159,17 @@ def drill_down(
     )
 
 
+def _of_levels(
+    base: DataFrame, levels: list[tuple[str, ...]], measures: dict[str, str], prefix: str = ""
+) -> DataFrame:
+    """The rows of ``base`` at the given levels, with those measures, under their own names."""
+    names = quoted_list([level_name(dims) for dims in levels])
+    columns = ["period", "usersource", "level", *finest_dims(levels), "n_cur", "n_prev"]
+    return base.where(f"level IN ({names})").selectExpr(
+        *columns, *[f"{tag}_{prefix}{n} AS {tag}_{n}" for n in measures for tag in ("a", "p")]
+    )
+
+
 def total_detail(lines: DataFrame) -> DataFrame:
     actual, pred = ratio("a_self_amt", "a_amt"), ratio("p_self_amt", "p_amt")
     total_gap = gap(actual, pred)
