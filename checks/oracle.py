@@ -528,7 +528,27 @@ ORACLES["detect_flags"] = with_(
 FROM detected WHERE label_period = {LAST}""",
 )
 
-ORACLES["saved_flags"] = ORACLES["detect_flags"]
+_JUDGED = "2000-06-11"
+ORACLES["saved_flags"] = with_(
+    FACT,
+    *_earlier(_JUDGED, "newer"),
+    "bounds AS (SELECT * FROM newer_bounds)",
+    windows(299),
+    daily([], KPI),
+    PAIRS,
+    ROLLED,
+    *[x for h in _HORIZON for x in (horizon_cte(h), detect_cte(h))],
+    """detected AS (SELECT * FROM day_detect UNION ALL SELECT * FROM week_detect
+  UNION ALL SELECT * FROM month_detect)""",
+    select=f"""SELECT CAST(label_period AS VARCHAR) AS label_period, usersource, period,
+  CAST(label_period AS VARCHAR) AS d, {r6s(_DETECT)}, {_FLAGS}
+FROM detected WHERE label_period = {LAST}""",
+)
+ORACLES["saved_bounds"] = with_(
+    FACT, *_earlier(_JUDGED, "newer"), select="SELECT * FROM newer_bounds"
+)
+ORACLES["merged_bounds"] = ORACLES["zscore_bounds"]
+ORACLES["maintained_kpi"] = ORACLES["late_rows_kpi"] = _daily_oracle([], KPI, 59)
 ORACLES["daily_kpi_long"] = _daily_oracle([], KPI, 400)
 ORACLES["stored_fact_kpi"] = with_(
     FACT,
@@ -1316,3 +1336,19 @@ ORACLES["conclusions_pred"] = with_(
     select=f"""SELECT {_HEAD.replace('element AS', "'总结' AS")}, text AS "Conclusion", '{DAY}' AS d
 FROM (SELECT {_N}, 'BU拆分' AS layer, '总结' AS indicator, text FROM t_bu)""",
 )
+
+
+def _on_day(name: str, day: str) -> str:
+    """An oracle as of another day of the year."""
+    return ORACLES[name].replace(DAY, day).replace("1999" + DAY[4:], "1999" + day[4:])
+
+
+_REPORT = '"Date", "Period", "Target", "Usersource", "Layer", "Indicator", "Element"'
+_VALUES = ("Actual", "Pred", "CTA", "CTS", "CTB", "CTBRatio")
+ORACLES["saved_analysis"] = "SELECT * FROM (" + " UNION ALL ".join(
+    f"""SELECT {_REPORT}, {', '.join(f'"{v}"' for v in _VALUES)}, NULL AS "Conclusion", '{day}' AS d
+  FROM ({_on_day("contributions", day)})
+UNION ALL SELECT {_REPORT}, {', '.join(f'NULL AS "{v}"' for v in _VALUES)}, "Conclusion", d
+  FROM ({_on_day("conclusions", day)})"""
+    for day in ("2000-06-11", DAY)
+) + """) WHERE "Period" IN ('D', 'W')"""

@@ -13,7 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratiolens.codes import ORDER_CODES as C
-from ratiolens.operators import adtributor, bounds, business, detect, permeability, special
+from ratiolens.operators import (
+    adtributor,
+    bounds,
+    business,
+    detect,
+    moments,
+    permeability,
+    special,
+)
 from ratiolens.operators import daily as D
 from ratiolens.operators.baseline import indicator, level_baseline
 from ratiolens.operators.permeability import lmdi_split, with_contributions
@@ -23,6 +31,7 @@ from ratiolens.plans.detect import LOOKBACK as DETECT_BACK
 from ratiolens.plans.detect import detect as run_detection
 from ratiolens.plans.learn import LOOKBACK as LEARN_BACK
 from ratiolens.plans.learn import learn_bounds
+from ratiolens.sources import series
 from ratiolens.sources.fact import (
     AMOUNTS,
     DIMENSIONS,
@@ -32,7 +41,12 @@ from ratiolens.sources.fact import (
     read_fact,
 )
 from ratiolens.sources.order_fact import order_fact
-from ratiolens.sources.results import latest_bounds, save_partitions_to_path
+from ratiolens.sources.results import (
+    latest_bounds,
+    read_bounds,
+    save_partitions,
+    save_partitions_to_path,
+)
 from ratiolens.sources.staging import shared_folder, stage
 
 DAY = "2000-06-13"
@@ -227,9 +241,30 @@ def bounds_table(spark: SparkSession, sf: str) -> DataFrame:
     return _learned(spark, sf)
 
 
+@query
+def merged_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Intervals from stored moments of each month, the newest month stored a second time."""
+    keys = ["usersource", "metric", "horizon"]
+    sums = stage(kpi(spark, sf, LEARN_BACK), "kpi")
+    samples = bounds.all_samples(sums).where("value IS NOT NULL")
+    samples = stage(
+        samples.withColumn("d", F.date_format("label_period", "yyyy-MM")), "samples"
+    )
+    folder = _new_folder(spark, "moments")
+    early = samples.where(f"label_period <= DATE'{EARLIER_DAYS[0]}'")
+    for known in (early, samples.where(f"d >= '{DAY[:7]}'")):
+        save_partitions_to_path(moments.moments(known, [*keys, "d"]), folder)
+    parts = spark.read.schema(moments.moments(samples, [*keys, "d"]).schema).parquet(folder)
+    return moments.intervals(parts, keys)
+
+
+def _new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/ratiolens/{name}-{uuid.uuid4().hex}"
+
+
 def _latest_bounds(spark: SparkSession, sf: str) -> DataFrame:
     """Bounds of two days saved by day, one day written twice; the newer day wins."""
-    path = f"{shared_folder(spark)}/ratiolens/bounds-{uuid.uuid4().hex}"
+    path = _new_folder(spark, "bounds")
     for day in EARLIER_DAYS:
         learned = _learned(spark, sf, day)
         save_partitions_to_path(learned, path)
@@ -298,14 +333,17 @@ def detect_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def saved_flags(spark: SparkSession, sf: str) -> DataFrame:
-    """The runs as users call them: bounds saved, flags of two days saved, one day twice."""
-    folder = f"{shared_folder(spark)}/ratiolens/runs-{uuid.uuid4().hex}"
+    """The runs as users call them: bounds saved on two earlier days, flags of two days, one twice.
+
+    Each day is judged by the newest bounds saved up to it.
+    """
+    folder = _new_folder(spark, "runs")
     shared = _shared_kpi(spark, sf)
-    save_partitions_to_path(learn_bounds(shared, DAY, C), f"{folder}/bounds")
+    for day in EARLIER_DAYS:
+        save_partitions_to_path(learn_bounds(shared, day, C), f"{folder}/bounds")
     saved = spark.read.parquet(f"{folder}/bounds").withColumn("d", F.col("d").cast("string"))
     for day in ("2000-06-12", DAY, DAY):
-        judged = saved.withColumn("d", F.lit("2000-06-01"))  # known before either day
-        save_partitions_to_path(run_detection(shared, judged, day, C), f"{folder}/flags")
+        save_partitions_to_path(run_detection(shared, saved, day, C), f"{folder}/flags")
     flags = [f"{metric}_flag" for metric in bounds.METRICS]
     rows = spark.read.parquet(f"{folder}/flags").where(F.col("d") == DAY)
     return shaped(
@@ -313,10 +351,68 @@ def saved_flags(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def saved_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Bounds of three days in a catalog table, one day written twice; the newest up to a day."""
+    name = f"bounds_{uuid.uuid4().hex}"
+    shared = _shared_kpi(spark, sf)
+    for day in (*EARLIER_DAYS, DAY, EARLIER_DAYS[1]):
+        save_partitions(learn_bounds(shared, day, C), name, _new_folder(spark, name))
+    return read_bounds(spark, name, "2000-06-12")
+
+
+def _late_fact(spark: SparkSession, sf: str) -> tuple[str, Callable[[], DataFrame]]:
+    """A stored fact whose rows paid by the second channel arrive late, and its reader.
+
+    On time rows are in the partition of their date; the late ones are yet to be added
+    three days on. Both sides of the year are written.
+    """
+    folder = _new_folder(spark, "late-fact")
+    fact = stage(compact(order_fact(spark, sf, [(DAY, BACK)]), DIMENSIONS), "fact")
+    late = F.col("paycategory") == C.channels[1]
+    fact.where(~late).repartition("d").write.partitionBy("d").parquet(f"{folder}/fact")
+    fact.where(late).withColumn("d", F.date_add("d", 3)).repartition("d").write.partitionBy(
+        "d"
+    ).parquet(f"{folder}/late")
+
+    def read(name: str = "fact") -> DataFrame:
+        return read_fact(spark, path=f"{folder}/{name}")
+
+    return folder, read
+
+
+def _add_late_rows(read: Callable[..., DataFrame], folder: str) -> None:
+    read("late").write.mode("append").partitionBy("d").parquet(f"{folder}/fact")
+
+
+@query
+def maintained_kpi(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily sums from the maintained table: summed once, then only where late rows came."""
+    folder, read = _late_fact(spark, sf)
+    kept = f"{folder}/series"
+    series.update(read(), kept)
+    _add_late_rows(read, folder)
+    series.update(read(), kept)
+    sums = series.read_series(spark, kept, read())
+    windows = paired_windows(sums, DAY, BACK, C, date_column="label_period")
+    return shaped(D.daily(windows, (), D.kpi_measures(C)), SERIES, amounts=KPI)
+
+
+@query
+def late_rows_kpi(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily sums by business date from the fact itself, reading the partitions that hold it."""
+    folder, read = _late_fact(spark, sf)
+    _add_late_rows(read, folder)
+    series.update(read(), f"{folder}/series")
+    held = series.read_series(spark, f"{folder}/series", read())
+    windows = paired_windows(read(), DAY, BACK, C, "label_period", held)
+    return shaped(D.daily(windows, (), D.kpi_measures(C)), SERIES, amounts=KPI)
+
+
 @query
 def stored_fact_kpi(spark: SparkSession, sf: str) -> DataFrame:
     """A stored fact table with text dates and decimal amounts, read and summed exactly."""
-    folder = f"{shared_folder(spark)}/ratiolens/fact-{uuid.uuid4().hex}"
+    folder = _new_folder(spark, "fact")
     amounts = {n: f"cast({n} AS decimal(18,4)) AS {n}" for n in AMOUNTS}
     texts = {n: f"cast({n} AS string) AS {n}" for n in ("d", "label_period")}
     fact = order_fact(spark, sf, [(DAY, BACK)])
@@ -335,13 +431,14 @@ def daily_kpi_long(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf: str, measures: dict[str, str] | None = None) -> DataFrame:
-    """Baselines of every source and business line."""
+    """Baselines of every source and business line, staged: a split reads them twice."""
     source = tagged(spark, sf)
     if measures:
         # Sum the raw rows once per combination, then fan out the many conditions.
         source = compact(source, D.FUNNEL_DIMS)
-    return level_baseline(
-        source, DAY, C, business.LEVELS, D.kpi_measures(C) | (measures or {})
+    return stage(
+        level_baseline(source, DAY, C, business.LEVELS, D.kpi_measures(C) | (measures or {})),
+        "lines",
     )
 
 
@@ -456,12 +553,10 @@ def adtributor_ratio_topk(spark: SparkSession, sf: str) -> DataFrame:
 def structure_split(spark: SparkSession, sf: str) -> DataFrame:
     """Every line's structure elements with their parts of the overall gap.
 
-    Totals, lines and leaves are levels of one baseline over the compacted fact.
+    Totals, lines and leaves are levels of one baseline.
     """
-    base = compact(tagged(spark, sf), ("bu", *adtributor.DIMS), ("amt", "self_amt"))
-    both = level_baseline(
-        base, DAY, C, [*business.LEVELS, *adtributor.LEAF], D.kpi_measures(C)
-    )
+    levels = [*business.LEVELS, *adtributor.LEAF]
+    both = stage(level_baseline(tagged(spark, sf), DAY, C, levels, D.kpi_measures(C)), "lines")
     split = business.bu_split(both.where("level IN ('total', 'bu')"))
     parents = business.bu_rows(split).where(f"indicator = '{business.STRUCTURE}'")
     leaves = both.where("level NOT IN ('total', 'bu')")
@@ -605,19 +700,41 @@ def _analysis(spark: SparkSession, sf: str, bu_text: str = "ratio") -> DataFrame
     return A.analyse(order_fact(spark, sf, [(DAY, BACK)]), DAY, C, bu_text=bu_text)
 
 
-@query
-def contributions(spark: SparkSession, sf: str) -> DataFrame:
-    """The numeric rows of the analysis table."""
-    rows = _analysis(spark, sf).where("Conclusion IS NULL")
+def _report_numbers() -> list[str]:
     amount = f"Layer = '{L.LAYER_STRUCTURE}'"
-    return rows.selectExpr(
-        *REPORT_KEYS,
+    return [
         *[
             f"CASE WHEN {amount} THEN {r4(c)} ELSE {fine(c)} END AS {c}"
             for c in ("Actual", "Pred", "CTA")
         ],
         *[f"{r6(c)} AS {c}" for c in ("CTS", "CTB", "CTBRatio")],
-    )
+    ]
+
+
+@query
+def contributions(spark: SparkSession, sf: str) -> DataFrame:
+    """The numeric rows of the analysis table."""
+    rows = _analysis(spark, sf).where("Conclusion IS NULL")
+    return rows.selectExpr(*REPORT_KEYS, *_report_numbers())
+
+
+ANALYSED_DAYS = ("2000-06-11", DAY)
+
+
+@query
+def saved_analysis(spark: SparkSession, sf: str) -> DataFrame:
+    """The analysis of two days and two periods saved in a catalog table and read back.
+
+    The newer day is first saved for one period alone and then replaced.
+    """
+    name = f"causes_{uuid.uuid4().hex}"
+    folder = _new_folder(spark, name)
+    fact = stage(compact(order_fact(spark, sf, [(d, BACK) for d in ANALYSED_DAYS]), DIMENSIONS), "fact")
+    older, newer = ANALYSED_DAYS
+    both = (C.day, C.week)
+    for day, periods in ((older, both), (newer, (C.week,)), (newer, both)):
+        save_partitions(A.analyse(fact, day, C, periods), name, folder)
+    return spark.table(name).selectExpr(*REPORT_KEYS, *_report_numbers(), "Conclusion", "d")
 
 
 @query

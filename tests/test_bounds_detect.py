@@ -221,3 +221,28 @@ def test_missing_bounds_flag_and_inside_does_not(spark):
         for r in detection(spark, rows, [wide]).collect()
     }
     assert flags == {"D": (0, 0), "W": (0, 0), "M": (0, 0)}
+
+
+def test_merged_moments_equal_one_pass(spark):
+    """Parts of any size and order give mean and deviation of all samples, at 10 places."""
+    import random
+
+    from ratiolens.operators import moments
+
+    rng = random.Random(12)
+    rows = [(k, p, rng.gauss(1.0, s)) for k, s in (("wide", 0.2), ("narrow", 1e-4)) for p in range(40) for _ in range(rng.randint(0, 9))]
+    rows += [("far", p, 1e8 + rng.random()) for p in range(30)] + [("one", 0, 0.7), ("gaps", 1, None), ("gaps", 2, 0.5)]
+    samples = spark.createDataFrame(rows, "key string, part int, value double")
+    parts = moments.moments(samples, ["key", "part"])
+    found = {r.key: r for r in moments.merged(parts, ["key"]).collect()}
+    for r in samples.groupBy("key").agg({"value": "count"}).collect():
+        values = [v for k, _, v in rows if k == r.key and v is not None]
+        mean = sum(values) / len(values)
+        spread = (sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5
+        got = found[r.key]
+        assert got.n == len(values)
+        assert got.mean == pytest.approx(mean, rel=1e-12)
+        assert (got.squares / got.n) ** 0.5 == pytest.approx(spread, abs=1e-10 if r.key != "far" else 1e-6)
+    whole = {r.key: r for r in moments.intervals(moments.moments(samples, ["key"]), ["key"]).collect()}
+    for r in moments.intervals(parts, ["key"]).collect():
+        assert (r.bottom, r.top) == (whole[r.key].bottom, whole[r.key].top)

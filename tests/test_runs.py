@@ -219,6 +219,117 @@ def test_saving_a_day_keeps_the_others(spark, tmp_path):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+def test_sessions_save_days_side_by_side(spark, tmp_path, monkeypatch):
+    """Writes of other days at once, from two sessions; nothing in a session is switched."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    first = spark.createDataFrame([(0, "2023-06-01")], "v int, d string")
+    save_partitions(first, "side_by_side", str(tmp_path / "side"))
+    monkeypatch.setattr(type(spark.conf), "set", lambda *a: pytest.fail("a setting was changed"))
+
+    def run(session, days):
+        for n, day in enumerate(days):
+            rows = session.range(500).selectExpr(f"cast({n} AS int) AS v", f"'2023-07-{day:02}' AS d")
+            save_partitions(rows, "side_by_side")
+        return session
+
+    jobs = [(spark.newSession(), range(1, 7)), (spark.newSession(), range(7, 13))]
+    with ThreadPoolExecutor(2) as pool:
+        sessions = [f.result() for f in [pool.submit(run, *job) for job in jobs]]
+    for session in (spark, *sessions):
+        session.catalog.refreshTable("side_by_side")
+        counts = {r.d: r["count"] for r in session.table("side_by_side").groupBy("d").count().collect()}
+        assert counts == {"2023-06-01": 1} | {f"2023-07-{day:02}": 500 for day in range(1, 13)}
+
+
+def test_saving_takes_the_table_types_and_names(spark):
+    save_partitions(spark.createDataFrame([("a", 1.5, "2023-06-29")], "t string, v double, d string"), "typed")
+    save_partitions(spark.createDataFrame([("2023-06-30", 7, "b")], "d string, v int, t string"), "typed")
+    assert sorted(map(tuple, spark.table("typed").collect())) == [
+        ("a", 1.5, "2023-06-29"), ("b", 7.0, "2023-06-30"),
+    ]
+    spark.sql("CREATE TABLE text_days (v string, d string) USING csv PARTITIONED BY (d)")
+    with pytest.raises(ValueError, match="stored as csv"):
+        save_partitions(spark.createDataFrame([("a", "2023-06-29")], "v string, d string"), "text_days")
+
+
+def late_fact(spark, folder, codes=ORDER_CODES):
+    """A stored fact, its late rows (arriving three days on), and all of it with true dates."""
+    from pyspark.sql import functions as F
+
+    fact = random_fact(spark, codes, days=40).withColumn("late", F.col("paycategory") == codes.channels[0])
+    fact = fact.cache()
+    fact.where("NOT late").drop("late").write.partitionBy("d").parquet(f"{folder}/fact")
+    late = fact.where("late").drop("late").withColumn("d", F.date_add("d", 3))
+    return late, fact.drop("late")
+
+
+def kpi_rows(tagged):
+    from ratiolens.operators.daily import daily, kpi_measures
+
+    rows = daily(tagged, (), kpi_measures(ORDER_CODES)).collect()
+    return {(r.side, r.usersource, r.label_period): (r.amt, r.self_amt, r.highRate_amt) for r in rows}
+
+
+def test_series_is_kept_up_with_late_rows(spark, tmp_path):
+    """Merged and full sums are equal; only partitions with new rows are summed again."""
+    from ratiolens.sources import series
+    from ratiolens.sources.fact import paired_windows
+
+    folder = str(tmp_path)
+    late, everything = late_fact(spark, folder)
+
+    def read():
+        return read_fact(spark, path=f"{folder}/fact")
+
+    first = series.update(read(), f"{folder}/series")
+    assert len(first) == 80 and series.update(read(), f"{folder}/series") == []
+    late.where(f"label_period = DATE'{DAY}'").write.mode("append").partitionBy("d").parquet(f"{folder}/fact")
+    assert series.update(read(), f"{folder}/series") == [DAY + dt.timedelta(days=3)]
+    late.where(f"label_period <> DATE'{DAY}'").write.mode("append").partitionBy("d").parquet(f"{folder}/fact")
+    again = series.update(read(), f"{folder}/series")
+    assert 0 < len(again) <= 80
+    kept = series.read_series(spark, f"{folder}/series", read())
+    got = kpi_rows(paired_windows(kept, str(DAY), 30, ORDER_CODES, "label_period"))
+    want = kpi_rows(paired_windows(everything, str(DAY), 30, ORDER_CODES, "label_period"))
+    assert got.keys() == want.keys() and len(got) > 100
+    for key, values in want.items():
+        assert got[key] == pytest.approx(values)
+    bounds = learn_bounds(kept, str(DAY), ORDER_CODES, date_column="label_period").collect()
+    full = learn_bounds(everything, str(DAY), ORDER_CODES, date_column="label_period").collect()
+    assert {r["Usersource"]: r["self_rt_day_top"] for r in bounds} == pytest.approx(
+        {r["Usersource"]: r["self_rt_day_top"] for r in full}, abs=2e-4
+    )
+    series.refresh(read(), f"{folder}/series", [DAY])  # named by hand: the same sums again
+    kept = series.read_series(spark, f"{folder}/series", read())
+    again = kpi_rows(paired_windows(kept, str(DAY), 30, ORDER_CODES, "label_period"))
+    assert again.keys() == got.keys() and all(again[k] == pytest.approx(got[k]) for k in got)
+
+
+def test_business_dates_prune_with_a_map(spark, tmp_path):
+    """The map's partitions reach the scan of the fact as a dynamic filter; results are the same."""
+    from ratiolens.sources import series
+    from ratiolens.sources.fact import paired_windows
+
+    folder = str(tmp_path)
+    late, everything = late_fact(spark, folder)
+    late.write.mode("append").partitionBy("d").parquet(f"{folder}/fact")
+    fact = read_fact(spark, path=f"{folder}/fact")
+    series.update(fact, f"{folder}/series")
+    held = series.read_series(spark, f"{folder}/series", fact)
+    pruned = paired_windows(fact, str(DAY), 5, ORDER_CODES, "label_period", held)
+    got = kpi_rows(pruned)
+    want = kpi_rows(paired_windows(everything, str(DAY), 5, ORDER_CODES, "label_period"))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    counted = pruned.groupBy("side").count()
+    counted.collect()
+    plan = counted._jdf.queryExecution().executedPlan()
+    scan = next(x for x in plan.toString().splitlines() if "FileScan" in x and "usersource" not in x.split("PartitionFilters")[0])
+    assert "dynamicpruning" in scan.split("PartitionFilters")[1]
+    rows = counted._jdf.queryExecution().executedPlan().toString()
+    assert "SubqueryBroadcast" in rows or "SubqueryAdaptiveBroadcast" in rows
+
+
 def test_learn_save_detect_analyse(spark):
     fact = random_fact(spark, ORDER_CODES, days=100)
     for run in (DAY - dt.timedelta(days=3), DAY - dt.timedelta(days=1)):
