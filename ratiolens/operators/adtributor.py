@@ -29,36 +29,29 @@ def dimension_sums(
 ) -> DataFrame:
     """Actual and predicted amounts per element of each single dimension, and their line's.
 
-    Grouping sets add up all dimensions and the line itself in one pass over the leaf
-    baselines; leaves without this year's rows are out, a missing prediction adds nothing.
-    A line's leaves are put together first, so one exchange serves the sums, the totals
-    (``total_`` columns, spread from the line's own row) and any ranking within the line.
-    ``carry`` are columns that every leaf of a business line shares.
+    Leaves without this year's rows are out, a missing prediction adds nothing. A line's
+    leaves are put together first and counted once per dimension and once for the line, so
+    one exchange serves the sums, the totals (``total_`` columns, spread from the line's own
+    row) and any ranking within the line. ``carry`` are columns that every leaf of a
+    business line shares.
     """
     keys = [*PARENT, *carry]
-    inside = leaves.where("n_cur > 0").repartition(*PARENT)
-    sums = inside.groupingSets([*([*keys, d] for d in dims), keys], *keys, *dims).agg(
-        *[F.expr(f"coalesce(sum({n}), 0D) AS {n}") for n in AMOUNTS],
-        *[F.expr(f"grouping({d}) AS without_{d}") for d in dims],
+    places = [f"struct('{d}' AS dim, {DIMS.index(d)} AS dim_idx, {d} AS element)" for d in dims]
+    places.append("struct(NULL AS dim, NULL AS dim_idx, NULL AS element)")
+    counted = (
+        leaves.where("n_cur > 0")
+        .repartition(*PARENT)
+        .selectExpr(*keys, *AMOUNTS, f"inline(array({', '.join(places)}))")
+    )
+    sums = counted.groupBy(*keys, "dim", "dim_idx", "element").agg(
+        *[F.expr(f"coalesce(sum({n}), 0D) AS {n}") for n in AMOUNTS]
     )
-    whole = " AND ".join(f"without_{d} = 1" for d in dims)
     line = ", ".join(PARENT)
-
-    def pick(values: list[str]) -> str:
-        cases = [f"WHEN without_{d} = 0 THEN {v}" for d, v in zip(dims, values)]
-        return f"CASE {' '.join(cases)} END"
-
-    return sums.selectExpr(
-        *keys,
-        f"{pick([f'{d!r}' for d in dims])} AS dim",
-        f"{pick([str(DIMS.index(d)) for d in dims])} AS dim_idx",
-        f"{pick(list(dims))} AS element",
-        *AMOUNTS,
-        *[
-            f"max(CASE WHEN {whole} THEN {n} END) OVER (PARTITION BY {line}) AS total_{n}"
-            for n in AMOUNTS
-        ],
-    ).where("dim IS NOT NULL")
+    totals = [
+        f"max(CASE WHEN dim IS NULL THEN {n} END) OVER (PARTITION BY {line}) AS total_{n}"
+        for n in AMOUNTS
+    ]
+    return sums.selectExpr("*", *totals).where("dim IS NOT NULL")
 
 
 def explain_additive(leaves: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:

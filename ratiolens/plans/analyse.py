@@ -233,7 +233,7 @@ def picked(picks: DataFrame, indicator: str) -> DataFrame:
 
 def below(base: DataFrame, picks: DataFrame) -> DataFrame:
     """The rows of ``base`` that belong to picked lines, of whichever period."""
-    return base.join(picks.select("usersource", "bu").distinct(), ["usersource", "bu"], "left_semi")
+    return base.join(picks.select("usersource", "bu"), ["usersource", "bu"], "left_semi")
 
 
 def chosen_lines(split: DataFrame, picks: DataFrame, funnel: DataFrame) -> DataFrame:
