@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -39,7 +41,9 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(context, "_ratiolens_shipped", False):
         return
     package = Path(ratiolens.__file__).parent
-    target = Path(tempfile.mkdtemp(prefix="ratiolens-code-")) / "ratiolens_code.zip"
+    folder = tempfile.mkdtemp(prefix="ratiolens-code-")  # the driver's own; Spark hands it out
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = Path(folder) / "ratiolens_code.zip"
     with zipfile.ZipFile(target, "w") as archive:
         for source in sorted(package.rglob("*.py")):
             archive.write(source, source.relative_to(package.parent))

@@ -34,7 +34,8 @@ def tokenizer_path() -> str:
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(table(spark, sf_dir, "documents"), from_files=True)
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"), from_files=True)
+    return found.withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -399,6 +399,27 @@ def test_pipeline_stages_against_their_operators(spark, docs, rows, tmp_path):
     assert corpus_pipeline.run(spark, written).count() == len(pieces)
 
 
+def test_operators_bring_their_code_along(tmp_path):
+    """An operator on a frame of one's own works before any table was read, wherever Python runs."""
+    import subprocess
+    import sys
+
+    program = (
+        f"import sys; sys.path.insert(0, {os.getcwd()!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "from ratiolens.llm import chat, fim, pii\n"
+        "docs = spark.createDataFrame([(1, 'a@b.cc')], 'doc_id long, text string')\n"
+        "turns = spark.createDataFrame([(1, 0, 'assistant', 'x')], 'conv_id long, turn long, role string, text string')\n"
+        "print(pii.personal_data(docs).count() + fim.fill_in_middle(docs).count()"
+        " + chat.read_back(chat.transcript(turns)).count())\n"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", program], cwd=tmp_path, capture_output=True, text=True, timeout=300
+    )
+    assert done.stdout.split() == ["3"], done.stderr[-2000:]
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     folder = str(tmp_path)
     spark.createDataFrame([], SCHEMA).write.parquet(f"{folder}/documents.parquet")
