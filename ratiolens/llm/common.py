@@ -25,6 +25,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 __all__ = [
     "SPACES",
     "WORD",
+    "join_by_parts",
     "numbered",
     "ship_package",
     "shuffle_parts",
@@ -77,6 +78,21 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
     return stage(packed, name)
 
 
+#: Parts of the rows of one key where these are joined with their key's answer.
+PARTS = 64
+
+
+def join_by_parts(rows: DataFrame, answers: DataFrame, key: str, by: str) -> DataFrame:
+    """``rows`` with the columns of ``answers``, which has one row per ``key``, none of them hot.
+
+    Rows of one key go to ``PARTS`` tasks by a hash of ``by``, and a key's answer to those
+    of them that it has rows in, so the rows of a large group need not meet.
+    """
+    parted = rows.withColumn("part", F.pmod(F.xxhash64(by), F.lit(PARTS)))
+    spread = parted.select(key, "part").distinct().join(answers, key)
+    return parted.join(spread, [key, "part"]).drop("part")
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Parts of record batches with about ``limit`` bytes of text each (one row at least)."""
     for batch in batches:

@@ -7,8 +7,8 @@ of the values that are repeated, in the block or elsewhere. Only rows under a se
 bit are suspects; their texts alone are shuffled and compared byte by byte.
 
 A hot text costs one value per block, not one per row, its copies collapse in the
-map-side half of the text aggregate, and the answer goes back to its rows by ``PARTS``
-parts of the group, so no task gathers a group.
+map-side half of the text aggregate, and the answer goes back to its rows by parts of
+the group, so no task gathers a group.
 
 Defined results: a null text counts as the empty text, which is a text like any
 other; a null id is a row of its own right and loses ties against other ids; of rows
@@ -27,12 +27,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratiolens.llm.common import SPACES, ship_package, shuffle_parts, stage, text_or_empty
+from ratiolens.llm.common import (
+    SPACES,
+    join_by_parts,
+    ship_package,
+    shuffle_parts,
+    stage,
+    text_or_empty,
+)
 
 BLOCK_ROWS = 1 << 18
 OWNER_ROWS = 1 << 21
-#: Parts of a group of equal texts, by the block a row is in.
-PARTS = 64
 
 
 def rice_encode(values: np.ndarray) -> tuple[int, bytes, bytes]:
@@ -223,7 +228,7 @@ def duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         ),
         "exact-marked",
     )
-    suspects = marked.where("suspect").withColumn("part", F.pmod(F.xxhash64("block"), F.lit(PARTS)))
+    suspects = marked.where("suspect")
     # The byte comparison: equal texts meet in one group, their copies combined before the shuffle.
     ids = suspects.select(F.col("doc_id").alias("id"), F.col("fp").alias("print")).distinct()
     texts = source.withColumn("fp", F.xxhash64("norm")).join(
@@ -255,9 +260,7 @@ def duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .otherwise(F.raise_error(F.lit("two texts share a SHA-256")).cast("long"))
         .alias("group_size"),
     )
-    # a group's answer for each of its parts, so that its rows need not meet
-    answers = suspects.select("sha", "part").distinct().join(groups, "sha")
-    grouped = suspects.join(answers, ["sha", "part"]).select(
+    grouped = join_by_parts(suspects, groups, "sha", "row_no").select(
         "row_no", "doc_id", "keep_id", "keep_no", "group_size", "sha"
     )
     single = marked.where("NOT suspect").select(

@@ -11,11 +11,15 @@ cut at 1, keep just that many tokens. Cells short of their part keep every docum
 and the others make up the size, so the sample's shares come as near to the targets as
 they can without repeats.
 
-The topic is a column of ``docs`` where there is one (``topic_col``). Without one the
-third marginal is a text's form, by its length, lines and signs.
+The topic is a column of ``docs`` where there is one (``topic_col``). Without one it is
+learned from the texts: of the words with ``LETTERS`` letters or more, those found in
+most documents, but in no more than one of ``COMMON``, name ``TOPICS`` topics, and a
+document belongs to the one whose word it says most often. All documents are counted.
 
 Defined results: null source, language or topic form a value of their own, written ''; a
-null or empty text has no words, weighs nothing and stays with the chance ``keep``; a null id is drawn as the empty string; repeated rows share their draw; marginals without tokens get no
+null or empty text has no words, weighs nothing and stays with the chance ``keep``; a text
+without any topic's word has the topic 'other', ties go to the more frequent word, then by
+its letters; a null id is drawn as the empty string; repeated rows share their draw; marginals without tokens get no
 weight; an empty table gives an empty result; other columns are carried, not read.
 """
 
@@ -26,34 +30,61 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratiolens.llm.common import WORD, stage, text_or_empty
+from ratiolens.llm.common import SPACES, stage, text_or_empty
 
 SWEEPS = 8
 #: Targets are the present shares to these powers, made to add up to one.
 POWERS = {"source": 0.8, "lang": 0.8, "topic": 0.8}
 #: Share of all tokens that the sample is to keep.
 KEEP = 0.8
+TOPICS, LETTERS, COMMON = 12, 6, 10
+OTHER = "other"
+#: Signs around a word that are not part of it.
+AROUND = ".,;:!?()[]\"'"
 SEED = "mix-1"
 #: Digits of the hexadecimal hash that make up the draw.
 DIGITS = 12
 
 
 def words_in(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(WORD)).cast("long")
-
-
-def topic_of(text: Column, words: Column) -> Column:
-    """Form of a text, in place of a topic: by length, lines and signs."""
-    lines = F.char_length(text) - F.char_length(F.translate(text, "\n", ""))
-    signs = F.char_length(text) - F.char_length(F.translate(text, "#$%&*<>=/{}[]|\\~^_", ""))
-    return (
-        F.when(words == 0, "empty")
-        .when(signs * 20 > F.char_length(text), "symbols")
-        .when(lines * 12 > words, "lines")
-        .when(words < 150, "short")
-        .when(words < 600, "medium")
-        .otherwise("long")
+    """The words of a text, by the six characters of white space."""
+    even = F.translate(text, SPACES[1:], " " * (len(SPACES) - 1))
+    return F.filter(F.split(even, " "), lambda w: w != "")
+
+
+def long_words(words: Column) -> Column:
+    """Words that may name a topic: in lower case, without the signs around them."""
+    some = F.filter(words, lambda w: F.char_length(w) >= LETTERS)
+    bare = F.transform(some, lambda w: F.btrim(F.lower(w), F.lit(AROUND)))
+    return F.filter(bare, lambda w: F.char_length(w) >= LETTERS)
+
+
+def topic_words(described: DataFrame) -> list[str]:
+    """The words that name topics, of a table with the column ``long``; most frequent first."""
+    documents = described.count()
+    found = (
+        described.select(F.explode(F.array_distinct("long")).alias("word"))
+        .groupBy("word")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") * COMMON <= documents)
+        .orderBy(F.desc("n"), "word")
+        .limit(TOPICS)
     )
+    return [r.word for r in found.collect()]
+
+
+def topic_of(long: Column, topics: list[str]) -> Column:
+    """The topic whose word is said most often."""
+    if not topics:
+        return F.lit(OTHER)
+    hits = F.filter(long, lambda w: w.isin(topics))
+
+    def said(place: int, topic: str) -> Column:
+        times = F.size(F.filter(hits, lambda w: w == topic))
+        return F.struct(times.alias("times"), F.lit(-place).alias("place"), F.lit(topic).alias("topic"))
+
+    best = F.array_max(F.array(*[said(k, t) for k, t in enumerate(topics)]))
+    return F.when(best["times"] > 0, best["topic"]).otherwise(OTHER)
 
 
 def cells(described: DataFrame) -> DataFrame:
@@ -149,35 +180,45 @@ def mix(
     """
     text = text_or_empty(text_col)
     source, lang = (text_or_empty(c) if c in docs.columns else F.lit("") for c in ("source", "lang"))
-    topic = topic_of(F.col("body"), F.col("tokens"))
-    given = [text_or_empty(topic_col).alias("given")] * (topic_col in docs.columns)
-    if given:
-        topic = F.col("given")
-    described = docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"),
-        source.alias("source"),
-        lang.alias("lang"),
-        words_in(text).alias("tokens"),
-        text.alias("body"),
-        *given,
-        *[F.struct("*").alias("row")] * keep_rows,
-    ).select(
-        "doc_id",
-        "source",
-        "lang",
-        topic.alias("topic"),
-        "tokens",
-        *["row"] * keep_rows,
+    words = words_in(text)
+    given = topic_col in docs.columns
+    described = stage(
+        docs.select(
+            F.col(f"`{id_col}`").alias("doc_id"),
+            source.alias("source"),
+            lang.alias("lang"),
+            *([text_or_empty(topic_col).alias("topic")] if given else []),
+            words.alias("words"),
+        ).select(
+            "doc_id",
+            "source",
+            "lang",
+            F.size("words").cast("long").alias("tokens"),
+            *(["topic"] if given else [long_words(F.col("words")).alias("long")]),
+        ),
+        "mix-documents",
     )
-    if not keep_rows:
-        described = stage(described, "mix-documents")
+    topics = [] if given else topic_words(described)
+    if not given:
+        described = described.withColumn("topic", topic_of(F.col("long"), topics)).drop("long")
     counted = stage(cells(described), "mix-cells")
     shares = stage(chances(rake(counted, targets, sweeps), keep), "mix-chances")
     same = reduce(
         lambda a, b: a & b, (F.col(n) == F.col(f"c_{n}") for n in ("source", "lang", "topic"))
     )
+    if keep_rows:
+        topic = text_or_empty(topic_col) if given else topic_of(long_words(words), topics)
+        described = docs.select(
+            F.col(f"`{id_col}`").alias("doc_id"),
+            source.alias("source"),
+            lang.alias("lang"),
+            topic.alias("topic"),
+            F.size(words).alias("tokens"),
+            F.struct("*").alias("row"),
+        )
     drawn = described.join(shares, same, "left").withColumn(
-        "chance", F.coalesce("chance", F.lit(float(keep)))
+        "chance",
+        F.when(F.col("tokens") > 0, F.col("chance")).otherwise(F.lit(float(keep))),
     )
     drawn = drawn.withColumn("sampled", draw(F.col("doc_id")) < F.col("chance"))
     if keep_rows:

@@ -22,6 +22,7 @@ WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id NULLS LAST)
 
 def mixing_sql() -> str:
     """The raking written out, one step after the other."""
+    around = mixing.AROUND.replace("'", "''")
     steps = [
         r"""d AS MATERIALIZED (
     SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
@@ -29,16 +30,27 @@ def mixing_sql() -> str:
            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
     FROM documents
 )""",
-        r"""t AS MATERIALIZED (
-    SELECT doc_id, source, lang, tokens,
-           CASE WHEN tokens = 0 THEN 'empty'
-                WHEN (length(text) - length(translate(text, '#$%&*<>=/{}[]|\~^_', ''))) * 20
-                     > length(text) THEN 'symbols'
-                WHEN (length(text) - length(replace(text, chr(10), ''))) * 12 > tokens THEN 'lines'
-                WHEN tokens < 150 THEN 'short'
-                WHEN tokens < 600 THEN 'medium'
-                ELSE 'long' END AS topic
+        f"""n AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_no, doc_id, source, lang, tokens,
+           [w for w in [trim(lower(x), '{around}') for x in regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')
+                        if length(x) >= {mixing.LETTERS}] if length(w) >= {mixing.LETTERS}] AS said
     FROM d
+)""",
+        f"""topics AS MATERIALIZED (
+    SELECT word, n FROM (
+        SELECT word, count(*) AS n FROM (SELECT unnest(list_distinct(said)) AS word FROM n) GROUP BY word
+    ) WHERE n * {mixing.COMMON} <= (SELECT count(*) FROM n) ORDER BY n DESC, word LIMIT {mixing.TOPICS}
+)""",
+        f"""t AS MATERIALIZED (
+    SELECT n.doc_id, n.source, n.lang, n.tokens, coalesce(best.word, '{mixing.OTHER}') AS topic
+    FROM n LEFT JOIN (
+        SELECT row_no, word FROM (
+            SELECT row_no, word, row_number() OVER (
+                PARTITION BY row_no ORDER BY count(*) DESC, max(t.n) DESC, word) AS place
+            FROM (SELECT row_no, unnest(said) AS word FROM n) JOIN topics t USING (word)
+            GROUP BY row_no, word
+        ) WHERE place = 1
+    ) best ON n.row_no = best.row_no
 )""",
         """c AS MATERIALIZED (
     SELECT source, lang, topic, sum(tokens) AS tokens,
@@ -86,13 +98,14 @@ def mixing_sql() -> str:
 )""",
     ]
     digits = mixing.DIGITS
+    chance = f"CASE WHEN t.tokens > 0 THEN p.chance ELSE {mixing.KEEP} END"
     return (
         "WITH "
         + ",\n".join(steps)
         + f"""
-SELECT t.doc_id, t.source, t.lang, t.topic, t.tokens, coalesce(p.chance, {mixing.KEEP}) AS chance,
+SELECT t.doc_id, t.source, t.lang, t.topic, t.tokens, {chance} AS chance,
        ('0x' || substr(md5('{mixing.SEED}:' || coalesce(t.doc_id::VARCHAR, '')), 1, {digits}))::BIGINT
-       / {16**digits}.0::DOUBLE < coalesce(p.chance, {mixing.KEEP}) AS sampled
+       / {16**digits}.0::DOUBLE < {chance} AS sampled
 FROM t LEFT JOIN p ON t.source = p.source AND t.lang = p.lang AND t.topic = p.topic
 """
     )

@@ -228,6 +228,21 @@ def test_mixing_takes_a_given_topic(spark):
     assert Counter(r.topic for r in found.collect()) == {"sports": 30, "law": 30, "": 30}
 
 
+def test_topics_are_learned_from_the_texts(spark):
+    """The most frequent long words that few documents say name the topics."""
+    about = {"hospital": 30, "football": 25, "parliament": 20}
+    rows = []
+    for word, count in about.items():
+        for k in range(count):
+            said = f"always these common words about {word.title()}, {word}. and {k % 3 * 'hospital '}{k % 3 * (word + ' ')}"
+            rows.append((len(rows), said + " " + prose(len(rows), 8)))
+    rows += [(len(rows) + k, "always these common words " + prose(900 + k, 5)) for k in range(900)]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    topics = Counter(r.topic for r in found)
+    assert topics["hospital"] >= 30 and topics["football"] == 25 and topics["parliament"] == 20
+    assert topics["other"] > 200 and "always" not in topics and "common" not in topics
+
+
 def test_mixing_matches_its_sql(spark, docs, no_docs, tmp_path):
     """Fixture with nulls, empty texts and repeats; the SQL reckons the scale in closed form."""
     for name, frame in (("docs", docs), ("none", no_docs)):
