@@ -97,3 +97,18 @@ def test_lmdi_shared_factor_sums_its_parts(spark):
     one = split(spark, factors, [["x", "y"]] + [["z"]])
     two = split(spark, factors, [["x", "z"]] + [["y"]])
     assert both["x"] == pytest.approx(one["x"] + two["x"])
+
+
+def test_edges_of_noise_and_rounding(spark):
+    """A gap within 1e-12 of the sizes is none; values are positive from the 10th place on."""
+    from ratiolens.functions.scalar import gap, positive, settled
+
+    rows = [(0.5, 0.5), (0.5, 0.5 + 4e-13), (0.5, 0.5 + 2.1e-12), (1e9, 1e9 + 1e-4), (1e9, 1e9 + 1.0), (0.0, 1e-300)]
+    frame = spark.createDataFrame(rows, "a double, p double")
+    gaps = [r.g for r in frame.selectExpr(f"{gap('a', 'p')} AS g").collect()]
+    assert gaps == [0.0, 0.0, 0.5 - (0.5 + 2.1e-12), 0.0, -1.0, -1e-300]
+    values = [4.9e-11, 5.1e-11, -4.9e-11, 0.0, None]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    found = frame.selectExpr(f"{positive('v')} AS yes", f"{settled('v')} AS v").collect()
+    assert [r.yes for r in found] == [False, True, False, False, None]
+    assert [r.v for r in found[:4]] == [0.0, 1e-10, 0.0, 0.0]
