@@ -73,18 +73,22 @@ def topic_words(described: DataFrame) -> list[str]:
     return [r.word for r in found.collect()]
 
 
-def topic_of(long: Column, topics: list[str]) -> Column:
-    """The topic whose word is said most often."""
-    if not topics:
-        return F.lit(OTHER)
-    hits = F.filter(long, lambda w: w.isin(topics))
+def with_topic(described: DataFrame, topics: list[str]) -> DataFrame:
+    """``described`` with the topic whose word is said most often, in place of ``long``."""
 
     def said(place: int, topic: str) -> Column:
-        times = F.size(F.filter(hits, lambda w: w == topic))
+        times = F.size(F.filter("hits", lambda w: w == topic))
         return F.struct(times.alias("times"), F.lit(-place).alias("place"), F.lit(topic).alias("topic"))
 
+    if not topics:
+        return described.withColumn("topic", F.lit(OTHER)).drop("long")
     best = F.array_max(F.array(*[said(k, t) for k, t in enumerate(topics)]))
-    return F.when(best["times"] > 0, best["topic"]).otherwise(OTHER)
+    return (
+        described.withColumn("hits", F.filter("long", lambda w: w.isin(topics)))
+        .withColumn("best", best)
+        .withColumn("topic", F.when(F.col("best.times") > 0, F.col("best.topic")).otherwise(OTHER))
+        .drop("long", "hits", "best")
+    )
 
 
 def cells(described: DataFrame) -> DataFrame:
@@ -180,42 +184,29 @@ def mix(
     """
     text = text_or_empty(text_col)
     source, lang = (text_or_empty(c) if c in docs.columns else F.lit("") for c in ("source", "lang"))
-    words = words_in(text)
     given = topic_col in docs.columns
-    described = stage(
-        docs.select(
-            F.col(f"`{id_col}`").alias("doc_id"),
-            source.alias("source"),
-            lang.alias("lang"),
-            *([text_or_empty(topic_col).alias("topic")] if given else []),
-            words.alias("words"),
-        ).select(
-            "doc_id",
-            "source",
-            "lang",
-            F.size("words").cast("long").alias("tokens"),
-            *(["topic"] if given else [long_words(F.col("words")).alias("long")]),
-        ),
-        "mix-documents",
-    )
+
+    def read(*more: Column) -> DataFrame:
+        """What the raking reads of a document: id, marginals, words; without a topic, long words."""
+        topic = [text_or_empty(topic_col).alias("topic")] * given
+        columns = [F.col(f"`{id_col}`").alias("doc_id"), source.alias("source"), lang.alias("lang")]
+        rows = docs.select(*columns, *topic, words_in(text).alias("words"), *more)
+        if not given:
+            rows = rows.withColumn("long", long_words(F.col("words")))
+        return rows.withColumn("tokens", F.size("words").cast("long")).drop("words")
+
+    described = stage(read(), "mix-documents")
     topics = [] if given else topic_words(described)
     if not given:
-        described = described.withColumn("topic", topic_of(F.col("long"), topics)).drop("long")
+        described = stage(with_topic(described, topics), "mix-topics")
     counted = stage(cells(described), "mix-cells")
     shares = stage(chances(rake(counted, targets, sweeps), keep), "mix-chances")
     same = reduce(
         lambda a, b: a & b, (F.col(n) == F.col(f"c_{n}") for n in ("source", "lang", "topic"))
     )
     if keep_rows:
-        topic = text_or_empty(topic_col) if given else topic_of(long_words(words), topics)
-        described = docs.select(
-            F.col(f"`{id_col}`").alias("doc_id"),
-            source.alias("source"),
-            lang.alias("lang"),
-            topic.alias("topic"),
-            F.size(words).alias("tokens"),
-            F.struct("*").alias("row"),
-        )
+        described = read(F.struct("*").alias("row"))
+        described = described if given else with_topic(described, topics)
     drawn = described.join(shares, same, "left").withColumn(
         "chance",
         F.when(F.col("tokens") > 0, F.col("chance")).otherwise(F.lit(float(keep))),
