@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ratiolens.llm import centroids, mixing
+from ratiolens.llm import centroids, jaccard_join, mixing
 
 EXACT = r"""
 WITH n AS (
@@ -199,7 +199,42 @@ FROM a{n} a JOIN v USING (row_no) JOIN c{n} c ON a.cluster = c.cluster
     )
 
 
+def similar_sql() -> str:
+    """Every pair of sets that shares a shingle, and what their links reach."""
+    upper = "".join(map(chr, range(65, 91)))
+    size, link = jaccard_join.SHINGLE, jaccard_join.LINK
+    return rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), s AS MATERIALIZED (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+        WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([array_to_string(w[i:i + {size - 1}], ' ') for i in range(1, len(w) - {size - 2})])
+        END AS g
+    FROM d
+), rows_ AS MATERIALIZED (
+    SELECT doc_id, len(g) AS n, g, md5(array_to_string(list_sort(g), chr(10))) AS node FROM s
+), c AS MATERIALIZED (
+    SELECT node, any_value(g) AS g, any_value(n) AS n, min(doc_id) AS id FROM rows_ WHERE n > 0 GROUP BY node
+), e AS MATERIALIZED (SELECT node, unnest(g) AS t FROM c),
+x AS MATERIALIZED (
+    SELECT a.node AS u, b.node AS v, count(*) AS k FROM e a JOIN e b USING (t) WHERE a.node < b.node GROUP BY ALL
+), l AS MATERIALIZED (
+    SELECT u, v FROM x JOIN c p ON p.node = u JOIN c q ON q.node = v
+    WHERE 100 * k >= {link} * (p.n + q.n - k)
+), both_ AS MATERIALIZED (SELECT u, v FROM l UNION SELECT v, u FROM l),
+r(node, root) AS (
+    SELECT node, id FROM c UNION SELECT both_.v, r.root FROM r JOIN both_ ON r.node = both_.u
+), names AS MATERIALIZED (SELECT node, min(root) AS name FROM r GROUP BY node)
+SELECT doc_id, n AS n_shingles, CASE WHEN n = 0 THEN doc_id ELSE name END AS component_id
+FROM rows_ LEFT JOIN names USING (node)
+"""
+
+
 ORACLES = {
+    "op4_jaccard_join": similar_sql(),
     "op5_exact_dedup": EXACT,
     "op9_mixing": mixing_sql(),
     "op11_fill_in_middle": FILL_IN_MIDDLE,
