@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ratiolens.llm import centroids, jaccard_join, mixing
+from ratiolens.llm import centroids, jaccard_join, mixing, repeats
 
 EXACT = r"""
 WITH n AS (
@@ -199,6 +199,39 @@ FROM a{n} a JOIN v USING (row_no) JOIN c{n} c ON a.cluster = c.cluster
     )
 
 
+def repeats_sql() -> str:
+    """Every window of every text, by its bytes."""
+    size = repeats.LENGTH
+    return f"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_no, doc_id, encode(coalesce(text, '')) AS bytes,
+           octet_length(encode(coalesce(text, ''))) AS n
+    FROM documents
+), w AS MATERIALIZED (
+    SELECT row_no, pos, md5(array_slice(bytes, pos + 1, pos + {size})) AS h
+    FROM (SELECT row_no, bytes, unnest(range(0, n - {size - 1})) AS pos FROM d)
+), s AS MATERIALIZED (
+    SELECT row_no, pos FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)
+), runs AS MATERIALIZED (
+    SELECT row_no, min(pos) AS low, max(pos) + {size} AS high FROM (
+        SELECT row_no, pos, sum(new) OVER (PARTITION BY row_no ORDER BY pos) AS run FROM (
+            SELECT row_no, pos,
+                   CASE WHEN pos > lag(pos) OVER (PARTITION BY row_no ORDER BY pos) + {size} THEN 1 ELSE 0 END AS new
+            FROM s
+        )
+    ) GROUP BY row_no, run
+), kept AS MATERIALIZED (
+    SELECT row_no, string_agg(hex(array_slice(bytes, low + 1, high)), '' ORDER BY low) AS rest FROM (
+        SELECT row_no, bytes, coalesce(lag(high) OVER (PARTITION BY row_no ORDER BY low), 0) AS low, low AS high
+        FROM (SELECT row_no, low, high FROM runs UNION ALL SELECT row_no, n, n FROM d) JOIN d USING (row_no)
+    ) GROUP BY row_no
+), sums AS (SELECT row_no, sum(high - low) AS removed, count(*) AS spans FROM runs GROUP BY row_no)
+SELECT doc_id, n AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(rest)) AS kept_sha256, coalesce(removed, 0) > 0 AS has_repeats
+FROM d JOIN kept USING (row_no) LEFT JOIN sums USING (row_no)
+"""
+
+
 def similar_sql() -> str:
     """Every pair of sets that shares a shingle, and what their links reach."""
     upper = "".join(map(chr, range(65, 91)))
@@ -234,6 +267,7 @@ FROM rows_ LEFT JOIN names USING (node)
 
 
 ORACLES = {
+    "op1_repeated_strings": repeats_sql(),
     "op4_jaccard_join": similar_sql(),
     "op5_exact_dedup": EXACT,
     "op9_mixing": mixing_sql(),
