@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ratiolens.llm import centroids, jaccard_join, mixing, repeats
+from ratiolens.llm import centroids, chat, jaccard_join, mixing, repeats
 
 EXACT = r"""
 WITH n AS (
@@ -199,6 +199,36 @@ FROM a{n} a JOIN v USING (row_no) JOIN c{n} c ON a.cluster = c.cluster
     )
 
 
+def chat_sql() -> str:
+    """Sizes of the escaped segments, added up to each reply; digests of the plain texts."""
+    probe = "<|im_end|><|im_start|>assistant ok"
+    escaped = r"regexp_replace({}, '<(\\*)\|', '<\1\\|', 'g')"
+    role = escaped.format(r"replace(replace(role, '\', '\\'), chr(10), '\n')")
+    frame = len(chat.OPEN) + len(chat.CLOSE) + 2
+    trained = f"FILTER (role = '{chat.TRAINED}')"
+    return f"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '{probe}'), (-1, 1, 'assistant', '{probe}')
+), o AS (
+    SELECT conv_id, role, text, {frame} + length({role}) + length({escaped.format('text')}) AS size,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS nth
+    FROM t
+), c AS (
+    SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY nth) AS ends,
+           max(CASE WHEN role = '{chat.TRAINED}' THEN nth END) OVER (PARTITION BY conv_id) AS last
+    FROM o
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+       coalesce(sum(length(text)) {trained}, 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY nth) {trained}, '')) AS loss_sha256,
+       (coalesce(sum(ends - 1) {trained}, 0)
+        + coalesce(sum(size) FILTER (last IS NULL OR nth > last), 0))::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
 def repeats_sql() -> str:
     """Every window of every text, by its bytes."""
     size = repeats.LENGTH
@@ -268,6 +298,7 @@ FROM rows_ LEFT JOIN names USING (node)
 
 ORACLES = {
     "op1_repeated_strings": repeats_sql(),
+    "op2_chat": chat_sql(),
     "op4_jaccard_join": similar_sql(),
     "op5_exact_dedup": EXACT,
     "op9_mixing": mixing_sql(),

@@ -95,6 +95,24 @@ def test_chat_query_counts_every_example(spark, conversation_rows):
     assert found[3] == texts[3] and found[9] == texts[9]
 
 
+def test_chat_matches_its_sql(spark, conversation_rows, tmp_path):
+    """Control strings, line breaks in roles, nulls, repeats and left-over turns."""
+    import duckdb
+
+    from ratiolens.llm.oracle import ORACLES
+    from ratiolens.llm.queries import REGISTRY
+
+    table = spark.createDataFrame(conversation_rows, CONVERSATIONS)
+    table.write.parquet(f"{tmp_path}/conversations.parquet")
+    connection = duckdb.connect()
+    connection.execute(
+        f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')"
+    )
+    found = REGISTRY["op2_chat"](spark, str(tmp_path))
+    want = connection.execute(f"SELECT {', '.join(found.columns)} FROM ({ORACLES['op2_chat']})")
+    assert Counter(map(tuple, found.collect())) == Counter(want.fetchall())
+
+
 def test_chat_of_nothing(spark):
     assert chat.read_back(chat.transcript(spark.createDataFrame([], CONVERSATIONS))).count() == 0
 
