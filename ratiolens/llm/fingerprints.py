@@ -42,7 +42,7 @@ from ratiolens.llm.common import WORD, shuffle_parts, text_or_empty
 K, S, PIECE = 5, 2, 16
 BUCKET_BYTES = 32 << 20
 #: Key ranges per bucket, and what a document weighs besides its text.
-FINER, ROW_BYTES = 8, 256
+FINER, ROW_BYTES = 2, 256
 WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
 MASK = 0xFFFFFFFF
 #: Bits of a place under the hash of an anchor.
