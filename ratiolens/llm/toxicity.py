@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratiolens.llm.common import ship_package, slices, stage, text_or_empty
-from ratiolens.llm.wordhash import Words, mixed
+from ratiolens.llm.wordhash import Words, mixed, text_parts
 
 SAMPLE = 2_000
 FEATURES = 8_192
@@ -72,6 +72,9 @@ class OrdinalModel:
         return cls(none.astype(np.uint64), none, none, np.zeros(1 << 20, dtype=bool))
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
+        return np.concatenate([np.zeros(0), *map(self._scores, text_parts(texts))])
+
+    def _scores(self, texts: list[bytes]) -> np.ndarray:
         words, found = features_of(texts)
         out = np.zeros(len(texts))
         if not len(self.features):
@@ -95,6 +98,10 @@ class OrdinalModel:
 
 def distinct_features(texts: list[bytes]) -> list[np.ndarray]:
     """The distinct features of each text, in order."""
+    return [values for part in text_parts(texts) for values in _distinct_features(part)]
+
+
+def _distinct_features(texts: list[bytes]) -> list[np.ndarray]:
     words, found = features_of(texts)
     out = []
     for k in range(len(texts)):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import pytest
 
@@ -13,6 +14,15 @@ def prose(seed: int, count: int) -> str:
     return " ".join("".join(rng.choices(WORDS, k=rng.randint(1, 3))) for _ in range(count))
 
 
+def peak_of(call):
+    """What ``call`` returns, and the bytes it held at most."""
+    tracemalloc.start()
+    try:
+        return call(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
 def document_rows() -> list[tuple]:
     """Prose, copies, near copies, shared passages, ties, nulls, empty and long texts."""
     base, passage = prose(1, 120), prose(2, 90)

@@ -13,7 +13,7 @@ import pytest
 from ratiolens.llm import exact_dedup, jaccard_join, repeats
 from ratiolens.llm.common import numbered
 from ratiolens.llm.components import components
-from tests.llm.conftest import prose
+from tests.llm.conftest import peak_of, prose
 
 
 def test_rice_code_round_trip():
@@ -182,6 +182,16 @@ def test_gaps_round_trip():
         assert (jaccard_join.unpacked_gaps(len(values), *jaccard_join.packed_gaps(values)) == values).all()
 
 
+def test_set_memory_does_not_grow_with_the_texts():
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(4_000)).encode() for _ in range(200)]
+    sets, peak = peak_of(lambda: jaccard_join.shingle_sets(texts))
+    assert peak - sum(s.nbytes for s in sets) < 32 << 20
+    single = [jaccard_join.shingle_sets([t])[0] for t in texts]
+    assert all(map(np.array_equal, sets, single))
+    assert not jaccard_join.shingle_sets([])
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_frequent_shingles_do_not_depend_on_the_split(spark, monkeypatch, parts):
     """Counts of all texts, whatever the partitions and the texts counted together."""

@@ -13,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ratiolens.llm import chat, html_text, pii, toxicity
+from tests.llm.conftest import peak_of
 
 CONVERSATIONS = "conv_id long, turn long, role string, text string, segment string, nth long"
 
@@ -379,6 +380,22 @@ def test_kept_finds_follow_the_number_tried():
     assert toxicity.kept_finds(np.array([]), 0) == 0
 
 
+def test_toxicity_memory_does_not_grow_with_the_texts():
+    rng = random.Random(8)
+    texts = [" ".join(f"word{rng.randrange(300)}" for _ in range(4_000)).encode() for _ in range(200)]
+    features = np.unique(np.concatenate(toxicity.distinct_features(texts[:1])))
+    mask = np.zeros(1 << 20, dtype=bool)
+    mask[features & np.uint64((1 << 20) - 1)] = True
+    model = toxicity.OrdinalModel(features, np.linspace(-1, 1, len(features)), np.zeros(1), mask)
+    scores, peak = peak_of(lambda: model.scores(texts))
+    assert peak < 64 << 20
+    assert scores.tolist() == [model.scores([t])[0] for t in texts]
+    assert len(model.scores([])) == 0
+    found, peak = peak_of(lambda: toxicity.distinct_features(texts))
+    assert peak - sum(f.nbytes for f in found) < 64 << 20
+    assert all(np.array_equal(f, toxicity.distinct_features([t])[0]) for f, t in zip(found, texts, strict=True))
+
+
 def test_toxicity_without_labels(labelled_docs, no_docs):
     docs, labels = labelled_docs
     model = toxicity.fit(docs, labels.where("toxic = 1"))
