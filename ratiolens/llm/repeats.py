@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,8 +53,9 @@ AHEAD = LENGTH - FAR + 1
 #: Places in the joined buffer of a slice take so many bits of the sort key.
 PLACE_BITS = 26
 PLACE = np.uint64((1 << PLACE_BITS) - 1)
-#: Longer texts are searched in pieces of this size that overlap by a window.
-PIECE = 1 << 25
+#: So many bytes are searched at once (arrays take some 70 times as much); longer texts in
+#: pieces of this size that overlap by a window.
+PIECE = 1 << 18
 
 
 class Buffer:
@@ -228,33 +230,58 @@ def _steps(data: bytes, runs: list[dict]) -> dict:
     return out | {"core": core.view(np.int64)}
 
 
+def _lists(column: pa.ListArray) -> tuple[list[slice], pa.Array]:
+    """Of each row the places of its values (none for null), and all values in a row."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    places = [slice(a, b) for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+    return places, column.flatten()
+
+
+def _fields(values: pa.StructArray) -> dict[str, np.ndarray]:
+    names = [f.name for f in values.type]
+    return {n: pc.struct_field(values, n).to_numpy(zero_copy_only=False) for n in names}
+
+
+def _near(runs: dict[str, np.ndarray]) -> Iterator[list[dict]]:
+    """Runs by place, in parts over a bounded range of the text, however long that is."""
+    order = np.argsort(runs["first"], kind="stable")
+    first = runs["first"][order]
+    low = 0
+    while low < len(order):
+        high = min(low + 2_000, int(np.searchsorted(first, first[low] + PIECE)))
+        part = order[low:high]
+        values = zip(*(runs[n][part].tolist() for n in runs), strict=True)
+        yield [dict(zip(runs, v, strict=True)) for v in values]
+        low = high
+
+
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with their open and repeated runs: finished ones, or windows still to be compared."""
     for batch in slices(batches, "text", 2 << 20):
         ids, kind = batch.column("doc_id"), batch.schema.field("doc_id").type
         done, opened, at_done, at_open = [], [], [], []
-        for k, (ref, text, runs) in enumerate(
+        places, values = _lists(batch.column("runs"))
+        fields = _fields(values)
+        for k, (ref, text, own) in enumerate(
             zip(
-                batch.column("ref").to_pylist(),
-                batch.column("text").to_pylist(),
-                batch.column("runs").to_pylist(),
-                strict=True,
+                batch.column("ref").to_pylist(), batch.column("text").to_pylist(), places, strict=True
             )
         ):
             data = (text or "").encode()
-            runs = runs or []
-            full = [r for r in runs if r["whole"]]
-            starts = np.array([r["first"] for r in full], dtype=np.int64)
-            ends = starts + np.array([r["count"] - 1 + LENGTH for r in full], dtype=np.int64)
-            left = [r for r in runs if r["ahead"] or r["behind"]]
-            if not left:
+            runs = {n: v[own] for n, v in fields.items()}
+            full = runs["whole"].astype(bool)
+            starts = runs["first"][full].astype(np.int64)
+            ends = starts + runs["count"][full] - 1 + LENGTH
+            left = (runs["ahead"] | runs["behind"]).astype(bool)
+            if not left.any():
                 done.append((ref, *removed(data, starts, ends)))
                 at_done.append(k)
                 continue
             opened.append((ref, text, np.stack([starts, ends], axis=1).ravel().tolist()))
             at_open.append(k)
-            for low in range(0, len(left), 2_000):
-                rows = _steps(data, left[low : low + 2_000])
+            for part in _near({n: v[left] for n, v in runs.items()}):
+                rows = _steps(data, part)
                 size = len(rows["step"])
                 if size:
                     rows |= {
@@ -278,13 +305,15 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text", 4 << 20):
         out = []
-        for text, spans, more in zip(
-            *(batch.column(n).to_pylist() for n in ("text", "spans", "starts")), strict=True
+        places, spans = _lists(batch.column("spans"))
+        spans = spans.to_numpy(zero_copy_only=False)
+        more_places, more = _lists(batch.column("starts"))
+        more = _fields(more)
+        for text, known, own in zip(
+            batch.column("text").to_pylist(), places, more_places, strict=True
         ):
-            pairs = np.array(spans or [], dtype=np.int64).reshape(-1, 2)
-            extra = [(r["from"], r["to"] + LENGTH) for r in more or []]
-            pairs = np.concatenate([pairs, np.array(extra, dtype=np.int64).reshape(-1, 2)])
-            starts, ends = pairs[:, 0], pairs[:, 1]
+            starts = np.concatenate([spans[known][::2], more["from"][own]])
+            ends = np.concatenate([spans[known][1::2], more["to"][own] + LENGTH])
             out.append(removed((text or "").encode(), starts, ends))
         n_bytes, n_removed, n_spans, digest = zip(*out, strict=True)
         yield pa.RecordBatch.from_arrays(

@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ratiolens.llm import exact_dedup, jaccard_join, repeats
@@ -142,6 +143,50 @@ def test_long_texts_are_searched_in_pieces(monkeypatch):
     assert at == {f + k: f + d for f, c, d in zip(parts["first"], parts["count"], parts["far"], strict=True) for k in range(c)}
 
 
+def test_search_memory_does_not_grow_with_the_texts():
+    data = np.random.default_rng(5).integers(97, 123, 1 << 22, dtype=np.uint8).tobytes()
+    texts = [data[k : k + 40_000] for k in range(0, len(data), 40_000)]
+    runs, peak = peak_of(lambda: repeats.anchored_runs(texts))
+    assert peak < 64 << 20
+    single = [repeats.anchored_runs([t]) for t in texts]
+    for name in ("first", "count", "far", "g", "s", "f", "b"):
+        assert np.array_equal(runs[name], np.concatenate([r[name] for r in single]))
+
+
+def test_steps_of_a_long_text_read_a_part_at_a_time(monkeypatch):
+    rng, read = np.random.default_rng(7), []
+    data = bytes(rng.integers(97, 123, 60_000, dtype=np.uint8))
+    found = repeats.anchored_runs([data])
+    runs = [
+        {"first": int(a), "count": int(c), "far": int(d), "g": int(g.view(np.int64)), "whole": False}
+        | {"ahead": True, "behind": True}
+        for a, c, d, g in zip(*(found[n] for n in ("first", "count", "far", "g")), strict=True)
+    ]
+    rng.shuffle(runs)
+
+    class Watched(repeats.Buffer):
+        def __init__(self, part):
+            read.append(len(part))
+            super().__init__(part)
+
+    def steps(runs):
+        rows = {"doc_id": [1], "ref": [0], "text": [data.decode()], "runs": [runs]}
+        batch = pa.RecordBatch.from_pydict(rows)
+        tables = [pa.Table.from_batches([b]) for b in repeats._judge(iter([batch]))]
+        names = ["g", "step", "core", "base", "low", "high", "edges"]
+        return sorted(
+            tuple(r.values()) for t in tables for r in t.select(names).to_pylist() if r["step"] is not None
+        )
+
+    monkeypatch.setattr(repeats, "Buffer", Watched)
+    whole = steps(runs)
+    assert whole == sorted(r for run in runs for r in steps([run]))
+    read.clear()
+    monkeypatch.setattr(repeats, "PIECE", 4096)
+    assert steps(runs) == whole
+    assert max(read) < 4096 + 2 * repeats.LENGTH
+
+
 def test_repeats_of_nothing(no_docs):
     assert repeats.remove_repeats(no_docs).count() == 0
 
