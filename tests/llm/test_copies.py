@@ -11,10 +11,13 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from ratiolens.llm import exact_dedup, jaccard_join, repeats
-from ratiolens.llm.common import numbered
+from ratiolens.llm.common import marked, numbered
 from ratiolens.llm.components import components
-from tests.llm.conftest import peak_of, prose
+from ratiolens.sources import staging
+from tests.llm.conftest import SCHEMA, peak_of, prose
 
 
 def test_rice_code_round_trip():
@@ -288,6 +291,78 @@ def test_one_of_each_group(docs, no_docs):
     assert jaccard_join.similar_groups(no_docs).count() == 0
 
 
+def test_index_entries_stay_small_among_many_owners():
+    """Twelve times the owners take little more room, and blocks give back what went in."""
+    texts = [prose(k, 40 + k % 300) for k in range(3000)]
+    batch = pa.RecordBatch.from_pydict({"text": [*texts, None, "", texts[0]]})
+    sets = jaccard_join.shingle_sets([t.encode() for t in texts])
+    want = {
+        (jaccard_join.class_of(s), len(s), place, int(jaccard_join.mixed(t[None])[0]) >> 32)
+        for s in sets
+        for place, t in enumerate(s[: jaccard_join.prefix_size(len(s))])
+    }
+    bytes_of = {}
+    for owners in (100, 1200):
+        (block,) = jaccard_join._prefixes(np.zeros(0, np.uint64), owners)(iter([batch]))
+        got = []
+        for r in block.to_pandas().itertuples():
+            node, key = np.frombuffer(r.nodes, np.int64), np.frombuffer(r.keys, "<u4")
+            many = jaccard_join.widened(r.many, len(node))
+            sizes = np.repeat(jaccard_join.widened(r.sizes, len(node)), many)
+            places = jaccard_join.widened(r.places, len(key))
+            got += zip(*(x.tolist() for x in (np.repeat(node, many), sizes, places, key)), strict=True)
+        assert len(got) == len(want) and set(got) == want
+        bytes_of[owners] = sum(len(v) for c in block.columns[1:] for v in c.to_pylist()) / len(got)
+    assert bytes_of[1200] < 17 and bytes_of[1200] < 1.5 * bytes_of[100]
+
+
+@pytest.mark.parametrize("size", [1, 255, 256, 65_536, 2**32 - 1])
+def test_narrow_numbers_round_trip(size):
+    values = np.array([0, size // 3, size], dtype=np.int64)
+    data = jaccard_join.narrow(values)
+    assert len(data) == 3 * next(k for k in (1, 2, 4) if size < 256**k)
+    assert jaccard_join.widened(data, 3).tolist() == values.tolist()
+
+
+def test_marks_miss_no_hash_and_let_few_others_pass(spark):
+    rows = spark.range(200_000).withColumn("h", F.xxhash64("id"))
+    hashes = rows.where("id % 20 = 0 OR id < 5").select("h")
+    found = marked(rows, F.col("h"), hashes.union(hashes))
+    assert found.columns == ["id", "h", "maybe"] and found.count() == 200_000
+    assert found.where("NOT maybe AND (id % 20 = 0 OR id < 5)").count() == 0
+    assert found.where("maybe").count() < 0.12 * 200_000
+    assert marked(rows, F.col("h"), hashes.limit(0)).where("maybe").count() == 0
+
+
+def test_texts_are_not_shuffled(spark, rows, monkeypatch):
+    """Without broadcasts by size, no exchange of the similarity join holds a text."""
+    plans = []
+    explained = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString
+    read = lambda df: plans.append(explained(df._jdf.queryExecution(), "formatted"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(staging, "watchers", [read])
+    try:
+        read(jaccard_join.similar_groups(spark.createDataFrame(rows, SCHEMA)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [x for p in plans for x in re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", p)]
+    assert len(moved) > 10
+    assert not [x for x in moved if re.search(r"\btext#", x)]
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    def shuffles():
+        return spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+
+    before, table = shuffles(), spark.range(1000).repartition(7)
+    kept = spark.conf.get(staging.FREE_SHUFFLES, None)
+    for _ in range(3):
+        assert staging.stage(table, "test").count() == 1000
+    assert spark.conf.get(staging.FREE_SHUFFLES, None) == kept
+    # counts shuffle a row a task, too; those files go with the driver's garbage
+    assert shuffles() - before <= 3
+
+
 def test_components(spark):
     rng = random.Random(5)
     pairs = [(k, k + 1) for k in range(0, 40)] + [(100, 7), (200, 201), (300, 300)]
