@@ -350,6 +350,18 @@ def test_texts_are_not_shuffled(spark, rows, monkeypatch):
     assert not [x for x in moved if re.search(r"\btext#", x)]
 
 
+def test_only_rows_with_the_text_of_a_lost_one_meet_it(spark):
+    """Rows of one id and other texts, whole rows twice, rows without id, texts kept and lost."""
+    base = prose(41, 150)
+    near = base + " more"
+    rows = [(3, base), (3, base), (9, near), (9, near), (9, prose(42, 80)), (3, prose(43, 90))]
+    rows += [(None, base), (None, prose(44, 70)), (None, prose(44, 70)), (5, None), (5, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = Counter(map(tuple, jaccard_join.one_of_each(table).collect()))
+    lost = {(9, near), (None, base)}
+    assert kept == Counter(r for r in rows if r not in lost)
+
+
 def test_staged_tables_leave_no_shuffle_files(spark):
     def shuffles():
         return spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
